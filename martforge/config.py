@@ -13,9 +13,10 @@ from datetime import date
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    # Inclusive daily calendar behind dim_tempo.
-    calendar_start: date = date(2015, 1, 1)
-    calendar_end: date = date(2026, 12, 31)
+    # Inclusive daily calendar behind dim_tempo. None derives the bound from
+    # the invoices: 1 January of the first sales year / 31 December of the last.
+    calendar_start: date | None = date(2015, 1, 1)
+    calendar_end: date | None = date(2026, 12, 31)
     # Load stamp written to data_atualizacao; None means current_date().
     run_date: date | None = None
     # Logical run date (YYYY-MM-DD); its calendar month is the lake partition.
@@ -34,12 +35,12 @@ class PipelineConfig:
         return replace(self, **kw)
 
 
-# Parameters for the driver fixtures: orders run 1995-01-01 .. 2001-08-01, so
-# the calendar must cover them (the default 2015-2026 range would leave every
-# sale without a calendar key).
+# Parameters for the driver fixtures: the calendar spans the years of the
+# invoices (the default 2015-2026 range would leave every fixture sale without
+# a calendar key).
 FIXTURE_CONFIG = PipelineConfig(
-    calendar_start=date(1995, 1, 1),
-    calendar_end=date(2001, 12, 31),
+    calendar_start=None,
+    calendar_end=None,
     run_date=date(2001, 8, 31),
     ds="1998-06-15",
 )

@@ -20,3 +20,16 @@ def calendar_days(spark: SparkSession, start: date, end: date) -> DataFrame:
     return spark.range(n_days).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("data")
     )
+
+
+def resolve_calendar(src, cfg):
+    """Fill a missing calendar bound from the invoice dates (one-row aggregate)."""
+    from datetime import date as _date
+
+    if cfg.calendar_start is not None and cfg.calendar_end is not None:
+        return cfg
+    d = F.to_date(F.col("data_venda"))
+    row = src.nota_fiscal.agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
+    lo = cfg.calendar_start or (_date(row["lo"].year, 1, 1) if row["lo"] else _date(2015, 1, 1))
+    hi = cfg.calendar_end or (_date(row["hi"].year, 12, 31) if row["hi"] else lo)
+    return cfg.with_(calendar_start=lo, calendar_end=hi)

@@ -48,6 +48,21 @@ def _dec(c, p: int, s: int = 2):
     return F.col(c).cast(f"decimal({p},{s})") if isinstance(c, str) else c.cast(f"decimal({p},{s})")
 
 
+def list_value():
+    """Item value before discount and tax, decimal(18,2)."""
+    return _dec("l_extendedprice", 18)
+
+
+def realised_value():
+    """Item value after discount and tax, all in decimal arithmetic."""
+    one = F.lit(1).cast("decimal(1,0)")
+    return (
+        _dec("l_extendedprice", 12)
+        * _dec(one - _dec("l_discount", 5), 5)
+        * _dec(one + _dec("l_tax", 5), 5)
+    ).cast("decimal(18,2)")
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> SourceTables:
     from martforge.operators.keys import dense_key
 
@@ -64,17 +79,12 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> SourceTables:
         (F.lit(SELLER_ID_OFFSET) + F.col("_min_supp")).cast("bigint").alias("id_vendedor"),
     )
 
-    one = F.lit(1).cast("decimal(1,0)")
     item_nota_fiscal = lineitem.select(
         F.col("l_orderkey").alias("id_nota_fiscal"),
         F.col("l_partkey").alias("id_produto"),
         F.col("l_quantity").cast("int").alias("quantidade"),
-        _dec("l_extendedprice", 18).alias("valor_unitario"),
-        (
-            _dec("l_extendedprice", 12)
-            * _dec(one - _dec("l_discount", 5), 5)
-            * _dec(one + _dec("l_tax", 5), 5)
-        ).cast("decimal(18,2)").alias("valor_venda_real"),
+        list_value().alias("valor_unitario"),
+        realised_value().alias("valor_venda_real"),
     )
 
     categoria = dense_key(
