@@ -26,10 +26,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def counts_frame(spark: SparkSession, counts: dict[str, int | None]) -> DataFrame:
-    """(tabela, linhas) from counts gathered while writing; missing -> 0."""
-    rows = [(name, int(counts.get(name) or 0)) for name in REPORT_ORDER if name in counts] + [
-        (n, int(c or 0)) for n, c in counts.items() if n not in REPORT_ORDER]
-    return spark.createDataFrame(rows, "tabela string, linhas bigint")
+    """(tabela, linhas) from counts gathered while writing; missing -> 0.
+
+    Built as an inline VALUES table, so no Python worker is involved."""
+    names = [n for n in REPORT_ORDER if n in counts] + [n for n in counts if n not in REPORT_ORDER]
+    if not names:
+        return spark.sql("SELECT CAST(NULL AS STRING) AS tabela, CAST(0 AS BIGINT) AS linhas LIMIT 0")
+    values = ", ".join(f"('{n.replace(chr(39), '')}', {int(counts.get(n) or 0)})" for n in names)
+    return spark.sql(f"SELECT tabela, CAST(linhas AS BIGINT) AS linhas "
+                     f"FROM VALUES {values} AS t(tabela, linhas)")
 
 
 def validation_report(counts: DataFrame) -> DataFrame:

@@ -41,16 +41,19 @@ def dim_tempo(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return conform(out, DIM_TEMPO)
 
 
-def dim_produto(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
+def produto_rows(src: SourceTables) -> DataFrame:
     """Products with a category (inner join: uncategorised products drop out)."""
     p, c = src.produto.alias("p"), src.categoria.alias("c")
-    rows = p.join(c, F.col("c.id") == F.col("p.id_categoria"), "inner").select(
+    return p.join(c, F.col("c.id") == F.col("p.id_categoria"), "inner").select(
         F.col("p.id").alias("id_produto"),
         F.col("p.nome").alias("nome"),
         F.col("c.descricao").alias("categoria"),
         F.col("p.valor_venda").alias("preco_tabela"),
     )
-    return conform(dense_key(rows, "sk_produto", ["id_produto"], buckets=_b(cfg)), DIM_PRODUTO)
+
+
+def dim_produto(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
+    return key_dimension("dim_produto", produto_rows(src), cfg)
 
 
 def people_with_invoices(people: DataFrame, invoices: DataFrame, role: str) -> DataFrame:
@@ -75,16 +78,17 @@ def customers_with_sales(src: SourceTables) -> DataFrame:
 
 
 def dim_cliente(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
-    rows = customers_with_sales(src)
-    keyed = dense_key(rows, "sk_cliente", ["tipo_cliente", "id_pessoa"], buckets=_b(cfg))
-    return conform(keyed, DIM_CLIENTE)
+    return key_dimension("dim_cliente", customers_with_sales(src), cfg)
 
 
-def dim_vendedor(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
+def vendedor_rows(src: SourceTables) -> DataFrame:
     """Natural persons that appear as seller on an invoice."""
-    rows = people_with_invoices(src.pessoa_fisica, src.nota_fiscal, "id_vendedor").select(
+    return people_with_invoices(src.pessoa_fisica, src.nota_fiscal, "id_vendedor").select(
         F.col("id").alias("id_pessoa"), "nome").distinct()
-    return conform(dense_key(rows, "sk_vendedor", ["id_pessoa"], buckets=_b(cfg)), DIM_VENDEDOR)
+
+
+def dim_vendedor(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
+    return key_dimension("dim_vendedor", vendedor_rows(src), cfg)
 
 
 def address_flatten(src: SourceTables) -> DataFrame:
@@ -111,9 +115,20 @@ def first_address(src: SourceTables) -> DataFrame:
 
 
 def dim_localidade(src: SourceTables, cfg: PipelineConfig | None = None) -> DataFrame:
-    keyed = dense_key(first_address(src), "sk_localidade", ["id_pessoa"], buckets=_b(cfg))
-    return conform(keyed, DIM_LOCALIDADE)
+    return key_dimension("dim_localidade", first_address(src), cfg)
+
+
+# name -> (rows builder, surrogate key, natural ordering, target schema)
+KEYED_DIMENSIONS = {
+    "dim_produto": (produto_rows, "sk_produto", ["id_produto"], DIM_PRODUTO),
+    "dim_cliente": (customers_with_sales, "sk_cliente", ["tipo_cliente", "id_pessoa"], DIM_CLIENTE),
+    "dim_vendedor": (vendedor_rows, "sk_vendedor", ["id_pessoa"], DIM_VENDEDOR),
+    "dim_localidade": (first_address, "sk_localidade", ["id_pessoa"], DIM_LOCALIDADE),
+}
 
 
-def _b(cfg: PipelineConfig | None) -> int | None:
-    return cfg.key_buckets if cfg is not None else None
+def key_dimension(name: str, rows: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+    """Number the rows of a dimension by its natural key and fix its schema."""
+    _, sk, order_by, schema = KEYED_DIMENSIONS[name]
+    buckets = cfg.key_buckets if cfg is not None else None
+    return conform(dense_key(rows, sk, order_by, buckets=buckets), schema)

@@ -5,12 +5,10 @@ Plan shape (chosen for a fact in the 10^12-row range):
 * Keys that depend only on the invoice header (calendar, customer, location,
   seller) are resolved on the header table, which is several times smaller
   than the item table. Customer and location dimensions are both keyed by
-  the person id, so they are merged into one person lookup and the headers
-  are joined to it once.
-* Product keys are resolved on the small product table before touching the
-  items (product list price and product key in one lookup).
-* Items then meet headers in a single equi-join on the invoice id, and meet
-  the product lookup in a single equi-join on the product id.
+  the customer id, so the headers are partitioned once for both lookups.
+* Items meet the product price and product key lookups (both keyed by the
+  product id), then the resolved headers in a single equi-join on the
+  invoice id.
 * The calendar is bounded by its date range and is always broadcast; all
   other lookups are left to Spark's size estimate and AQE, which broadcast
   them when small and fall back to a shuffle join (with skew splitting)
@@ -54,48 +52,42 @@ def sales_lines(src: SourceTables) -> DataFrame:
     )
 
 
-def person_lookup(dim_cliente: DataFrame, dim_localidade: DataFrame) -> DataFrame:
-    """(id_pessoa, sk_cliente, sk_localidade): both person-keyed dimensions in
-    one table. A full outer join keeps people present in only one of them, so
-    a left join against it equals two successive left joins."""
-    c = dim_cliente.select(F.col("id_pessoa").alias("_pc"), "sk_cliente")
-    loc = dim_localidade.select(F.col("id_pessoa").alias("_pl"), "sk_localidade")
-    return c.join(loc, F.col("_pc") == F.col("_pl"), "full_outer").select(
-        F.coalesce("_pc", "_pl").alias("id_pessoa"), "sk_cliente", "sk_localidade")
-
-
 def resolved_headers(src: SourceTables, dim_tempo: DataFrame, dim_cliente: DataFrame,
                      dim_vendedor: DataFrame, dim_localidade: DataFrame) -> DataFrame:
+    """Invoice headers with calendar, customer, location and seller keys.
+
+    Customer and location lookups are both keyed by the customer id: when they
+    are shuffle joins, the second reuses the hash partitioning of the first
+    and the headers move only once for both."""
     nf = src.nota_fiscal.select(
         F.col("id").alias("id_nota"), F.to_date("data_venda").alias("data_venda"),
         "id_cliente", "id_vendedor")
     cal = F.broadcast(dim_tempo.select("sk_tempo", F.col("data").alias("_data")))
-    people = person_lookup(dim_cliente, dim_localidade)
+    cli = dim_cliente.select(F.col("id_pessoa").alias("_pc"), "sk_cliente")
+    loc = dim_localidade.select(F.col("id_pessoa").alias("_pl"), "sk_localidade")
     sellers = dim_vendedor.select(F.col("id_pessoa").alias("_pv"), "sk_vendedor")
     return (
         nf.join(cal, F.col("_data") == F.col("data_venda"), "left")
-        .join(people, F.col("id_pessoa") == F.col("id_cliente"), "left")
+        .join(cli, F.col("_pc") == F.col("id_cliente"), "left")
+        .join(loc, F.col("_pl") == F.col("id_cliente"), "left")
         .join(sellers, F.col("_pv") == F.col("id_vendedor"), "left")
         .select("id_nota", "sk_tempo", "sk_cliente", "sk_localidade", "sk_vendedor")
     )
 
 
-def product_lookup(src: SourceTables, dim_produto: DataFrame) -> DataFrame:
-    """(id_produto, valor_venda, sk_produto) for every source product."""
-    d = dim_produto.select(F.col("id_produto").alias("_pd"), "sk_produto")
-    return src.produto.join(d, F.col("_pd") == F.col("id"), "left").select(
-        F.col("id").alias("_prod"), "valor_venda", "sk_produto")
-
-
 def fato_venda(src: SourceTables, dims: dict[str, DataFrame],
                cfg: PipelineConfig | None = None) -> DataFrame:
     strict = bool(cfg and cfg.strict_pct)
     hdr = resolved_headers(src, dims["dim_tempo"], dims["dim_cliente"],
                            dims["dim_vendedor"], dims["dim_localidade"])
-    prod = product_lookup(src, dims["dim_produto"])
-    items = src.item_nota_fiscal
+    # Each lookup joins a plain table scan, so the planner sizes it from its
+    # files (a pre-joined lookup would carry a product-of-inputs estimate).
+    prices = src.produto.select(F.col("id").alias("_prod"), "valor_venda")
+    pkeys = dims["dim_produto"].select(F.col("id_produto").alias("_pd"), "sk_produto")
     rows = (
-        items.join(prod, F.col("_prod") == F.col("id_produto"), "inner")
+        src.item_nota_fiscal
+        .join(prices, F.col("_prod") == F.col("id_produto"), "inner")
+        .join(pkeys, F.col("_pd") == F.col("id_produto"), "left")
         .join(hdr, F.col("id_nota") == F.col("id_nota_fiscal"), "inner")
     )
     desc = discount(F.col("valor_venda"), F.col("valor_unitario"))

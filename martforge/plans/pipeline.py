@@ -121,15 +121,21 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     cfg = resolve_calendar(src, cfg)
 
     wh = f"{run_root}/warehouse"
-    builders = {
-        "dim_tempo": lambda: D.dim_tempo(spark, cfg),
-        "dim_produto": lambda: D.dim_produto(src, cfg),
-        "dim_cliente": lambda: D.dim_cliente(src, cfg),
-        "dim_vendedor": lambda: D.dim_vendedor(src, cfg),
-        "dim_localidade": lambda: D.dim_localidade(src, cfg),
-    }
-    dims = parallel({name: (lambda n=name, b=b: _materialise(b(), f"{wh}/{n}", n, counts))
-                     for name, b in builders.items()})
+    def keyed(name: str):
+        def run():
+            # The rows are used twice (key-range boundaries, then numbering):
+            # keep them for the duration of the write.
+            rows = D.KEYED_DIMENSIONS[name][0](src).persist()
+            try:
+                return _materialise(D.key_dimension(name, rows, cfg), f"{wh}/{name}", name, counts)
+            finally:
+                rows.unpersist()
+        return run
+
+    tasks = {"dim_tempo": lambda: _materialise(D.dim_tempo(spark, cfg), f"{wh}/dim_tempo",
+                                               "dim_tempo", counts)}
+    tasks.update({name: keyed(name) for name in D.KEYED_DIMENSIONS})
+    dims = parallel(tasks)
     t = tick("dimensions", t)
 
     # Fact files sorted by calendar key (then product) inside each task: the
@@ -175,8 +181,10 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     report = Q.validation_report(Q.counts_frame(spark, counts))
     warnings = Q.assert_valid(report)
     if publish:
-        spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode(
-            "overwrite").text(f"{root.rstrip('/')}/{POINTER}")
+        # Tiny one-line text file written by a JVM-only plan (no Python worker).
+        safe = run_id.replace("'", "")
+        spark.sql(f"SELECT '{safe}' AS run_id").coalesce(1).write.mode("overwrite").text(
+            f"{root.rstrip('/')}/{POINTER}")
     tick("validate_publish", t)
     return RunResult(run_id, run_root, lake_root, location, cfg, counts, secs, warnings)
 
