@@ -75,8 +75,8 @@ def target_label(pct: Column) -> Column:
 
 def rank_intensity(i: Column, n: Column) -> Column:
     """0.45 + 0.55 * i / max(n - 1, 1), as text with 2 decimals."""
-    ratio = i.cast("double") / F.greatest(n - 1, F.lit(1)).cast("double")
-    return F.format_number(F.lit(0.45) + F.lit(0.55) * ratio, 2)
+    step = (F.lit(0.55) * i.cast("double")) / F.greatest(n - 1, F.lit(1)).cast("double")
+    return F.format_number(F.lit(0.45) + step, 2)
 
 
 def rank_label(value: Column, pct: Column) -> Column:

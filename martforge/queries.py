@@ -530,8 +530,8 @@ def _top_states_sql(k: int, cols: str | None = None) -> str:
          count(*) OVER () AS n
   FROM top)
 SELECT {cols or 'sigla_estado, valor_total_real, valor_total_esperado, pct, posicao, rotulo, intensidade'}
-FROM (SELECT *, printf('%.2f', CAST(0.45 AS DOUBLE) + CAST(0.55 AS DOUBLE)
-                       * (CAST(posicao AS DOUBLE) / CAST(greatest(n - 1, 1) AS DOUBLE))) AS intensidade,
+FROM (SELECT *, printf('%.2f', CAST(0.45 AS DOUBLE) + (CAST(0.55 AS DOUBLE) * CAST(posicao AS DOUBLE))
+                       / CAST(greatest(n - 1, 1) AS DOUBLE)) AS intensidade,
              '  ' || {_money_sql('valor_total_real')} || '  ' || printf('%.0f', pct) || '%' AS rotulo
       FROM ranked) t"""
     return _ctes() + _top_sql("sigla_estado", k, final)
