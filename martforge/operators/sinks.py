@@ -61,3 +61,34 @@ def replace_table(df: DataFrame, path: str, schema: T.StructType,
                   sort_by: list[str] | None = None) -> int:
     """Drop-and-create: data and schema both become the new ones."""
     return _write(nan_to_null(conform(df, schema)), path, "overwrite", sort_by=sort_by)
+
+
+def create_if_absent(spark, path: str, schema: T.StructType) -> bool:
+    """Create an empty table with ``schema`` when ``path`` holds none.
+    Returns True when it was created."""
+    if path_exists(spark, path):
+        return False
+    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    return True
+
+
+def jdbc_write(df: DataFrame, url: str, table: str, *, mode: str = "append",
+               properties: dict | None = None, batchsize: int = 2000,
+               truncate: bool = True, num_partitions: int | None = None) -> None:
+    """Write to a relational table (the dashboard database).
+
+    Each task inserts its own partition in batches of ``batchsize`` rows, so
+    the driver never holds the data. ``mode="overwrite"`` with ``truncate``
+    keeps the table's DDL (a full refresh); ``mode="append"`` adds rows.
+    ``num_partitions`` caps concurrent connections to the database.
+    """
+    out = nan_to_null(df)
+    if num_partitions:
+        out = out.coalesce(num_partitions)
+    w = (out.write.format("jdbc").mode(mode)
+         .option("url", url).option("dbtable", table)
+         .option("batchsize", str(batchsize))
+         .option("truncate", "true" if truncate else "false"))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()

@@ -42,24 +42,39 @@ EMPTY_MONTH = (2005, 1)
 SECOND_MONTH = (1998, 7)
 
 
+class _LazyDims(dict):
+    """name -> dimension DataFrame, each built on first use."""
+
+    def __init__(self, wh: "Warehouse"):
+        super().__init__()
+        self._wh = wh
+
+    def __missing__(self, name: str) -> DataFrame:
+        w = self._wh
+        builders = {
+            "dim_tempo": lambda: D.dim_tempo(w.spark, w.cfg),
+            "dim_produto": lambda: D.dim_produto(w.src, w.cfg),
+            "dim_cliente": lambda: D.dim_cliente(w.src, w.cfg),
+            "dim_vendedor": lambda: D.dim_vendedor(w.src, w.cfg),
+            "dim_localidade": lambda: D.dim_localidade(w.src, w.cfg),
+        }
+        df = builders[name]()
+        self[name] = df
+        return df
+
+
 class Warehouse:
     """All products of one run over the fixture sources, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG):
         self.spark, self.sf_dir = spark, sf_dir
         self.src = fixture_sources(spark, sf_dir)
-        self.cfg = resolve_calendar(self.src, cfg)
+        self._cfg = cfg
+        self.dims = _LazyDims(self)
 
     @cached_property
-    def dims(self) -> dict[str, DataFrame]:
-        s, c = self.src, self.cfg
-        return {
-            "dim_tempo": D.dim_tempo(self.spark, c),
-            "dim_produto": D.dim_produto(s, c),
-            "dim_cliente": D.dim_cliente(s, c),
-            "dim_vendedor": D.dim_vendedor(s, c),
-            "dim_localidade": D.dim_localidade(s, c),
-        }
+    def cfg(self) -> PipelineConfig:
+        return resolve_calendar(self.src, self._cfg)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -79,7 +94,7 @@ class Warehouse:
         return self.marts[1]
 
     def month(self) -> tuple[int, int]:
-        return L.month_of(self.cfg.ds)
+        return L.month_of(self._cfg.ds)
 
     def lake_month(self, ano: int | None = None, mes: int | None = None) -> DataFrame:
         y, m = (ano, mes) if ano is not None else self.month()
@@ -321,7 +336,9 @@ def q_nan_to_null(spark, sf):
 
 def q_table_counts(spark, sf):
     w = _wh(spark, sf)
-    return Q.table_counts({**w.dims, "fato_venda": w.fact, "lake_month": w.lake_month(),
+    dims = {n: w.dims[n] for n in ("dim_tempo", "dim_produto", "dim_cliente", "dim_vendedor",
+                                   "dim_localidade")}
+    return Q.table_counts({**dims, "fato_venda": w.fact, "lake_month": w.lake_month(),
                            "vendas_ano_mes": w.vam, "vendas_localidade": w.vloc})
 
 

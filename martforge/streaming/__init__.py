@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The sales mart is a daily batch job. Its only incremental unit is the
+calendar month of the run date, exported to the lake by dynamic partition
+overwrite (``martforge.plans.lake``); late items are picked up because the
+fact is rebuilt in full on every run. There is no event stream, watermark,
+window or state to maintain, so nothing here uses Structured Streaming.
+"""

@@ -212,3 +212,14 @@ def _src(spark, **over):
         "estado": "id int, descricao string, sigla string",
     }
     return SourceTables(**{k: over.get(k, spark.createDataFrame([], v)) for k, v in empty.items()})
+
+
+def test_create_if_absent(spark, tmp_uri):
+    from martforge.operators.sinks import create_if_absent
+    from martforge.schemas import VENDAS_ANO_MES
+
+    path = f"{tmp_uri}/mart"
+    assert create_if_absent(spark, path, VENDAS_ANO_MES) is True
+    assert create_if_absent(spark, path, VENDAS_ANO_MES) is False
+    df = spark.read.parquet(path)
+    assert df.count() == 0 and df.columns == VENDAS_ANO_MES.fieldNames()
