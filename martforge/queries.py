@@ -599,7 +599,7 @@ FROM k"""
 
 def _shipping_sql(final: str) -> str:
     return f"""WITH grp AS (
-  SELECT year(l.l_shipdate) AS ano_envio, p.p_type AS tipo, s.s_nationkey AS nacao,
+  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS ano_envio, p.p_type AS tipo, s.s_nationkey AS nacao,
          CAST(sum(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2))
                   * CAST(1 - CAST(l.l_discount AS DECIMAL(5,2)) AS DECIMAL(5,2))
                   * CAST(1 + CAST(l.l_tax AS DECIMAL(5,2)) AS DECIMAL(5,2)) AS DECIMAL(18,2)))

@@ -66,3 +66,25 @@ def compare(spark_df, sql: str, sf_dir: str, con=None) -> dict:
         dd = [x for x in d if x not in set(s)][:3] if len(d) < 200000 else []
         out["why"] = {"cols": order, "only_spark": ds, "only_oracle": dd}
     return out
+
+
+def duck_type(t) -> str:
+    """Spark type -> DuckDB type name."""
+    from pyspark.sql import types as T
+
+    simple = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.ShortType: "SMALLINT",
+              T.DoubleType: "DOUBLE", T.StringType: "VARCHAR", T.DateType: "DATE",
+              T.BooleanType: "BOOLEAN", T.TimestampNTZType: "TIMESTAMP",
+              T.TimestampType: "TIMESTAMP"}
+    for cls, name in simple.items():
+        if isinstance(t, cls):
+            return name
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return str(t)
+
+
+def type_diff(spark_df, sql: str, con) -> dict:
+    s = {f.name: duck_type(f.dataType) for f in spark_df.schema.fields}
+    d = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_compare import compare, duck
+from tests.oracle_compare import compare, duck, type_diff
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()
@@ -20,7 +20,9 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_dir, con, name):
-    r = compare(QUERIES[name](spark, sf_dir), SQL[name], sf_dir, con)
+    df = QUERIES[name](spark, sf_dir)
+    assert type_diff(df, SQL[name], con) == {}
+    r = compare(df, SQL[name], sf_dir, con)
     assert r["match"], r
 
 
