@@ -133,9 +133,22 @@ def top_cities(vloc: DataFrame, ano: int | None = None, k: int = 20) -> DataFram
     everyone = Window.partitionBy(F.lit(1))
     return top.select(
         "cidade", "valor_total_real", "valor_total_esperado",
-        F.avg(F.col("valor_total_esperado").cast("double")).over(everyone).alias("media_meta"),
+        # exact decimal sum, then one division (no order-dependent float sum)
+        (F.sum("valor_total_esperado").over(everyone).cast("double")
+         / F.count(F.lit(1)).over(everyone)).alias("media_meta"),
     ).orderBy(F.col("valor_total_real").desc())
 
 
 def state_rank_intensity(vloc: DataFrame, ano: int | None = None, k: int = 10) -> DataFrame:
     return top_states(vloc, ano, k).select("sigla_estado", "posicao", "intensidade")
+
+
+def dashboard(vam: DataFrame, vloc: DataFrame, ano: int | None = None,
+              top_states_k: int = 10, top_cities_k: int = 20) -> dict[str, DataFrame]:
+    """Everything the dashboard shows for one year (default: the latest)."""
+    return {
+        "kpi_cards": kpi_cards(vam, ano),
+        "monthly_series": monthly_series(vam, ano),
+        "top_states": top_states(vloc, ano, top_states_k),
+        "top_cities": top_cities(vloc, ano, top_cities_k),
+    }
