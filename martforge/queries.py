@@ -10,6 +10,7 @@ of the rows written.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 from datetime import date
 from functools import cached_property
@@ -29,7 +30,9 @@ from martforge.plans import fact as FT
 from martforge.plans import lake as L
 from martforge.plans import marts as M
 from martforge.plans import reports as R
-from martforge.schemas import DIM_LOCALIDADE, DIM_PRODUTO, DIM_VENDEDOR
+from martforge.operators.sinks import replace_table
+from martforge.plans.pipeline import stage_sources
+from martforge.schemas import DIM_LOCALIDADE, DIM_PRODUTO, DIM_VENDEDOR, TABLES
 from martforge.session import scratch_dir
 from martforge.sources.calendar import resolve_calendar
 from martforge.sources.fixture import (fixture_sources, list_value, read_driver_table,
@@ -43,7 +46,7 @@ SECOND_MONTH = (1998, 7)
 
 
 class _LazyDims(dict):
-    """name -> dimension DataFrame, each built on first use."""
+    """name -> dimension, built and written once on first use, then read back."""
 
     def __init__(self, wh: "Warehouse"):
         super().__init__()
@@ -58,27 +61,45 @@ class _LazyDims(dict):
             "dim_vendedor": lambda: D.dim_vendedor(w.src, w.cfg),
             "dim_localidade": lambda: D.dim_localidade(w.src, w.cfg),
         }
-        df = builders[name]()
+        df = w.table(name, builders[name])
         self[name] = df
         return df
 
 
 class Warehouse:
-    """All products of one run over the fixture sources, built lazily."""
+    """All products of one run over the fixture sources.
+
+    Tables are built on first use and written once to a folder under the
+    session's shared checkpoint directory (lineage is cut there, and later
+    plans see real file sizes); the marts and reports are plans over them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG):
         self.spark, self.sf_dir = spark, sf_dir
-        self.src = fixture_sources(spark, sf_dir)
+        self.raw = fixture_sources(spark, sf_dir)
         self._cfg = cfg
+        self.root = scratch_dir(spark, "registry")
         self.dims = _LazyDims(self)
+        self._lock = threading.RLock()
+
+    @cached_property
+    def src(self):
+        return stage_sources(self.raw, f"{self.root}/staging")
 
     @cached_property
     def cfg(self) -> PipelineConfig:
         return resolve_calendar(self.src, self._cfg)
 
+    def table(self, name: str, build, sort_by: list[str] | None = None) -> DataFrame:
+        with self._lock:
+            path = f"{self.root}/{name}"
+            replace_table(build(), path, TABLES[name], sort_by=sort_by)
+            return self.spark.read.parquet(path)
+
     @cached_property
     def fact(self) -> DataFrame:
-        return FT.fato_venda(self.src, self.dims, self.cfg)
+        return self.table("fato_venda", lambda: FT.fato_venda(self.src, self.dims, self.cfg),
+                          sort_by=["sk_tempo", "sk_produto"])
 
     @cached_property
     def marts(self) -> tuple[DataFrame, DataFrame]:
@@ -102,8 +123,31 @@ class Warehouse:
         return L.lake_month(self.fact, d["dim_tempo"], d["dim_localidade"], self.cfg, y, m)
 
 
+_BUILT: dict[tuple, Warehouse] = {}
+_BUILT_LOCK = threading.Lock()
+
+
 def _wh(spark: SparkSession, sf_dir: str, **cfg) -> Warehouse:
-    return Warehouse(spark, sf_dir, FIXTURE_CONFIG.with_(**cfg) if cfg else FIXTURE_CONFIG)
+    """One warehouse per (session, input folder, parameters), reused by every
+    registered query of that session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(sorted(cfg.items())))
+    with _BUILT_LOCK:
+        w = _BUILT.get(key)
+        if w is None:
+            w = Warehouse(spark, sf_dir, FIXTURE_CONFIG.with_(**cfg) if cfg else FIXTURE_CONFIG)
+            _BUILT[key] = w
+    if cfg and "src" not in w.__dict__:
+        # A variant shares the source snapshot and every dimension its
+        # parameters do not change with the default warehouse.
+        base = _wh(spark, sf_dir)
+        w.__dict__["src"] = base.src
+        for name in ("dim_produto", "dim_cliente", "dim_vendedor", "dim_localidade"):
+            w.dims.setdefault(name, base.dims[name])
+        if not ({"calendar_start", "calendar_end"} & set(cfg)):
+            w.dims.setdefault("dim_tempo", base.dims["dim_tempo"])
+            if "fact" not in w.__dict__:
+                w.__dict__["fact"] = base.fact
+    return w
 
 
 # ---------------------------------------------------------------- SQL helpers
