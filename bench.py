@@ -26,7 +26,8 @@ def main() -> None:
 
     work = tempfile.mkdtemp(prefix="martforge-bench-")
     spark = build_session(
-        f"local[{cpus}]", app="martforge-bench", shuffle_partitions=max(8, cpus * 2),
+        f"local[{cpus}]", app="martforge-bench",
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))),
         spark__driver__memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         spark__checkpoint__dir=os.path.join(work, "checkpoints"),
         spark__eventLog__enabled="false",
