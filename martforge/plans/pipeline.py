@@ -142,6 +142,10 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     # month filter of the lake export skips row groups by their statistics.
     fact = _materialise(FT.fato_venda(src, dims, cfg), f"{wh}/fato_venda", "fato_venda", counts,
                         sort_by=["sk_tempo", "sk_produto"])
+    if counts["fato_venda"] == 0:
+        # Nothing to aggregate: stop before the marts; the previous
+        # publication stays current.
+        raise Q.ValidationError("fato_venda is empty: the sources have no invoice items")
     t = tick("fact", t)
 
     location = None
@@ -180,6 +184,12 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
 
     report = Q.validation_report(Q.counts_frame(spark, counts))
     warnings = Q.assert_valid(report)
+    # A natural key held by two dimension rows fans fact rows out; the dims are
+    # small, so checking them is cheaper than re-counting the source join.
+    dup = Q.duplicate_keys({n: (dims[n], [D.KEYED_DIMENSIONS[n][2][-1]])
+                            for n in D.KEYED_DIMENSIONS})
+    warnings += [f"{r['tabela']}: {r['chaves_duplicadas']} duplicated natural keys"
+                 for r in dup.where("chaves_duplicadas > 0").collect()]
     if publish:
         # Tiny one-line text file written by a JVM-only plan (no Python worker).
         safe = run_id.replace("'", "")

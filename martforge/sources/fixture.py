@@ -87,6 +87,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> SourceTables:
         realised_value().alias("valor_venda_real"),
     )
 
+    # Category ids numbered by name; the distinct type names form one small
+    # range (a text key has no quantiles to split on).
     categoria = dense_key(
         part.select(F.col("p_type").alias("descricao")).distinct(), "id", ["descricao"]
     ).select(F.col("id").cast("int").alias("id"), "descricao")

@@ -32,6 +32,7 @@ def test_counts_and_pointer(spark, run):
 def test_fact_rows_equal_source_lines(spark, run):
     _, src, res = run
     assert res.counts["fato_venda"] == sales_lines(src).count()
+    assert not any("duplicated" in w for w in res.warnings)
 
 
 def test_surrogate_keys_are_one_to_n(spark, run):
