@@ -152,17 +152,18 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     if cfg.ds:
         ano, mes = L.month_of(cfg.ds)
         rows = L.lake_month(fact, dims["dim_tempo"], dims["dim_localidade"], cfg, ano, mes)
-        counts["lake_month"] = 0
-        if not rows.isEmpty():          # an empty month writes no partition
-            ob = Observation("lake_month")
-            observed = rows.observe(ob, F.count(F.lit(1)).alias("rows"))
-            if lake_fallback:
-                location = L.write_lake_with_fallback(observed, lake_root, lake_fallback)
-                counts["lake_month"] = L.read_lake_month(spark, location, ano, mes).count()
-            else:
-                L.write_lake(observed, lake_root)
-                location = lake_root
-                counts["lake_month"] = int(ob.get["rows"])
+        ob = Observation("lake_month")
+        observed = rows.observe(ob, F.count(F.lit(1)).alias("rows"))
+        # A month without sales creates no ano=/mes= folder: dynamic partition
+        # overwrite only touches partitions that receive rows.
+        if lake_fallback:
+            used = L.write_lake_with_fallback(observed, lake_root, lake_fallback)
+            counts["lake_month"] = L.read_lake_month(spark, used, ano, mes).count()
+        else:
+            L.write_lake(observed, lake_root)
+            used = lake_root
+            counts["lake_month"] = int(ob.get["rows"])
+        location = used if counts["lake_month"] > 0 else None
         t = tick("lake", t)
 
     mart = f"{run_root}/mart"

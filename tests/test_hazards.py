@@ -247,3 +247,15 @@ def test_append_skips_empty_input(spark, tmp_uri):
     path = f"{tmp_uri}/empty"
     assert append_table(spark.createDataFrame([], "a int"), path) == 0
     assert not path_exists(spark, path)
+
+
+def test_null_customer_never_matches_a_null_address_owner(spark):
+    """SQL join semantics: an address without owner is not attached to sales
+    without customer (a pandas merge would match NULL to NULL)."""
+    nf = spark.createDataFrame([(1, None, None, None)],
+                               "id long, data_venda timestamp, id_cliente long, id_vendedor long")
+    loc = spark.createDataFrame([(1, None)], "sk_localidade long, id_pessoa long")
+    empty = lambda sk: spark.createDataFrame([], f"{sk} long, id_pessoa long")
+    hdr = FT.resolved_headers(_src(spark, nota_fiscal=nf), D.dim_tempo(spark, X.CFG),
+                              empty("sk_cliente"), empty("sk_vendedor"), loc).collect()
+    assert [(r["id_nota"], r["sk_localidade"]) for r in hdr] == [(1, None)]
