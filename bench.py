@@ -9,8 +9,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,15 +24,14 @@ def main() -> None:
     from martforge.session import build_session, shared_dir
     from martforge.sources.fixture import fixture_sources
 
-    work = tempfile.mkdtemp(prefix="martforge-bench-")
     spark = build_session(
         f"local[{cpus}]", app="martforge-bench",
         shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))),
         spark__driver__memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-        spark__checkpoint__dir=os.path.join(work, "checkpoints"),
         spark__eventLog__enabled="false",
     )
-    root = shared_dir(spark, "bench")
+    # Under the session's spark.checkpoint.dir (a temp folder only when unset).
+    root = shared_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
     timings: dict[str, float] = {}
     t0 = time.time()
     res = run_pipeline(spark, fixture_sources(spark, sf_dir), FIXTURE_CONFIG, root)
