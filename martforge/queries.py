@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from martforge import oracle_sql as O
 from martforge.config import FIXTURE_CONFIG, PipelineConfig
 from martforge.functions import format as FM
-from martforge.functions.measures import attainment_pct, avg_ticket
+from martforge.functions.measures import attainment_pct, avg_ticket, discount, discount_pct
 from martforge.operators import quality as Q
 from martforge.operators import sinks as K
 from martforge.operators.keys import dense_key
@@ -253,13 +253,11 @@ def q_sales_lines(spark, sf):
 
 def q_fact_discount(spark, sf):
     s = FT.sales_lines(_wh(spark, sf).src)
-    from martforge.functions.measures import discount
     return s.select("id_nota", "id_produto", "valor_venda", "valor_unitario",
                     discount(F.col("valor_venda"), F.col("valor_unitario")).alias("desconto"))
 
 
 def q_fact_discount_pct(spark, sf):
-    from martforge.functions.measures import discount, discount_pct
     s = FT.sales_lines(_wh(spark, sf).src)
     d = discount(F.col("valor_venda"), F.col("valor_unitario"))
     return s.select("id_nota", "id_produto", "valor_unitario", d.alias("desconto"),

@@ -12,6 +12,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size rather than keeping
+    # one per core (the setting the Spark docs advise for shared clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
