@@ -259,3 +259,13 @@ def test_null_customer_never_matches_a_null_address_owner(spark):
     hdr = FT.resolved_headers(_src(spark, nota_fiscal=nf), D.dim_tempo(spark, X.CFG),
                               empty("sk_cliente"), empty("sk_vendedor"), loc).collect()
     assert [(r["id_nota"], r["sk_localidade"]) for r in hdr] == [(1, None)]
+
+
+def test_ratios_round_half_up_and_money_stays_exact(spark):
+    # 1.25 / 1 * 100 = 125.0 exactly; 0.125 -> 12.5 -> one decimal half-up = 12.5
+    df = spark.createDataFrame([(Dm("97.25"), Dm("100.00")), (Dm("0.125"), Dm("1.000"))],
+                               "r decimal(18,3), e decimal(18,3)")
+    got = [r["p"] for r in df.select(MS.attainment_pct(F.col("r"), F.col("e"), 0).alias("p")).collect()]
+    assert got == [97.0, 13.0]          # 97.25 -> 97, 12.5 -> 13 (half-up, not half-even)
+    d = spark.createDataFrame([(Dm("10.005"), Dm("0.001"))], "a decimal(18,3), b decimal(18,3)")
+    assert d.select(MS.discount(F.col("a"), F.col("b")).alias("x")).first()["x"] == Dm("10.00")

@@ -63,6 +63,10 @@ def test_lake_month_rerun_is_idempotent(spark, run, tmp_path):
     assert before == res.counts["lake_month"] > 0
     again = run_pipeline(spark, src, FIXTURE_CONFIG, root)
     assert L.read_lake_month(spark, res.lake_root, ano, mes).count() == before
+    # same data, same surrogate keys (they follow the natural key, not arrival order)
+    for name in ("dim_cliente", "dim_localidade", "fato_venda"):
+        a, b = res.table(spark, name), again.table(spark, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     assert current_run(spark, root) == again.run_id
     # directories are not zero-padded
     assert L.read_lake_month(spark, res.lake_root, ano, mes).inputFiles()[0].find(f"mes={mes}/") > 0
