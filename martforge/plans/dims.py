@@ -132,3 +132,15 @@ def key_dimension(name: str, rows: DataFrame, cfg: PipelineConfig | None = None)
     _, sk, order_by, schema = KEYED_DIMENSIONS[name]
     buckets = cfg.key_buckets if cfg is not None else None
     return conform(dense_key(rows, sk, order_by, buckets=buckets), schema)
+
+
+def write_keyed_dimension(name: str, src: SourceTables, cfg: PipelineConfig | None, sink):
+    """Build dimension ``name`` and hand it to ``sink`` (which writes it).
+
+    Its rows are read twice (key-range boundaries, then numbering), so they
+    are cached for the duration of the write and released afterwards."""
+    rows = KEYED_DIMENSIONS[name][0](src).persist()
+    try:
+        return sink(key_dimension(name, rows, cfg))
+    finally:
+        rows.unpersist()

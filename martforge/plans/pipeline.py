@@ -122,15 +122,8 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
 
     wh = f"{run_root}/warehouse"
     def keyed(name: str):
-        def run():
-            # The rows are used twice (key-range boundaries, then numbering):
-            # keep them for the duration of the write.
-            rows = D.KEYED_DIMENSIONS[name][0](src).persist()
-            try:
-                return _materialise(D.key_dimension(name, rows, cfg), f"{wh}/{name}", name, counts)
-            finally:
-                rows.unpersist()
-        return run
+        return lambda: D.write_keyed_dimension(
+            name, src, cfg, lambda df: _materialise(df, f"{wh}/{name}", name, counts))
 
     tasks = {"dim_tempo": lambda: _materialise(D.dim_tempo(spark, cfg), f"{wh}/dim_tempo",
                                                "dim_tempo", counts)}

@@ -54,14 +54,11 @@ class _LazyDims(dict):
 
     def __missing__(self, name: str) -> DataFrame:
         w = self._wh
-        builders = {
-            "dim_tempo": lambda: D.dim_tempo(w.spark, w.cfg),
-            "dim_produto": lambda: D.dim_produto(w.src, w.cfg),
-            "dim_cliente": lambda: D.dim_cliente(w.src, w.cfg),
-            "dim_vendedor": lambda: D.dim_vendedor(w.src, w.cfg),
-            "dim_localidade": lambda: D.dim_localidade(w.src, w.cfg),
-        }
-        df = w.table(name, builders[name])
+        if name == "dim_tempo":
+            df = w.table(name, lambda: D.dim_tempo(w.spark, w.cfg))
+        else:
+            df = D.write_keyed_dimension(name, w.src, w.cfg,
+                                         lambda keyed: w.table(name, lambda: keyed))
         self[name] = df
         return df
 
