@@ -124,6 +124,12 @@ _BUILT: dict[tuple, Warehouse] = {}
 _BUILT_LOCK = threading.Lock()
 
 
+def reset_registry() -> None:
+    """Forget the tables built for earlier queries (e.g. after the inputs changed)."""
+    with _BUILT_LOCK:
+        _BUILT.clear()
+
+
 def _wh(spark: SparkSession, sf_dir: str, **cfg) -> Warehouse:
     """One warehouse per (session, input folder, parameters), reused by every
     registered query of that session."""

@@ -30,7 +30,7 @@ def build_session(master: str | None = None, app: str = "martforge",
     settings["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
+    settings.update({(k if "." in k else k.replace("__", ".")): str(v) for k, v in conf.items()})
     for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -87,3 +87,25 @@ def ensure_dir(path: str) -> str:
     if lp is not None:
         os.makedirs(lp, exist_ok=True)
     return path
+
+
+def sizing(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 << 20,
+           broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``.
+
+    Shuffles start with about one partition per ``partition_bytes`` of input
+    (at least two per core) and AQE merges the small ones, so no shuffle
+    partition outgrows executor memory at any scale; skew splitting kicks in
+    at four times the target. Pass the result to ``build_session(**...)`` or
+    to spark-submit ``--conf``.
+    """
+    n = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
