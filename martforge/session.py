@@ -89,23 +89,24 @@ def ensure_dir(path: str) -> str:
     return path
 
 
-def sizing(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 << 20,
-           broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+def sizing(input_bytes: int, total_cores: int, *, input_per_partition: int = 1 << 30,
+           advisory_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``.
 
-    Shuffles start with about one partition per ``partition_bytes`` of input
-    (at least two per core) and AQE merges the small ones, so no shuffle
-    partition outgrows executor memory at any scale; skew splitting kicks in
-    at four times the target. Pass the result to ``build_session(**...)`` or
-    to spark-submit ``--conf``.
+    One file split and one initial shuffle partition per ``input_per_partition``
+    of input (at least two per core): the shuffled columns are a fraction of
+    the input, so a shuffle partition stays well under a GB, and the number of
+    map outputs x reducers stays manageable. AQE then merges partitions towards
+    ``advisory_bytes`` and splits skewed ones above four times that. Pass the
+    result to ``build_session(**...)`` or to spark-submit ``--conf``.
     """
-    n = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    n = max(2 * total_cores, -(-input_bytes // input_per_partition))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory_bytes),
+        "spark.sql.files.maxPartitionBytes": str(input_per_partition),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
     }
