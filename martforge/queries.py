@@ -334,15 +334,10 @@ def q_lake_month_scan(spark, sf):
 
 def q_lake_write_fallback(spark, sf):
     w = _wh(spark, sf)
-    base = scratch_dir(spark, "lakefb")
-    blocker = f"{base}/not-a-dir"
-    from martforge.session import local_path
-    lp = local_path(blocker)
-    if lp is not None:
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
-        with open(lp, "w") as fh:   # a file where the primary lake root should be a folder
-            fh.write("x")
-    primary, fallback = f"{blocker}/lake", f"{base}/fallback"
+    # The primary lake is unreachable (a URI scheme no file system serves), so
+    # the month lands in the fallback location.
+    primary = "unreachable-lake://primary/vendas"
+    fallback = scratch_dir(spark, "lake-fallback")
     used = L.write_lake_with_fallback(w.lake_month(), primary, fallback)
     rows = L.read_lake_month(spark, used, *w.month())
     return rows.withColumn("destino", F.lit("fallback" if used == fallback else "primary"))
