@@ -51,15 +51,11 @@ def lake_month(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: DataFrame,
 
 
 def write_lake(rows: DataFrame, root: str, *, compression: str = "snappy") -> None:
-    """Write rows partitioned by ano/mes, replacing only the partitions present."""
-    spark = rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (rows.write.mode("overwrite").partitionBy(*PARTITION_COLS)
-         .option("compression", compression).parquet(root))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """Write rows partitioned by ano/mes, replacing only the partitions present
+    (per-write dynamic overwrite: no session setting is touched)."""
+    (rows.write.mode("overwrite").partitionBy(*PARTITION_COLS)
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", compression).parquet(root))
 
 
 def write_lake_with_fallback(rows: DataFrame, primary: str, fallback: str) -> str:

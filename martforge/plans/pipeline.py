@@ -141,8 +141,10 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
         raise Q.ValidationError("fato_venda is empty: the sources have no invoice items")
     t = tick("fact", t)
 
-    location = None
-    if cfg.ds:
+    # Lake month and marts only read the written fact: run them side by side.
+    def export_month():
+        if not cfg.ds:
+            return None
         ano, mes = L.month_of(cfg.ds)
         rows = L.lake_month(fact, dims["dim_tempo"], dims["dim_localidade"], cfg, ano, mes)
         ob = Observation("lake_month")
@@ -156,15 +158,15 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
             L.write_lake(observed, lake_root)
             used = lake_root
             counts["lake_month"] = int(ob.get["rows"])
-        location = used if counts["lake_month"] > 0 else None
-        t = tick("lake", t)
+        return used if counts["lake_month"] > 0 else None
 
     mart = f"{run_root}/mart"
     # One pre-aggregate of the fact feeds both marts; it is small (months x
     # locations) and kept for the two writes so the fact is scanned once.
     pre = M.month_location_sums(fact, dims["dim_tempo"], cfg).persist()
     try:
-        parallel({
+        done = parallel({
+            "lake": export_month,
             "vendas_ano_mes": lambda: _materialise(
                 M.vendas_ano_mes(fact, dims["dim_tempo"], cfg, pre=pre),
                 f"{mart}/vendas_ano_mes", "vendas_ano_mes", counts),
@@ -174,7 +176,8 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
         })
     finally:
         pre.unpersist()
-    t = tick("marts", t)
+    location = done["lake"]
+    t = tick("lake_and_marts", t)
 
     report = Q.validation_report(Q.counts_frame(spark, counts))
     warnings = Q.assert_valid(report)
