@@ -133,7 +133,8 @@ def reset_registry() -> None:
 def _wh(spark: SparkSession, sf_dir: str, **cfg) -> Warehouse:
     """One warehouse per (session, input folder, parameters), reused by every
     registered query of that session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(sorted(cfg.items())))
+    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir),
+           tuple(sorted(cfg.items())))
     with _BUILT_LOCK:
         w = _BUILT.get(key)
         if w is None:

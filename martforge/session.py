@@ -41,7 +41,7 @@ def build_session(master: str | None = None, app: str = "martforge",
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -50,7 +50,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     Uses the checkpoint directory the cluster names in ``spark.checkpoint.dir``.
     Only a local-mode session (tests) may fall back to a fresh temp folder.
     """
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no classic context (e.g. Spark Connect)
+            root = None
     if not root:
         if not is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
