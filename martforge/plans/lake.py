@@ -52,8 +52,13 @@ def lake_month(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: DataFrame,
 
 def write_lake(rows: DataFrame, root: str, *, compression: str = "snappy") -> None:
     """Write rows partitioned by ano/mes, replacing only the partitions present
-    (per-write dynamic overwrite: no session setting is touched)."""
-    (rows.write.mode("overwrite").partitionBy(*PARTITION_COLS)
+    (per-write dynamic overwrite: no session setting is touched).
+
+    The month is a filtered slice of the fact scan; the REBALANCE hint lets AQE
+    merge the slices into files of the advisory size (and split a very large
+    month into many), instead of one small file per fact split."""
+    (rows.hint("rebalance", *PARTITION_COLS)
+     .write.mode("overwrite").partitionBy(*PARTITION_COLS)
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).parquet(root))
 
