@@ -160,6 +160,14 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
             counts["lake_month"] = int(ob.get["rows"])
         return used if counts["lake_month"] > 0 else None
 
+    def duplicated_keys() -> list[str]:
+        # A natural key held by two dimension rows fans fact rows out; the dims
+        # are small, so checking them is cheaper than re-counting the source join.
+        dup = Q.duplicate_keys({n: (dims[n], [D.KEYED_DIMENSIONS[n][2][-1]])
+                                for n in D.KEYED_DIMENSIONS})
+        return [f"{r['tabela']}: {r['chaves_duplicadas']} duplicated natural keys"
+                for r in dup.where("chaves_duplicadas > 0").collect()]
+
     mart = f"{run_root}/mart"
     # One pre-aggregate of the fact feeds both marts; it is small (months x
     # locations) and kept for the two writes so the fact is scanned once.
@@ -167,6 +175,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     try:
         done = parallel({
             "lake": export_month,
+            "key_check": duplicated_keys,
             "vendas_ano_mes": lambda: _materialise(
                 M.vendas_ano_mes(fact, dims["dim_tempo"], cfg, pre=pre),
                 f"{mart}/vendas_ano_mes", "vendas_ano_mes", counts),
@@ -181,12 +190,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
 
     report = Q.validation_report(Q.counts_frame(spark, counts))
     warnings = Q.assert_valid(report)
-    # A natural key held by two dimension rows fans fact rows out; the dims are
-    # small, so checking them is cheaper than re-counting the source join.
-    dup = Q.duplicate_keys({n: (dims[n], [D.KEYED_DIMENSIONS[n][2][-1]])
-                            for n in D.KEYED_DIMENSIONS})
-    warnings += [f"{r['tabela']}: {r['chaves_duplicadas']} duplicated natural keys"
-                 for r in dup.where("chaves_duplicadas > 0").collect()]
+    warnings += done["key_check"]
     if publish:
         # Tiny one-line text file written by a JVM-only plan (no Python worker).
         safe = run_id.replace("'", "")
