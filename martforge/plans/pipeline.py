@@ -121,6 +121,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     cfg = resolve_calendar(src, cfg)
 
     wh = f"{run_root}/warehouse"
+
     def keyed(name: str):
         return lambda: D.write_keyed_dimension(
             name, src, cfg, lambda df: _materialise(df, f"{wh}/{name}", name, counts))
