@@ -23,14 +23,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    """Exact comparison: doubles by their exact value, decimals by value
+    (Decimal('1.50') == Decimal('1.5')), NaN as NULL."""
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return repr(v)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return str(v.normalize())
     if isinstance(v, _dt.datetime):
         return v.isoformat()
     if isinstance(v, _dt.date):
