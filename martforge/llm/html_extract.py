@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 linear scan finds the contiguous run with the highest sum, which is the content.
 Weights are learned from labelled pages: pages whose own markup names the content
 (``article`` or ``main``). A tag's weight is its log odds of being inside the content
-(never above ``TAG_MOST``); a word's weight depends on the block it stands in (the tag and
+(never above ``TAG_MOST``, which is also what tags score in parts
+that are not content); a word's weight depends on the block it stands in (the tag and
 class of its innermost block) and is the log odds of that block (never below
 ``WORD_LEAST``). Weights are fitted on at most ``MAX_LABELLED`` pages, lowest hash of the
 id first; every page is scored.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from martforge.llm.common import small_batches
 
 MAX_LABELLED = 2000
-TAG_MOST, WORD_LEAST = -0.05, 0.01
+TAG_MOST, WORD_LEAST = -0.05, 0.001
 
 # Fixed lists: HTML elements by role, and class words of what is not content.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "select")
@@ -159,13 +160,16 @@ def _implied(name: str, stack: list[_Open]) -> bool:
 
 
 def count_features(page: str | None) -> Counter:
-    """(feature, inside) -> times, on a labelled page: tags once each, words by block."""
+    """(feature, inside) -> times, on a labelled page: tags once each, words by block.
+    Parts that are not content by their tag or class teach nothing about the others."""
     found: Counter = Counter()
     for t in tokens(page):
+        if t.chrome:
+            continue
         if t.name:
-            found[f"t:{t.key}", t.inside and not t.chrome] += 1
+            found[f"t:{t.key}", t.inside] += 1
         elif n := len(t.text.split()):
-            found[f"w:{t.block}", t.inside and not t.chrome] += n
+            found[f"w:{t.block}", t.inside] += n
     return found
 
 
@@ -183,7 +187,7 @@ class Weights:
         if not t.name:
             n = len(t.text.split())
             return n * (WORD_LEAST if t.chrome else self.words.get(t.block, 0.5)) if n else 0.0
-        if t.name in INLINE:
+        if t.chrome or t.name in INLINE:
             return min(TAG_MOST, self.tags.get(t.key, TAG_MOST))
         return self.tags.get(t.key, -1.0)
 

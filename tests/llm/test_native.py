@@ -1,0 +1,231 @@
+"""PII, quality rules, sharding, mixing: against brute force on awkward rows."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from martforge.llm import mixing, pii, quality_rules, sharding
+from tests.llm import brute
+from tests.llm.frames import DOCS, docs
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return docs(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return docs(spark, [])
+
+
+def python_nodes(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in ("Python", "Arrow", "Pandas") if x in plan]
+
+
+# --- PII
+
+PII_TEXTS = [
+    "a@b.c d@e.f.g x@y @z a@b a.b%c@d-e.f_g@h.i a@b.c.d@e.f", "1.2.3.4.5.6.7.8 01.02.003.255 256.1.1.1 1.2.3", "1..2.3.4.5",
+    "4111-1111 1111 1111 4111 1111 1111 1112 4111111111111111 1234567890123456789012", "+1 (555) 123-4567+49 30 1234567 +1 2",
+    "+123456789012345678", "𝒳 a@b.co 𝒴 10.0.0.1", "a" * 50_000 + "@", "1" * 30_000, "a@b.co " * 700, "1.2.3.4 " * 300 + "+1 555 1234567 " * 300,
+    "x@" + "a." * 20_000 + "b", "+" * 2000 + "1 2", None, "",
+]
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    df = spark.createDataFrame(list(enumerate(PII_TEXTS)), "doc_id long, text string")
+    for r in pii.pii_report(df).collect():
+        want = brute.base_spans(PII_TEXTS[r.doc_id])
+        assert r.base_sha256 == brute.sha(",".join(want)), r.doc_id
+        assert set(want) <= set(r.spans.split(",")) or not want
+        for kind in pii.BASE_KINDS:
+            assert r[f"n_{kind}"] == sum(w.startswith(kind) for w in want)
+
+
+def test_places_survive_many_matches(spark):
+    text = "".join(random.Random(1).choice(["é", "𝒳", " ", "z"]) + "@1" for _ in range(3000))
+    df = spark.createDataFrame([(text,)], "text string").select(pii.located(F.col("text"), "@1").alias("m"))
+    assert [(x.s, x.e) for x in df.first().m] == [(i, i + 2) for i in range(len(text)) if text[i:i + 2] == "@1"]
+
+
+def test_pii_awkward_rows(awkward, empty):
+    rows = pii.pii_report(awkward).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(d[0] for d in DOCS)
+    assert pii.pii_report(empty).collect() == []
+    assert python_nodes(pii.pii_report(awkward)) == []
+
+
+def test_pii_adds_spans_and_leaves_prose(spark):
+    prose = [f"On page {i} of the report we read about {i} apples and version 2.{i} of the plan." for i in range(40)]
+    found = [f"write to jane.doe{i} (at) mail (dot) com please" for i in range(20)]
+    keys = [f"the key is AKIA{'ABCD0123EFGH4567'} and password=hunter2hunter{i}" for i in range(10)]
+    df = spark.createDataFrame(list(enumerate(prose + found + keys)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_report(df).collect()}
+    assert all(got[i] == "" for i in range(40))
+    assert all("email:" in got[i] for i in range(40, 60))
+    assert all(got[i].count("secret:") == 2 for i in range(60, 70))
+
+
+def test_em_recovers_labeler_reliability():
+    rng = random.Random(3)
+    good = ((0.9, 0.05), (0.8, 0.1), (0.6, 0.3))  # right, wrong, else abstains
+    counts = Counter()
+    for _ in range(20_000):
+        sign = 1 if rng.random() < 0.4 else -1
+        counts[tuple(sign if (u := rng.random()) < r else -sign if u < r + w else 0 for r, w in good)] += 1
+    prior, found = pii.estimate_labelers(counts)
+    assert abs(prior - 0.4) < 0.03
+    for k, (right, wrong) in enumerate(good):
+        assert all(abs(found[k][c] - right / (right + wrong)) < 0.04 for c in (0, 1))
+
+
+# --- quality rules
+
+def test_measurements(awkward, empty):
+    rows = {(r.doc_id, r.n_words, r.word_chars): r for r in quality_rules.quality_report(awkward).collect()}
+    for doc_id, text, *_ in DOCS:
+        w = brute.WORD.findall(text or "")
+        lines = [x for x in (text or "").split("\n") if brute.WORD.search(x)]
+        r = rows[doc_id, len(w), sum(map(len, w))]
+        assert r.n_symbols == sum((text or "").count(c) for c in "#*$%&|<>")
+        assert r.n_dup_lines == len(lines) - len(set(lines))
+        assert r.n_repeat_words == brute.repeat_words(w)
+        assert r.base_failed == (len(w) < 20 or 100 * r.n_repeat_words > 30 * len(w))
+        assert not (r.kept and r.base_failed)
+    assert quality_rules.quality_report(empty).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_windows(spark, seed):
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice("abc" if n % 2 else "abcdefghijklmnop") for _ in range(rng.randrange(0, 60))) for n in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules.ledger(df).collect():
+        assert r.n_repeat_words == brute.repeat_words(texts[r.doc_id].split()), texts[r.doc_id]
+
+
+def test_policies_and_ablations(awkward):
+    ledger = quality_rules.ledger(awkward).cache()
+    bits = [r.fail_bits & quality_rules.POLICIES["v2"] for r in ledger.collect()]
+    for r in quality_rules.ablations(ledger, "v2").collect():
+        bit = quality_rules.BIT[r.rule]
+        assert (r.n_failed, r.n_only_this) == (sum(1 for b in bits if b & bit), sum(1 for b in bits if b == bit))
+    kept = quality_rules.keep_good(awkward)
+    assert kept.columns == awkward.columns
+    assert kept.count() == sum(b == 0 for b in bits)
+    assert python_nodes(kept) == []
+
+
+# --- sharding
+
+def check_shards(rows, texts, shards):
+    assert len(rows) == len(texts)
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r)
+    assert all(0 <= k < shards for k in by)
+    for rs in by.values():
+        assert sorted(r.slot for r in rs) == list(range(len(rs)))
+    return {k: sum(r["size"] for r in rs) for k, rs in by.items()}
+
+
+def test_shards_awkward_rows(awkward, empty):
+    rows = sharding.assign_shards(awkward).collect()
+    sizes = check_shards(rows, DOCS, 40)
+    want = Counter((d[0], len((d[1] or "").encode()) + 16, zlib.crc32((d[1] or "").encode())) for d in DOCS)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == want
+    crc = defaultdict(set)
+    for r in rows:
+        if r.text_crc32:
+            crc[r.text_crc32].add(r.shard)
+    assert all(len(s) == 1 for s in crc.values())
+    assert max(sizes.values()) == max(r["size"] for r in rows)  # the long text alone
+    assert sharding.assign_shards(empty).collect() == []
+    assert python_nodes(sharding.assign_shards(awkward)) == []
+
+
+def test_shards_stay_even_beside_a_giant_group(spark):
+    rng = random.Random(5)
+    texts = ["same " * 50] * 700 + ["x" * rng.randrange(50, 400) + str(i) for i in range(1400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    sizes = check_shards(sharding.assign_shards(df).collect(), texts, 40)
+    giant = 700 * (250 + 16)
+    assert sizes[0] == giant
+    rest = [b for k, b in sizes.items() if k]
+    assert len(rest) == 39 and max(rest) - min(rest) <= 2 * 420
+
+
+def test_minimax_capacity_is_the_smallest():
+    rng = random.Random(0)
+
+    def best(sizes, shards):  # exact, by trying all capacities
+        for capacity in range(max(sizes), sum(sizes) + 1):
+            used, load = 1, 0
+            for s in sizes:
+                if load + s > capacity:
+                    used, load = used + 1, 0
+                load += s
+            if used <= shards:
+                return capacity
+
+    for _ in range(200):
+        sizes = [rng.randrange(1, 30) for _ in range(rng.randrange(1, 25))]
+        shards = rng.randrange(1, 8)
+        capacity, ends = sharding.minimax_cuts(sizes, shards)
+        assert capacity == best(sizes, shards)
+        assert ends[-1] == len(sizes) and len(ends) <= shards
+        assert all(sum(sizes[a:b]) <= capacity for a, b in zip([0, *ends], ends, strict=False))
+        order = sharding.packing_order(dict(enumerate(sizes)), shards)
+        assert sorted(order) == list(range(len(sizes)))
+
+
+# --- mixing
+
+def check_mix(rows, given, tolerance):
+    sizes = defaultdict(int)
+    for _, text, _, source, *_ in given:
+        sizes[source] += len(brute.WORD.findall(text or ""))
+    want = brute.targets(sizes)
+    taken = defaultdict(int)
+    assert len(rows) == len(given)
+    source_of = {d[0]: d[3] for d in given if d[0] is not None}
+    for r in rows:
+        source = source_of.get(r.doc_id)
+        assert r.source_size == sizes[source] and r.target == pytest.approx(want[source])
+        assert 0 <= r.taken <= 3 * r["size"] and (not r["size"] or r.taken % r["size"] == 0)
+        taken[source] += r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= tolerance(s, t), (s, taken[s], t)
+
+
+def test_mix_awkward_rows(awkward, empty):
+    rows = mixing.mix_report(awkward).collect()
+    longest = defaultdict(int)
+    for _, text, _, source, *_ in DOCS:
+        longest[source] = max(longest[source], len(brute.WORD.findall(text or "")))
+    check_mix(rows, DOCS, lambda s, t: longest[s])
+    again = mixing.mix_report(awkward.repartition(3)).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
+    assert mixing.mix_report(empty).collect() == []
+
+
+def test_mix_meets_targets(spark):
+    rng = random.Random(7)
+    given = [(i, "w " * max(1, int(rng.lognormvariate(4, 1))), "en", "hot" if i % 3 == 0 else f"s{i % 11}", 0) for i in range(1500)]
+    rows = mixing.mix_report(docs(spark, given)).collect()
+    check_mix(rows, given, lambda s, t: max(2, 0.01 * t))
+
+
+def test_mixed_documents_repeat_rows(awkward):
+    mixed = mixing.mixed_documents(awkward)
+    assert mixed.columns == awkward.columns
+    assert python_nodes(mixed) == []
+    want = Counter()
+    for r in mixing.mix_report(awkward).collect():
+        want[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == +want
