@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from martforge.queries import QUERIES as MART_QUERIES
+from martforge.queries import oracle
 from tests.oracle_compare import compare, duck, type_diff
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = dict(MART_QUERIES)
+SQL = oracle()
 
 
 def test_every_query_has_sql():
