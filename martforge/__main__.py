@@ -32,17 +32,22 @@ def main(argv: list[str] | None = None) -> int:
                                       " 'auto' spans the invoice years)")
     r.add_argument("--years", help="aggregation years, comma separated (default: all)")
     r.add_argument("--lake-fallback", help="second lake URI used when the first write fails")
+    r.add_argument("--strict-pct", action="store_true", help="fail on percentages that do not fit their column")
+    r.add_argument("--num-partitions", type=int, help="concurrent connections of JDBC reads and writes")
+    r.add_argument("--input-gb", type=float, help="size of a JDBC source, for the partition counts")
+    r.add_argument("--mart-jdbc-url", help="also write the marts to this database")
+    r.add_argument("--mart-mode", choices=("overwrite", "append"), default="overwrite")
     q = sub.add_parser("report", help="print the dashboard data of the published run")
     q.add_argument("--root", required=True)
     q.add_argument("--ano", type=int)
     a = p.parse_args(argv)
 
-    from martforge.session import build_session
+    from martforge.session import build_session, input_state, sizing
 
     spark = build_session()
     if a.cmd == "run":
         from martforge.config import FIXTURE_CONFIG, PipelineConfig
-        from martforge.plans.pipeline import run_pipeline
+        from martforge.plans.pipeline import deliver_marts, run_pipeline
         from martforge.sources import fixture_sources, jdbc_sources
 
         cfg = FIXTURE_CONFIG if a.sf_dir else PipelineConfig()
@@ -51,16 +56,23 @@ def main(argv: list[str] | None = None) -> int:
         elif a.calendar:
             lo, hi = a.calendar.split(",")
             cfg = cfg.with_(calendar_start=date.fromisoformat(lo), calendar_end=date.fromisoformat(hi))
-        cfg = cfg.with_(ds=a.ds or cfg.ds, aggregation_years=_years(a.years),
+        cfg = cfg.with_(ds=a.ds or cfg.ds, strict_pct=a.strict_pct, aggregation_years=_years(a.years),
                         run_date=date.fromisoformat(a.run_date) if a.run_date else
                         (cfg.run_date if a.sf_dir else None))
+        size = sum(n for _, n, _ in input_state(spark, a.sf_dir)) if a.sf_dir else int((a.input_gb or 0) * 1e9)
+        if size:
+            for k, v in sizing(size, spark.sparkContext.defaultParallelism).items():
+                spark.conf.set(k, v)
+        props = {k: v for k, v in (("user", a.jdbc_user), ("password", a.jdbc_password)) if v}
         if a.sf_dir:
             sources = fixture_sources(spark, a.sf_dir)
         else:
-            props = {k: v for k, v in (("user", a.jdbc_user), ("password", a.jdbc_password)) if v}
-            sources = jdbc_sources(spark, a.jdbc_url, props)
+            sources = jdbc_sources(spark, a.jdbc_url, props, num_partitions=a.num_partitions)
         res = run_pipeline(spark, sources, cfg, a.root, lake_fallback=a.lake_fallback)
+        delivered = (deliver_marts(spark, res, a.mart_jdbc_url, properties=props, mode=a.mart_mode,
+                                   num_partitions=a.num_partitions) if a.mart_jdbc_url else {})
         print(json.dumps({"run_id": res.run_id, "counts": res.counts, "seconds": res.seconds,
+                          "metrics": res.metrics, "delivered": delivered,
                           "warnings": res.warnings, "lake": res.lake_location}))
     else:
         from martforge.plans.pipeline import read_published
@@ -70,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
                           read_published(spark, a.root, "vendas_localidade"), a.ano)
         for name, df in parts.items():
             print(f"== {name}")
-            df.show(50, truncate=False)
+            df.show(df.count(), truncate=False)  # one row per month or listed place
     spark.stop()
     return 0
 

@@ -28,7 +28,8 @@ class PipelineConfig:
     top_cities: int = 20
     # Buckets used by the dense surrogate-key operator; None = shuffle partitions.
     key_buckets: int | None = None
-    # pct_desconto that does not fit NUMERIC(5,2): NULL (default) or raise.
+    # A percentage that does not fit its column (pct_desconto, pct_atingimento):
+    # NULL and counted in the run's metrics (default), or raise.
     strict_pct: bool = False
 
     def with_(self, **kw) -> "PipelineConfig":

@@ -38,7 +38,7 @@ def fmt_money(v: Column) -> Column:
 
 def fmt_int_dot(q: Column) -> Column:
     """Integer part with '.' as thousands separator (1.234.567)."""
-    return F.translate(F.format_number(q.cast("double").cast("bigint"), 0), ",", ".")
+    return F.translate(F.format_number(q.cast("bigint"), 0), ",", ".")
 
 
 def fmt_pct(x: Column, digits: int = 1) -> Column:

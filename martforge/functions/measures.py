@@ -30,6 +30,11 @@ def discount_pct(desc: Column, unit_price: Column, *, strict: bool = False) -> C
     return r.cast(PCT_DISCOUNT) if strict else r.try_cast(PCT_DISCOUNT)
 
 
+def pct_overflowed(pct: Column, num: Column, den: Column) -> Column:
+    """Whether a stored percentage is NULL only because it did not fit its type."""
+    return pct.isNull() & num.isNotNull() & (den != 0)
+
+
 def attainment_pct(real: Column, expected: Column, digits: int = 1) -> Column:
     """Realised / expected * 100, rounded; NULL when expected is 0."""
     return F.round(ratio_pct(real, expected), digits)

@@ -20,18 +20,32 @@ numbering to be deterministic.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
-MAX_BUCKETS = 512
+#: Quantile boundaries found; more ranges than that cut each span evenly.
+TREE = 512
+#: Bytes of a text key that order it (a double holds them exactly).
+TEXT_BYTES = 6
 
 
 def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, MAX_BUCKETS))
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def _text_as_number(df: DataFrame, c: str) -> Column:
+    """A number that never falls as the text rises: the bytes after the prefix that
+    all texts share (found from the smallest and largest)."""
+    low, high = df.agg(F.min(c), F.max(c)).first()
+    shared = len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
+    part = F.substring(F.encode(F.col(c), "UTF-8"), shared + 1, TEXT_BYTES)
+    number = F.conv(F.rpad(F.hex(part), 2 * TEXT_BYTES, "0"), 16, 10).cast("double")
+    return F.when(F.col(c).isNotNull(), number)
 
 
 def _as_number(df: DataFrame, c: str) -> Column | None:
@@ -42,11 +56,15 @@ def _as_number(df: DataFrame, c: str) -> Column | None:
         return F.unix_date(F.col(c)).cast("double")
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(dt, T.StringType):
+        return _text_as_number(df, c)
     return None
 
 
-def range_index(x: Column, bounds: list[float]) -> Column:
-    """Number of boundaries <= x, as a balanced CASE tree (log2(n) compares)."""
+def range_index(x: Column, bounds: list[float], within: int = 1) -> Column:
+    """Number of boundaries <= x, as a balanced CASE tree (log2(n) compares). With
+    ``within`` over 1 the span between two boundaries counts as that many ranges,
+    cut evenly."""
 
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -54,7 +72,16 @@ def range_index(x: Column, bounds: list[float]) -> Column:
         mid = (lo + hi) // 2
         return F.when(x < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return F.when(x.isNull(), F.lit(-1)).otherwise(build(0, len(bounds)))
+    tree = build(0, len(bounds))
+    if within > 1 and len(bounds) > 1:
+        # Ranges 1 to len(bounds) - 1 lie between two boundaries; the outer ones stay whole.
+        edges = F.array(*[F.lit(b) for b in bounds])
+        low, high = F.get(edges, tree - 1), F.get(edges, tree)
+        share = F.floor((x - low) / (high - low) * within)
+        inner = (tree > 0) & (tree < len(bounds))
+        part = F.when(inner, F.least(F.lit(within - 1), F.greatest(F.lit(0), share))).otherwise(F.lit(0))
+        tree = (tree * within + part).cast("int")
+    return F.when(x.isNull(), F.lit(-1)).otherwise(tree)
 
 
 def dense_key(df: DataFrame, name: str, order_by: list[str], *,
@@ -67,13 +94,16 @@ def dense_key(df: DataFrame, name: str, order_by: list[str], *,
     last, prefix = cols[-1], cols[:-1]
     num = _as_number(df, last)
     bounds: list[float] = []
+    within = 1
     if num is not None:
         n = buckets or default_buckets(df)
         if n > 1:
-            probs = [i / n for i in range(1, n)]
-            q = df.select(num.alias("_k")).approxQuantile("_k", probs, 1.0 / (4 * n))
+            cuts = min(n, TREE)
+            probs = [i / cuts for i in range(cuts + 1)]
+            q = df.select(num.alias("_k")).approxQuantile("_k", probs, 1.0 / (4 * cuts))
             bounds = sorted({b for b in q if b is not None})
-    rng = range_index(num, bounds) if num is not None else F.lit(0)
+            within = -(-n // cuts)
+    rng = range_index(num, bounds, within) if num is not None else F.lit(0)
     keyed = df.withColumn("_rng", rng)
     groups = prefix + ["_rng"]
 
@@ -81,7 +111,7 @@ def dense_key(df: DataFrame, name: str, order_by: list[str], *,
     before = Window.orderBy(*[F.col(c).asc_nulls_first() for c in groups]).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = sizes.select(*groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # Without leading columns the offset table has at most len(bounds)+1 rows.
+    # Without leading columns the offset table has a row per range at most.
     if not prefix:
         offsets = F.broadcast(offsets)
 

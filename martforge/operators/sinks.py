@@ -28,16 +28,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, mode: str, *, partition_by: list[str] | None = None,
-           sort_by: list[str] | None = None, observe: bool = True) -> int | None:
-    obs = Observation() if observe else None
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
+           sort_by: list[str] | None = None, metrics: dict | None = None,
+           seen: dict | None = None) -> int:
+    """``metrics``: further aggregates (name -> Column) observed while writing, put into ``seen``."""
+    obs = Observation()
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get["rows"]) if obs else None
+    found = obs.get
+    if metrics:
+        seen.update({k: int(found.get(k) or 0) for k in metrics})
+    return int(found["rows"])
 
 
 def append_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
@@ -58,9 +63,11 @@ def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -
 
 
 def replace_table(df: DataFrame, path: str, schema: T.StructType,
-                  sort_by: list[str] | None = None) -> int:
+                  sort_by: list[str] | None = None, metrics: dict | None = None,
+                  seen: dict | None = None) -> int:
     """Drop-and-create: data and schema both become the new ones."""
-    return _write(nan_to_null(conform(df, schema)), path, "overwrite", sort_by=sort_by)
+    return _write(nan_to_null(conform(df, schema)), path, "overwrite", sort_by=sort_by,
+                  metrics=metrics, seen=seen)
 
 
 def create_if_absent(spark, path: str, schema: T.StructType) -> bool:
@@ -80,11 +87,12 @@ def jdbc_write(df: DataFrame, url: str, table: str, *, mode: str = "append",
     Each task inserts its own partition in batches of ``batchsize`` rows, so
     the driver never holds the data. ``mode="overwrite"`` with ``truncate``
     keeps the table's DDL (a full refresh); ``mode="append"`` adds rows.
-    ``num_partitions`` caps concurrent connections to the database.
+    ``num_partitions`` caps concurrent connections to the database (by a shuffle,
+    so that the work before it keeps its own parallelism).
     """
     out = nan_to_null(df)
     if num_partitions:
-        out = out.coalesce(num_partitions)
+        out = out.repartition(num_partitions)
     w = (out.write.format("jdbc").mode(mode)
          .option("url", url).option("dbtable", table)
          .option("batchsize", str(batchsize))

@@ -4,11 +4,13 @@ Plan shape (chosen for a fact in the 10^12-row range):
 
 * Keys that depend only on the invoice header (calendar, customer, location,
   seller) are resolved on the header table, which is several times smaller
-  than the item table. Customer and location dimensions are both keyed by
-  the customer id, so the headers are partitioned once for both lookups.
-* Items meet the product price and product key lookups (both keyed by the
-  product id), then the resolved headers in a single equi-join on the
-  invoice id.
+  than the item table.
+* One lookup and one join per key: customer and location keys share a lookup
+  by person, price and product key share a lookup by product. Two chained joins
+  on one key would keep its partitioning between them, and AQE then splits
+  neither; with one, each join is followed by another shuffle and a hot
+  customer or product is split.
+* The resolved headers meet the items in a single equi-join on the invoice id.
 * The calendar is bounded by its date range and is always broadcast; all
   other lookups are left to Spark's size estimate and AQE, which broadcast
   them when small and fall back to a shuffle join (with skew splitting)
@@ -23,11 +25,11 @@ both customer types fans the sale out (reported by the quality checks).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
-from martforge.functions.measures import discount, discount_pct
+from martforge.functions.measures import discount, discount_pct, pct_overflowed
 from martforge.schemas import FATO_VENDA, conform
 from martforge.sources.tables import SourceTables
 
@@ -52,42 +54,58 @@ def sales_lines(src: SourceTables) -> DataFrame:
     )
 
 
-def resolved_headers(src: SourceTables, dim_tempo: DataFrame, dim_cliente: DataFrame,
-                     dim_vendedor: DataFrame, dim_localidade: DataFrame) -> DataFrame:
-    """Invoice headers with calendar, customer, location and seller keys.
+def person_lookup(dim_cliente: DataFrame, dim_localidade: DataFrame) -> DataFrame:
+    """id_pessoa, sk_cliente, sk_localidade: all that the customer id resolves."""
+    cli = dim_cliente.where("id_pessoa IS NOT NULL").select("id_pessoa", "sk_cliente")
+    loc = dim_localidade.where("id_pessoa IS NOT NULL").select("id_pessoa", "sk_localidade")
+    return cli.join(loc, "id_pessoa", "full_outer")
 
-    Customer and location lookups are both keyed by the customer id: when they
-    are shuffle joins, the second reuses the hash partitioning of the first
-    and the headers move only once for both."""
+
+def product_lookup(produto: DataFrame, dim_produto: DataFrame) -> DataFrame:
+    """id_produto, valor_venda, sk_produto: all that the product id resolves."""
+    keys = dim_produto.select(F.col("id_produto").alias("_pd"), "sk_produto")
+    return (produto.select(F.col("id").alias("id_produto"), "valor_venda")
+            .join(keys, F.col("_pd") == F.col("id_produto"), "left")
+            .select("id_produto", "valor_venda", "sk_produto"))
+
+
+def lookups(src: SourceTables, dims: dict[str, DataFrame], keep=lambda name, df: df) -> dict[str, DataFrame]:
+    """The lookups of the fact, each passed through ``keep(name, frame)``, which
+    writes them in a run: the joins of the fact then start from plain scans."""
+    return {
+        "person": keep("person", person_lookup(dims["dim_cliente"], dims["dim_localidade"])),
+        "product": keep("product", product_lookup(src.produto, dims["dim_produto"])),
+    }
+
+
+def resolved_headers(src: SourceTables, dim_tempo: DataFrame, person: DataFrame,
+                     dim_vendedor: DataFrame) -> DataFrame:
+    """Invoice headers with calendar, customer, location and seller keys: one join
+    per key, so a hot customer or seller is split by AQE."""
     nf = src.nota_fiscal.select(
         F.col("id").alias("id_nota"), F.to_date("data_venda").alias("data_venda"),
         "id_cliente", "id_vendedor")
     cal = F.broadcast(dim_tempo.select("sk_tempo", F.col("data").alias("_data")))
-    cli = dim_cliente.select(F.col("id_pessoa").alias("_pc"), "sk_cliente")
-    loc = dim_localidade.select(F.col("id_pessoa").alias("_pl"), "sk_localidade")
+    people = person.select(F.col("id_pessoa").alias("_pc"), "sk_cliente", "sk_localidade")
     sellers = dim_vendedor.select(F.col("id_pessoa").alias("_pv"), "sk_vendedor")
     return (
         nf.join(cal, F.col("_data") == F.col("data_venda"), "left")
-        .join(cli, F.col("_pc") == F.col("id_cliente"), "left")
-        .join(loc, F.col("_pl") == F.col("id_cliente"), "left")
+        .join(people, F.col("_pc") == F.col("id_cliente"), "left")
         .join(sellers, F.col("_pv") == F.col("id_vendedor"), "left")
         .select("id_nota", "sk_tempo", "sk_cliente", "sk_localidade", "sk_vendedor")
     )
 
 
-def fato_venda(src: SourceTables, dims: dict[str, DataFrame],
-               cfg: PipelineConfig | None = None) -> DataFrame:
+def fato_venda(src: SourceTables, dims: dict[str, DataFrame], cfg: PipelineConfig | None = None,
+               found: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``found``: the written lookups of a run; built in place without them."""
     strict = bool(cfg and cfg.strict_pct)
-    hdr = resolved_headers(src, dims["dim_tempo"], dims["dim_cliente"],
-                           dims["dim_vendedor"], dims["dim_localidade"])
-    # Each lookup joins a plain table scan, so the planner sizes it from its
-    # files (a pre-joined lookup would carry a product-of-inputs estimate).
-    prices = src.produto.select(F.col("id").alias("_prod"), "valor_venda")
-    pkeys = dims["dim_produto"].select(F.col("id_produto").alias("_pd"), "sk_produto")
+    found = found or lookups(src, dims)
+    hdr = resolved_headers(src, dims["dim_tempo"], found["person"], dims["dim_vendedor"])
+    products = found["product"].withColumnRenamed("id_produto", "_prod")
     rows = (
         src.item_nota_fiscal
-        .join(prices, F.col("_prod") == F.col("id_produto"), "inner")
-        .join(pkeys, F.col("_pd") == F.col("id_produto"), "left")
+        .join(products, F.col("_prod") == F.col("id_produto"), "inner")
         .join(hdr, F.col("id_nota") == F.col("id_nota_fiscal"), "inner")
     )
     desc = discount(F.col("valor_venda"), F.col("valor_unitario"))
@@ -100,6 +118,29 @@ def fato_venda(src: SourceTables, dims: dict[str, DataFrame],
     return conform(out, FATO_VENDA)
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """The fact in ranges of its calendar key, so that (sorted by sk_tempo) a written
+    file covers few months and the month filter skips the others. The invoice id
+    splits a hot day over several ranges. Finding the bounds samples the last join's
+    output once more; its shuffles are reused. AQE merges neighbouring small ranges."""
+    return fact.repartitionByRange("sk_tempo", "id_nota")
+
+
+def _times(cond: Column) -> Column:
+    return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
+
+
+#: Counted while the fact is written: rows without a key, lines outside the
+#: calendar, and discounts that do not fit pct_desconto.
+def fact_metrics() -> dict:
+    return {
+        "nulos_sk_cliente": _times(F.col("sk_cliente").isNull()),
+        "nulos_sk_localidade": _times(F.col("sk_localidade").isNull()),
+        "sem_calendario": _times(F.col("sk_tempo").isNull()),
+        "pct_desconto_fora": _times(pct_overflowed(F.col("pct_desconto"), F.col("desconto"), F.col("valor_unitario"))),
+    }
+
+
 def fact_null_keys(fact: DataFrame) -> DataFrame:
     """Null counts of the customer and location keys (one row)."""
     return fact.agg(

@@ -2,8 +2,8 @@
 
 The month's calendar keys form one contiguous range (the calendar key is the
 day offset), so the month filter becomes a range predicate on the fact's
-sk_tempo that reaches the Parquet scan (row groups of a fact written sorted
-by sk_tempo are skipped by their statistics). Each executor writes its own
+sk_tempo that reaches the Parquet scan (the fact is dealt by month and sorted
+when written, so files of other months are skipped by their statistics). Each executor writes its own
 files straight into the lake; dynamic partition overwrite replaces exactly
 the month's directory, so a rerun of the same day is idempotent.
 """
@@ -11,13 +11,15 @@ the month's directory, so a rerun of the same day is idempotent.
 from __future__ import annotations
 
 import calendar as _cal
+from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
 from martforge.schemas import LAKE_ROW, conform
+from martforge.session import path_exists
 
 PARTITION_COLS = ["ano", "mes"]
 
@@ -50,33 +52,47 @@ def lake_month(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: DataFrame,
     return conform(rows, LAKE_ROW)
 
 
-def write_lake(rows: DataFrame, root: str, *, compression: str = "snappy") -> None:
+def write_lake(rows: DataFrame, root: str, *, compression: str = "snappy") -> int:
     """Write rows partitioned by ano/mes, replacing only the partitions present
-    (per-write dynamic overwrite: no session setting is touched).
+    (per-write dynamic overwrite: no session setting is touched). Returns the
+    rows written by this attempt.
 
     The month is a filtered slice of the fact scan; the REBALANCE hint lets AQE
-    merge the slices into files of the advisory size (and split a very large
-    month into many), instead of one small file per fact split."""
-    (rows.hint("rebalance", *PARTITION_COLS)
+    merge the slices into files of the advisory size instead of one small file
+    per fact split."""
+    seen = Observation()
+    (rows.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").partitionBy(*PARTITION_COLS)
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).parquet(root))
+    return int(seen.get["rows"])
 
 
-def write_lake_with_fallback(rows: DataFrame, primary: str, fallback: str) -> str:
-    """Write to ``primary``; on any failure write to ``fallback``. Returns the
-    location that holds the data."""
+@dataclass(frozen=True)
+class LakeWrite:
+    """Where a month went, its rows, and why the primary lake was not used."""
+
+    location: str
+    rows: int
+    reason: str | None = None
+
+
+def write_lake_with_fallback(rows: DataFrame, primary: str, fallback: str) -> LakeWrite:
+    """Write to ``primary``; if that fails, write to ``fallback`` and keep the reason.
+    What is wrong with the rows themselves fails there too and is raised."""
     try:
-        write_lake(rows, primary)
-        return primary
-    except Exception:  # noqa: BLE001 - any storage failure falls back
-        write_lake(rows, fallback)
-        return fallback
+        return LakeWrite(primary, write_lake(rows, primary))
+    except Exception as e:  # noqa: BLE001 - any storage failure falls back
+        reason = f"{type(e).__name__}: {str(e).strip().splitlines()[0][:300] if str(e).strip() else ''}"
+        return LakeWrite(fallback, write_lake(rows, fallback), reason)
 
 
 def read_lake_month(spark: SparkSession, root: str, ano: int, mes: int) -> DataFrame:
-    """Partition-pruned read of one month (only ano=/mes= directories listed)."""
+    """Partition-pruned read of one month (only ano=/mes= directories listed), with
+    the lake's fixed schema; a lake without files, or none at all, has no rows."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], LAKE_ROW)
     return (
-        spark.read.option("basePath", root).parquet(root)
+        spark.read.schema(LAKE_ROW).option("basePath", root).parquet(root)
         .where((F.col("ano") == ano) & (F.col("mes") == mes))
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
-from martforge.functions.measures import attainment_pct
+from martforge.functions.measures import attainment_pct, pct_overflowed
 from martforge.operators.keys import dense_key
 from martforge.schemas import MONEY, PCT_ATTAINMENT, VENDAS_ANO_MES, VENDAS_LOCALIDADE, conform
 
@@ -96,7 +96,9 @@ def vendas_localidade(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: Dat
     )
     real = F.col("valor_total_real").cast(MONEY)
     exp = F.col("valor_total_esperado").cast(MONEY)
-    g = g.withColumn("pct_atingimento", attainment_pct(real, exp, 1).try_cast(PCT_ATTAINMENT))
+    pct = attainment_pct(real, exp, 1)
+    strict = bool(cfg and cfg.strict_pct)
+    g = g.withColumn("pct_atingimento", pct.cast(PCT_ATTAINMENT) if strict else pct.try_cast(PCT_ATTAINMENT))
     if stamp:
         g = g.withColumn("data_atualizacao", run_stamp(cfg))
     keyed = dense_key(g, "id", LOCATION_KEYS)
@@ -104,6 +106,12 @@ def vendas_localidade(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: Dat
     return out if stamp else out.drop("data_atualizacao")
 
 
+def location_metrics() -> dict:
+    """Counted while the location mart is written: attainments that do not fit."""
+    lost = pct_overflowed(F.col("pct_atingimento"), F.col("valor_total_real"), F.col("valor_total_esperado"))
+    return {"pct_atingimento_fora": F.coalesce(F.sum(F.when(lost, 1).otherwise(0)), F.lit(0))}
+
+
 def build_marts(fact: DataFrame, dim_tempo: DataFrame, dim_localidade: DataFrame,
                 cfg: PipelineConfig | None = None) -> tuple[DataFrame, DataFrame]:
     """Both marts over one shared pre-aggregate plan."""
@@ -118,7 +126,3 @@ def add_column_if_absent(df: DataFrame, name: str, dtype: str,
     if name in df.columns:
         return df if value is None else df.withColumn(name, value.cast(dtype))
     return df.withColumn(name, (value if value is not None else F.lit(None)).cast(dtype))
-
-
-def mart_selected_years(mart: DataFrame, years: tuple[int, ...] | None) -> DataFrame:
-    return mart if not years else mart.where(F.col("ano").isin(list(years)))

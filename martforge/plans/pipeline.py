@@ -6,13 +6,14 @@ Layout of one run (all under ``root``, a shared-storage URI)::
     root/runs/<run_id>/warehouse/<table>    dims + fact
     root/runs/<run_id>/mart/<table>         the two marts
     root/lake/ano=YYYY/mes=M/               month partitions (shared by runs)
-    root/_CURRENT                           id of the last complete run
+    root/_PUBLISHED/<run_id>/               one entry per published run
 
 Dimensions and fact share surrogate keys only within one run, so a run is
-published as a whole: the pointer is written last, after every table and
-the checks succeeded. Readers resolve tables through the pointer and keep
-seeing the previous run until then (the original job truncated tables in
-place, so readers could see them empty).
+published as a whole: after every table and the checks succeeded, the lake
+month is exported and an entry of its own is added. Readers take the newest
+complete entry and keep seeing the previous run until then; a failed publish
+leaves earlier entries alone (the original job truncated tables in place, so
+readers could see them empty).
 
 Every table is materialised once and read back before the next stage, as
 the original job does through its warehouse. Reading back gives the
@@ -27,21 +28,21 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from martforge.config import PipelineConfig
 from martforge.operators import quality as Q
-from martforge.operators.sinks import replace_table
+from martforge.operators.sinks import jdbc_write, replace_table
 from martforge.plans import dims as D
 from martforge.plans import fact as FT
 from martforge.plans import lake as L
 from martforge.plans import marts as M
 from martforge.schemas import TABLES
+from martforge.session import completed_writes
 from martforge.sources.calendar import resolve_calendar
 from martforge.sources.tables import SourceTables
 
-POINTER = "_CURRENT"
+PUBLISHED = "_PUBLISHED"
 
 
 @dataclass
@@ -54,6 +55,9 @@ class RunResult:
     counts: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
+    # Null keys, lines outside the calendar, percentages that did not fit.
+    metrics: dict[str, int] = field(default_factory=dict)
+    sources: SourceTables | None = None
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         sub = "mart" if name.startswith("vendas_") else "warehouse"
@@ -95,8 +99,9 @@ def stage_sources(src: SourceTables, path: str, names=SHARED_SOURCES) -> SourceT
 
 
 def _materialise(df: DataFrame, path: str, name: str, counts: dict[str, int],
-                 sort_by: list[str] | None = None) -> DataFrame:
-    counts[name] = replace_table(df, path, TABLES[name], sort_by=sort_by)
+                 sort_by: list[str] | None = None, metrics: dict | None = None,
+                 seen: dict | None = None) -> DataFrame:
+    counts[name] = replace_table(df, path, TABLES[name], sort_by=sort_by, metrics=metrics, seen=seen)
     return df.sparkSession.read.parquet(path)
 
 
@@ -108,6 +113,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     lake_root = f"{root.rstrip('/')}/lake"
     counts: dict[str, int] = {}
     secs: dict[str, float] = {}
+    metrics: dict[str, int] = {}
 
     def tick(label: str, t0: float) -> float:
         t1 = time.time()
@@ -132,35 +138,21 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     dims = parallel(tasks)
     t = tick("dimensions", t)
 
-    # Fact files sorted by calendar key (then product) inside each task: the
-    # month filter of the lake export skips row groups by their statistics.
-    fact = _materialise(FT.fato_venda(src, dims, cfg), f"{wh}/fato_venda", "fato_venda", counts,
-                        sort_by=["sk_tempo", "sk_produto"])
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{run_root}/staging/lookup_{name}")
+        return spark.read.parquet(f"{run_root}/staging/lookup_{name}")
+
+    found = FT.lookups(src, dims, keep)
+    # Dealt by month and sorted by calendar key (then product): the month filter
+    # of the lake export skips the files of other months by their statistics.
+    fact = _materialise(FT.by_month(FT.fato_venda(src, dims, cfg, found)), f"{wh}/fato_venda", "fato_venda",
+                        counts, sort_by=["sk_tempo", "sk_produto"], metrics=FT.fact_metrics(), seen=metrics)
     if counts["fato_venda"] == 0:
         # Nothing to aggregate: stop before the marts; the previous
         # publication stays current.
         raise Q.ValidationError("fato_venda is empty: the sources have no invoice items")
     t = tick("fact", t)
 
-    # Lake month and marts only read the written fact: run them side by side.
-    def export_month():
-        if not cfg.ds:
-            return None
-        ano, mes = L.month_of(cfg.ds)
-        rows = L.lake_month(fact, dims["dim_tempo"], dims["dim_localidade"], cfg, ano, mes)
-        ob = Observation("lake_month")
-        observed = rows.observe(ob, F.count(F.lit(1)).alias("rows"))
-        # A month without sales creates no ano=/mes= folder: dynamic partition
-        # overwrite only touches partitions that receive rows.
-        if lake_fallback:
-            used = L.write_lake_with_fallback(observed, lake_root, lake_fallback)
-            counts["lake_month"] = L.read_lake_month(spark, used, ano, mes).count()
-        else:
-            L.write_lake(observed, lake_root)
-            used = lake_root
-            counts["lake_month"] = int(ob.get["rows"])
-        return used if counts["lake_month"] > 0 else None
-
     def duplicated_keys() -> list[str]:
         # A natural key held by two dimension rows fans fact rows out; the dims
         # are small, so checking them is cheaper than re-counting the source join.
@@ -175,41 +167,64 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     pre = M.month_location_sums(fact, dims["dim_tempo"], cfg).persist()
     try:
         done = parallel({
-            "lake": export_month,
             "key_check": duplicated_keys,
             "vendas_ano_mes": lambda: _materialise(
                 M.vendas_ano_mes(fact, dims["dim_tempo"], cfg, pre=pre),
                 f"{mart}/vendas_ano_mes", "vendas_ano_mes", counts),
             "vendas_localidade": lambda: _materialise(
                 M.vendas_localidade(fact, dims["dim_tempo"], dims["dim_localidade"], cfg, pre=pre),
-                f"{mart}/vendas_localidade", "vendas_localidade", counts),
+                f"{mart}/vendas_localidade", "vendas_localidade", counts,
+                metrics=M.location_metrics(), seen=metrics),
         })
     finally:
         pre.unpersist()
-    location = done["lake"]
-    t = tick("lake_and_marts", t)
+    t = tick("marts", t)
 
-    report = Q.validation_report(Q.counts_frame(spark, counts))
-    warnings = Q.assert_valid(report)
+    warnings = Q.assert_valid(Q.validation_report(Q.counts_frame(spark, counts)))
     warnings += done["key_check"]
+    warnings += [f"{k}: {n}" for k, n in sorted(metrics.items()) if n and k.endswith("_fora")]
+
+    # The shared lake changes only after the checks. A month without sales creates
+    # no ano=/mes= folder: dynamic overwrite only touches partitions that get rows.
+    location = None
+    if cfg.ds:
+        ano, mes = L.month_of(cfg.ds)
+        rows = L.lake_month(fact, dims["dim_tempo"], dims["dim_localidade"], cfg, ano, mes)
+        wrote = (L.write_lake_with_fallback(rows, lake_root, lake_fallback) if lake_fallback
+                 else L.LakeWrite(lake_root, L.write_lake(rows, lake_root)))
+        counts["lake_month"] = wrote.rows
+        location = wrote.location if wrote.rows else None
+        if wrote.reason:
+            warnings.append(f"lake fallback used: {wrote.reason}")
+    t = tick("lake", t)
     if publish:
         # Tiny one-line text file written by a JVM-only plan (no Python worker).
         safe = run_id.replace("'", "")
-        spark.sql(f"SELECT '{safe}' AS run_id").coalesce(1).write.mode("overwrite").text(
-            f"{root.rstrip('/')}/{POINTER}")
-    tick("validate_publish", t)
-    return RunResult(run_id, run_root, lake_root, location, cfg, counts, secs, warnings)
+        spark.sql(f"SELECT '{safe}' AS run_id").coalesce(1).write.mode("errorifexists").text(
+            f"{root.rstrip('/')}/{PUBLISHED}/{run_id}")
+    tick("publish", t)
+    return RunResult(run_id, run_root, lake_root, location, cfg, counts, secs, warnings, metrics, src)
+
+
+def deliver_marts(spark: SparkSession, res: RunResult, url: str, *, properties: dict | None = None,
+                  mode: str = "overwrite", num_partitions: int | None = None) -> dict[str, str]:
+    """Write the marts of a run to the relational database that the dashboard reads.
+
+    ``overwrite`` refreshes each table and keeps its definition, ``append`` adds rows;
+    a table that is absent is created from the mart's schema."""
+    done = {}
+    for name in ("vendas_ano_mes", "vendas_localidade"):
+        jdbc_write(res.table(spark, name), url, name, mode=mode, properties=properties,
+                   num_partitions=num_partitions)
+        done[name] = mode
+    return done
 
 
 def current_run(spark: SparkSession, root: str) -> str | None:
-    """Run id published last (None before the first complete run)."""
-    from martforge.session import path_exists
-
-    p = f"{root.rstrip('/')}/{POINTER}"
-    if not path_exists(spark, p):
-        return None
-    row = spark.read.text(p).first()
-    return row[0].strip() if row else None
+    """Id of the run published last (None before the first): the newest entry whose
+    write completed."""
+    done = completed_writes(spark, f"{root.rstrip('/')}/{PUBLISHED}")
+    return max(done, key=lambda e: (e[1], e[0]))[0] if done else None
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

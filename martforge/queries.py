@@ -9,11 +9,9 @@ of the rows written.
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +19,8 @@ from pyspark.sql import functions as F
 from martforge import oracle_sql as O
 from martforge.config import FIXTURE_CONFIG, PipelineConfig
 from martforge.functions import format as FM
-from martforge.functions.measures import attainment_pct, avg_ticket, discount, discount_pct
+from martforge.functions.measures import (attainment_pct, avg_ticket, discount, discount_pct,
+                                          pct_overflowed)
 from martforge.operators import quality as Q
 from martforge.operators import sinks as K
 from martforge.operators.keys import dense_key
@@ -30,11 +29,9 @@ from martforge.plans import fact as FT
 from martforge.plans import lake as L
 from martforge.plans import marts as M
 from martforge.plans import reports as R
-from martforge.operators.sinks import replace_table
-from martforge.plans.pipeline import stage_sources
-from martforge.schemas import DIM_LOCALIDADE, DIM_PRODUTO, DIM_VENDEDOR, TABLES
-from martforge.session import scratch_dir
-from martforge.sources.calendar import resolve_calendar
+from martforge.plans.pipeline import RunResult, run_pipeline
+from martforge.schemas import DIM_LOCALIDADE, DIM_PRODUTO, DIM_VENDEDOR, PCT_ATTAINMENT
+from martforge.session import input_state, scratch_dir
 from martforge.sources.fixture import (fixture_sources, list_value, read_driver_table,
                                        realised_value)
 
@@ -45,71 +42,50 @@ EMPTY_MONTH = (2005, 1)
 SECOND_MONTH = (1998, 7)
 
 
-class _LazyDims(dict):
-    """name -> dimension, built and written once on first use, then read back."""
-
-    def __init__(self, wh: "Warehouse"):
-        super().__init__()
-        self._wh = wh
-
-    def __missing__(self, name: str) -> DataFrame:
-        w = self._wh
-        if name == "dim_tempo":
-            df = w.table(name, lambda: D.dim_tempo(w.spark, w.cfg))
-        else:
-            df = D.write_keyed_dimension(name, w.src, w.cfg,
-                                         lambda keyed: w.table(name, lambda: keyed))
-        self[name] = df
-        return df
-
-
 class Warehouse:
-    """All products of one run over the fixture sources.
+    """The tables of one run over the fixture sources.
 
-    Tables are built on first use and written once to a folder under the
-    session's shared checkpoint directory (lineage is cut there, and later
-    plans see real file sizes); the marts and reports are plans over them.
+    The run is the benchmarked one (``run_pipeline``, unpublished), made on first
+    use into a folder under the session's shared checkpoint directory; every
+    registered product is a table that it wrote, or a plan over such tables.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.raw = fixture_sources(spark, sf_dir)
-        self._cfg = cfg
-        self.root = scratch_dir(spark, "registry")
-        self.dims = _LazyDims(self)
-        self._lock = threading.RLock()
-
-    @cached_property
+        self.spark, self._sf_dir, self._cfg = spark, sf_dir, cfg
+        self._run: RunResult | None = None
+        self._lock = threading.Lock()
+
+    @property
+    def run(self) -> RunResult:
+        with self._lock:
+            if self._run is None:
+                self._run = run_pipeline(self.spark, fixture_sources(self.spark, self._sf_dir), self._cfg,
+                                         scratch_dir(self.spark, "registry"), publish=False)
+            return self._run
+
+    @property
     def src(self):
-        return stage_sources(self.raw, f"{self.root}/staging")
+        return self.run.sources
 
-    @cached_property
+    @property
     def cfg(self) -> PipelineConfig:
-        return resolve_calendar(self.src, self._cfg)
+        return self.run.cfg
 
-    def table(self, name: str, build, sort_by: list[str] | None = None) -> DataFrame:
-        with self._lock:
-            path = f"{self.root}/{name}"
-            replace_table(build(), path, TABLES[name], sort_by=sort_by)
-            return self.spark.read.parquet(path)
+    @property
+    def dims(self) -> dict[str, DataFrame]:
+        return {n: self.run.table(self.spark, n) for n in ("dim_tempo", *D.KEYED_DIMENSIONS)}
 
-    @cached_property
+    @property
     def fact(self) -> DataFrame:
-        return self.table("fato_venda", lambda: FT.fato_venda(self.src, self.dims, self.cfg),
-                          sort_by=["sk_tempo", "sk_produto"])
-
-    @cached_property
-    def marts(self) -> tuple[DataFrame, DataFrame]:
-        d = self.dims
-        return M.build_marts(self.fact, d["dim_tempo"], d["dim_localidade"], self.cfg)
+        return self.run.table(self.spark, "fato_venda")
 
     @property
     def vam(self) -> DataFrame:
-        return self.marts[0]
+        return self.run.table(self.spark, "vendas_ano_mes")
 
     @property
     def vloc(self) -> DataFrame:
-        return self.marts[1]
+        return self.run.table(self.spark, "vendas_localidade")
 
     def month(self) -> tuple[int, int]:
         return L.month_of(self._cfg.ds)
@@ -125,33 +101,18 @@ _BUILT_LOCK = threading.Lock()
 
 
 def reset_registry() -> None:
-    """Forget the tables built for earlier queries (e.g. after the inputs changed)."""
+    """Forget the tables built for earlier queries."""
     with _BUILT_LOCK:
         _BUILT.clear()
 
 
 def _wh(spark: SparkSession, sf_dir: str, **cfg) -> Warehouse:
-    """One warehouse per (session, input folder, parameters), reused by every
-    registered query of that session."""
-    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir),
+    """One warehouse per (session, state of the input files, parameters), reused by
+    every registered query of that session while the input stays as it is."""
+    key = (spark.conf.get("spark.app.id", None) or id(spark), input_state(spark, sf_dir),
            tuple(sorted(cfg.items())))
     with _BUILT_LOCK:
-        w = _BUILT.get(key)
-        if w is None:
-            w = Warehouse(spark, sf_dir, FIXTURE_CONFIG.with_(**cfg) if cfg else FIXTURE_CONFIG)
-            _BUILT[key] = w
-    if cfg and "src" not in w.__dict__:
-        # A variant shares the source snapshot and every dimension its
-        # parameters do not change with the default warehouse.
-        base = _wh(spark, sf_dir)
-        w.__dict__["src"] = base.src
-        for name in ("dim_produto", "dim_cliente", "dim_vendedor", "dim_localidade"):
-            w.dims.setdefault(name, base.dims[name])
-        if not ({"calendar_start", "calendar_end"} & set(cfg)):
-            w.dims.setdefault("dim_tempo", base.dims["dim_tempo"])
-            if "fact" not in w.__dict__:
-                w.__dict__["fact"] = base.fact
-    return w
+        return _BUILT.setdefault(key, Warehouse(spark, sf_dir, FIXTURE_CONFIG.with_(**cfg)))
 
 
 # ---------------------------------------------------------------- SQL helpers
@@ -168,17 +129,16 @@ def _ratio_sql(n: str, d: str) -> str:
 
 
 def _month_sql(m: str) -> str:
-    arms = " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(FM.MONTH_ABBREVIATIONS, start=1))
-    return f"(CASE {m} {arms} END)"
+    return f"(['Jan','Fev','Mar','Abr','Mai','Jun','Jul','Ago','Set','Out','Nov','Dez'])[{m}]"
 
 
 def _band_sql(p: str) -> str:
-    return (f"(CASE WHEN {p} >= 100 THEN '{FM.GOOD}' WHEN {p} >= 85 THEN '{FM.WARNING}' "
-            f"WHEN {p} IS NOT NULL THEN '{FM.BAD}' END)")
+    return (f"(CASE WHEN {p} >= 100 THEN 'green' WHEN {p} >= 85 THEN 'yellow' "
+            f"WHEN {p} IS NOT NULL THEN 'red' END)")
 
 
 def _sign_sql(x: str) -> str:
-    return f"(CASE WHEN {x} >= 0 THEN '{FM.GOOD}' WHEN {x} IS NOT NULL THEN '{FM.BAD}' END)"
+    return f"(CASE WHEN {x} >= 0 THEN 'green' WHEN {x} IS NOT NULL THEN 'red' END)"
 
 
 def _pct_text_sql(x: str, digits: int) -> str:
@@ -186,7 +146,7 @@ def _pct_text_sql(x: str, digits: int) -> str:
 
 
 def _int_dot_sql(q: str) -> str:
-    return f"replace(format('{{:,}}', CAST(trunc(CAST({q} AS DOUBLE)) AS BIGINT)), ',', '.')"
+    return f"replace(format('{{:,}}', CAST({q} AS BIGINT)), ',', '.')"
 
 
 LAKE_SQL = """SELECT dt.data, f.quantidade, f.valor_unitario, f.valor_venda_real, dl.sigla_estado,
@@ -302,8 +262,7 @@ def q_vendas_localidade(spark, sf):
 
 
 def q_mart_selected_years(spark, sf):
-    w = _wh(spark, sf, aggregation_years=SELECTED_YEARS)
-    return M.vendas_ano_mes(w.fact, w.dims["dim_tempo"], w.cfg)
+    return _wh(spark, sf, aggregation_years=SELECTED_YEARS).vam
 
 
 def q_mart_add_column(spark, sf):
@@ -339,9 +298,51 @@ def q_lake_write_fallback(spark, sf):
     # the month lands in the fallback location.
     primary = "unreachable-lake://primary/vendas"
     fallback = scratch_dir(spark, "lake-fallback")
-    used = L.write_lake_with_fallback(w.lake_month(), primary, fallback)
-    rows = L.read_lake_month(spark, used, *w.month())
-    return rows.withColumn("destino", F.lit("fallback" if used == fallback else "primary"))
+    wrote = L.write_lake_with_fallback(w.lake_month(), primary, fallback)
+    rows = L.read_lake_month(spark, wrote.location, *w.month())
+    return rows.withColumn("destino", F.lit("fallback" if wrote.location == fallback and wrote.reason else "primary"))
+
+
+def q_pct_overflow_counts(spark, sf):
+    """What a run counts when percentages do not fit: every fourth invoice repriced
+    at a thousandth, and the targets of the cities up to J at a five-thousandth."""
+    w = _wh(spark, sf)
+    unit = F.when(F.col("id_nota") % 4 == 0, (F.col("valor_unitario") / 1000).cast("decimal(18,2)")) \
+        .otherwise(F.col("valor_unitario"))
+    lines = w.fact.select("sk_cliente", "sk_localidade", "sk_tempo", unit.alias("valor_unitario"),
+                          (F.col("valor_unitario") + F.col("desconto")).alias("lista"))
+    off = discount(F.col("lista"), F.col("valor_unitario"))
+    lines = lines.select("*", off.alias("desconto"), discount_pct(off, F.col("valor_unitario")).alias("pct_desconto"))
+    target = F.when(F.col("cidade") < "J", (F.col("valor_total_esperado") / 5000).cast("decimal(18,2)")) \
+        .otherwise(F.col("valor_total_esperado"))
+    places = w.vloc.select("valor_total_real", target.alias("valor_total_esperado"))
+    places = places.withColumn("pct_atingimento", attainment_pct(
+        F.col("valor_total_real"), F.col("valor_total_esperado")).try_cast(PCT_ATTAINMENT))
+    a = lines.agg(FT.fact_metrics()["pct_desconto_fora"].cast("bigint").alias("pct_desconto_fora"))
+    b = places.agg(M.location_metrics()["pct_atingimento_fora"].cast("bigint").alias("pct_atingimento_fora"))
+    return a.join(b, F.lit(True))
+
+
+def q_surrogate_key_text(spark, sf):
+    c = read_driver_table(spark, sf, "customer").select("c_name", "c_custkey")
+    return dense_key(c, "sk_nome", ["c_name"])
+
+
+def q_report_empty_year(spark, sf):
+    w = _wh(spark, sf)
+    frames = {}
+    for label, ano in (("vazio", EMPTY_MONTH[0]), ("com_vendas", FIX_MONTH[0])):
+        frames |= {f"top_states_{label}": R.top_states(w.vloc, ano), f"top_cities_{label}": R.top_cities(w.vloc, ano),
+                   f"monthly_series_{label}": R.monthly_series(w.vam, ano), f"kpi_cards_{label}": R.kpi_cards(w.vam, ano)}
+    return Q.table_counts(frames)
+
+
+def q_sink_create_if_absent(spark, sf):
+    path = scratch_dir(spark, "create")
+    first = K.create_if_absent(spark, path, DIM_VENDEDOR)
+    K.append_table(_wh(spark, sf).dims["dim_vendedor"], path, DIM_VENDEDOR)
+    again = K.create_if_absent(spark, path, DIM_VENDEDOR)
+    return spark.read.parquet(path).select("*", F.lit(first).alias("criada"), F.lit(again).alias("recriada"))
 
 
 def q_sink_append(spark, sf):
@@ -521,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_address": q_first_address,
     "dim_localidade": q_dim_localidade,
     "surrogate_key": q_surrogate_key,
+    "surrogate_key_text": q_surrogate_key_text,
     "sales_lines": q_sales_lines,
     "fact_discount": q_fact_discount,
     "fact_discount_pct": q_fact_discount_pct,
@@ -528,6 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sk_lookup": q_fact_sk_lookup,
     "calendar_misses": q_calendar_misses,
     "fact_null_keys": q_fact_null_keys,
+    "pct_overflow_counts": q_pct_overflow_counts,
     "fact_star_inner": q_fact_star_inner,
     "vendas_ano_mes": q_vendas_ano_mes,
     "vendas_localidade": q_vendas_localidade,
@@ -537,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_month_write": q_lake_month_write,
     "lake_month_scan": q_lake_month_scan,
     "lake_write_fallback": q_lake_write_fallback,
+    "sink_create_if_absent": q_sink_create_if_absent,
     "sink_append": q_sink_append,
     "sink_full_refresh": q_sink_full_refresh,
     "sink_replace": q_sink_replace,
@@ -555,6 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_states_k3": q_top_states_k3,
     "state_rank_intensity": q_state_rank_intensity,
     "top_cities": q_top_cities,
+    "report_empty_year": q_report_empty_year,
     "avg_ticket": q_avg_ticket,
     "month_label": q_month_label,
     "fmt_money": q_fmt_money,
@@ -611,7 +616,7 @@ def _kpi_sql() -> str:
     pct = f"coalesce({_ratio_sql('receita_real', 'meta_esperada')}, 0)"
     ticket = ("coalesce(CAST(receita_real AS DOUBLE) / NULLIF(CAST(qtde_total AS DOUBLE), 0), 0)")
     dev = "CAST(receita_real - meta_esperada AS DECIMAL(18,2))"
-    arrow = f"(CASE WHEN {dev} >= 0 THEN '{FM.UP_ARROW}' ELSE '{FM.DOWN_ARROW}' END)"
+    arrow = f"(CASE WHEN {dev} >= 0 THEN '▲' ELSE '▼' END)"
     return _ctes() + f"""
 , sel AS (SELECT * FROM vendas_ano_mes WHERE ano = (SELECT max(ano) FROM vendas_ano_mes))
 , best AS (SELECT ano, mes AS melhor_mes_num, valor_total_real AS melhor_valor FROM (
@@ -633,7 +638,7 @@ SELECT ano, receita_real, meta_esperada, qtde_total, desvio_total, pct_geral, ti
        {_int_dot_sql('qtde_total')} AS qtde_fmt,
        'ticket médio ' || {_money_sql('ticket_medio')} AS ticket_fmt,
        {_pct_text_sql('pct_geral', 1)} AS pct_fmt,
-       CASE WHEN pct_geral >= 100 THEN '{FM.ABOVE_TARGET}' ELSE '{FM.BELOW_TARGET}' END AS meta_label,
+       CASE WHEN pct_geral >= 100 THEN 'acima da meta' ELSE 'abaixo da meta' END AS meta_label,
        {_money_sql('melhor_valor')} AS melhor_fmt
 FROM k"""
 
@@ -676,8 +681,6 @@ UNION ALL SELECT 'fato_venda', count(*) FROM fato_venda
 UNION ALL SELECT 'lake_month', count(*) FROM (""" + _lake_sql(*fm) + """) lm
 UNION ALL SELECT 'vendas_ano_mes', count(*) FROM vendas_ano_mes
 UNION ALL SELECT 'vendas_localidade', count(*) FROM vendas_localidade"""
-    crit = ", ".join(f"'{t}'" for t in Q.CRITICAL_TABLES)
-    warn = ", ".join(f"'{t}'" for t in Q.WARN_TABLES)
     sql = {
         "scan_source": base + "\nSELECT id, data_venda, id_cliente, id_vendedor FROM nota_fiscal",
         "calendar_days": base + "\nSELECT data FROM dim_tempo",
@@ -691,6 +694,28 @@ UNION ALL SELECT 'vendas_localidade', count(*) FROM vendas_localidade"""
         "dim_localidade": base + "\nSELECT * FROM dim_localidade",
         "surrogate_key": base + "\nSELECT CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS sk_nota, id, "
                                 "id_cliente FROM nota_fiscal",
+        "surrogate_key_text": "SELECT CAST(row_number() OVER (ORDER BY c_name) AS BIGINT) AS sk_nome, c_name, "
+                              "c_custkey FROM customer",
+        "pct_overflow_counts": base + """
+, l AS (SELECT valor_unitario + desconto AS lista, CASE WHEN id_nota % 4 = 0
+               THEN CAST(CAST(valor_unitario AS DECIMAL(28,8)) / 1000 AS DECIMAL(18,2)) ELSE valor_unitario END AS u
+        FROM fato_venda)
+, p AS (SELECT abs(round(CAST(lista - u AS DOUBLE) / CAST(u AS DOUBLE) * 100, 2)) AS pct FROM l WHERE u <> 0)
+, c AS (SELECT valor_total_real AS r, CASE WHEN cidade < 'J'
+               THEN CAST(CAST(valor_total_esperado AS DECIMAL(28,8)) / 5000 AS DECIMAL(18,2))
+               ELSE valor_total_esperado END AS e FROM vendas_localidade)
+SELECT (SELECT count(*) FROM p WHERE pct > 999.99) AS pct_desconto_fora,
+       (SELECT count(*) FROM c WHERE e <> 0 AND abs(round(CAST(r AS DOUBLE) / CAST(e AS DOUBLE) * 100, 1)) > 99999.9)
+         AS pct_atingimento_fora""",
+        "report_empty_year": base + "\n" + "\nUNION ALL ".join(
+            f"SELECT '{name}_{label}' AS tabela, CAST(count(*) AS BIGINT) AS linhas FROM ({body.format(ano=ano)}) t"
+            for label, ano in (("vazio", 2005), ("com_vendas", 1998))
+            for name, body in (
+                ("top_states", "SELECT DISTINCT sigla_estado FROM vendas_localidade WHERE ano = {ano} LIMIT 10"),
+                ("top_cities", "SELECT DISTINCT cidade FROM vendas_localidade WHERE ano = {ano} LIMIT 20"),
+                ("monthly_series", "SELECT mes FROM vendas_ano_mes WHERE ano = {ano}"),
+                ("kpi_cards", "SELECT DISTINCT ano FROM vendas_ano_mes WHERE ano = {ano}"))),
+        "sink_create_if_absent": base + "\nSELECT *, TRUE AS criada, FALSE AS recriada FROM dim_vendedor",
         "sales_lines": base + "\nSELECT * FROM sales_lines",
         "fact_discount": base + "\nSELECT id_nota, id_produto, valor_venda, valor_unitario, "
                                 "CAST(valor_venda - valor_unitario AS DECIMAL(18,2)) AS desconto FROM sales_lines",
@@ -724,8 +749,8 @@ FROM (SELECT *, CAST(valor_venda - valor_unitario AS DECIMAL(18,2)) AS d FROM sa
         "validation_report": base + f"""
 , c AS ({counts})
 SELECT tabela, coalesce(linhas, 0) AS linhas,
-       CASE WHEN tabela IN ({crit}) AND coalesce(linhas, 0) = 0 THEN 'FAIL'
-            WHEN tabela IN ({warn}) AND coalesce(linhas, 0) = 0 THEN 'WARN' ELSE 'OK' END AS status
+       CASE WHEN tabela IN ('dim_cliente', 'dim_localidade', 'vendas_ano_mes') AND coalesce(linhas, 0) = 0 THEN 'FAIL'
+            WHEN tabela = 'vendas_localidade' AND coalesce(linhas, 0) = 0 THEN 'WARN' ELSE 'OK' END AS status
 FROM c""",
         "dim_key_uniqueness": base + """
 SELECT 'dim_produto' AS tabela, CAST(count(*) AS BIGINT) AS chaves_duplicadas
@@ -748,11 +773,11 @@ SELECT ano, mes, {_month_sql('mes')} AS nome_mes, valor_total_real FROM (
   SELECT *, row_number() OVER (PARTITION BY ano ORDER BY valor_total_real DESC, mes ASC) AS rn
   FROM vendas_ano_mes) t WHERE rn = 1""",
         "kpi_cards": _kpi_sql(),
-        "top_states": _top_states_sql(FIXTURE_CONFIG.top_states),
+        "top_states": _top_states_sql(10),
         "top_states_k3": _top_states_sql(3),
-        "state_rank_intensity": _top_states_sql(FIXTURE_CONFIG.top_states,
+        "state_rank_intensity": _top_states_sql(10,
                                                 "sigla_estado, posicao, intensidade"),
-        "top_cities": base + _top_sql("cidade", FIXTURE_CONFIG.top_cities, """
+        "top_cities": base + _top_sql("cidade", 20, """
 SELECT cidade, valor_total_real, valor_total_esperado,
        CAST(sum(valor_total_esperado) OVER () AS DOUBLE) / count(*) OVER () AS media_meta FROM top"""),
         "avg_ticket": base + """
@@ -768,7 +793,7 @@ FROM (SELECT ano, mes, round({_ratio_sql('valor_total_real', 'valor_total_espera
       FROM vendas_ano_mes) t""",
         "deviation_sign": base + f"""
 SELECT ano, mes, desvio, {_sign_sql('desvio')} AS status_desvio,
-       (CASE WHEN desvio >= 0 THEN '{FM.UP_ARROW}' ELSE '{FM.DOWN_ARROW}' END) || ' '
+       (CASE WHEN desvio >= 0 THEN '▲' ELSE '▼' END) || ' '
          || {_money_sql('abs(desvio)')} || ' vs meta' AS direcao
 FROM (SELECT ano, mes, CAST(valor_total_real - valor_total_esperado AS DECIMAL(18,2)) AS desvio
       FROM vendas_ano_mes) t""",

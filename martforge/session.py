@@ -87,11 +87,32 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(p))
 
 
-def ensure_dir(path: str) -> str:
-    lp = local_path(path)
-    if lp is not None:
-        os.makedirs(lp, exist_ok=True)
-    return path
+def _statuses(spark: SparkSession, uri: str) -> list:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(uri)
+    return list(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p))
+
+
+def completed_writes(spark: SparkSession, uri: str) -> list[tuple[str, int]]:
+    """(folder name, completion time) of the folders under ``uri`` that a finished
+    Spark write left."""
+    if not path_exists(spark, uri):
+        return []
+    done = []
+    for s in _statuses(spark, uri):
+        if s.isDirectory():
+            marks = [f for f in _statuses(spark, s.getPath().toString()) if f.getPath().getName() == "_SUCCESS"]
+            done += [(s.getPath().getName(), m.getModificationTime()) for m in marks]
+    return done
+
+
+def input_state(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """(path, bytes, modification time) of the files of a folder of tables."""
+    found = []
+    for s in _statuses(spark, folder):
+        inner = _statuses(spark, s.getPath().toString()) if s.isDirectory() else [s]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in inner]
+    return tuple(sorted(found))
 
 
 def sizing(input_bytes: int, total_cores: int, *, input_per_partition: int = 1 << 30,

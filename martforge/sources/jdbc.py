@@ -31,6 +31,9 @@ PARTITIONED = {
     "nota_fiscal": "id",
     "item_nota_fiscal": "id_nota_fiscal",
     "endereco": "id",
+    "produto": "id",
+    "pessoa_fisica": "id",
+    "pessoa_juridica": "id",
 }
 
 

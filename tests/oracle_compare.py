@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import decimal
-import math
 import os
 
 import duckdb
@@ -24,12 +23,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     """Exact comparison: doubles by their exact value, decimals by value
-    (Decimal('1.50') == Decimal('1.5')), NaN as NULL."""
+    (Decimal('1.50') == Decimal('1.5')); NaN is not NULL."""
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
         return repr(v)
     if isinstance(v, decimal.Decimal):
         return str(v.normalize())

@@ -57,8 +57,8 @@ def test_dates_off_calendar_get_no_key_and_leave_the_marts(spark):
             "dim_vendedor": spark.createDataFrame([], "sk_vendedor long, id_pessoa long")}
     src = _src(spark, nota_fiscal=nf)
     hdr = {r["id_nota"]: r["sk_tempo"] for r in FT.resolved_headers(
-        src, dims["dim_tempo"], dims["dim_cliente"], dims["dim_vendedor"],
-        dims["dim_localidade"]).collect()}
+        src, dims["dim_tempo"], FT.person_lookup(dims["dim_cliente"], dims["dim_localidade"]),
+        dims["dim_vendedor"]).collect()}
     assert hdr == {1: None, 2: 1, 3: None}
     del empty
 
@@ -257,7 +257,7 @@ def test_null_customer_never_matches_a_null_address_owner(spark):
     loc = spark.createDataFrame([(1, None)], "sk_localidade long, id_pessoa long")
     empty = lambda sk: spark.createDataFrame([], f"{sk} long, id_pessoa long")
     hdr = FT.resolved_headers(_src(spark, nota_fiscal=nf), D.dim_tempo(spark, X.CFG),
-                              empty("sk_cliente"), empty("sk_vendedor"), loc).collect()
+                              FT.person_lookup(empty("sk_cliente"), loc), empty("sk_vendedor")).collect()
     assert [(r["id_nota"], r["sk_localidade"]) for r in hdr] == [(1, None)]
 
 

@@ -57,7 +57,8 @@ def test_partitioned_tables_are_read_in_slices():
     J.jdbc_sources(spark, "jdbc:postgresql://db/x", {"user": "u"}, num_partitions=8)
     loads = [o for o in spark.log if "partitionColumn" in o]
     tables = {o["dbtable"]: o for o in loads}
-    assert set(tables) == {"vendas.nota_fiscal", "vendas.item_nota_fiscal", "geral.endereco"}
+    assert set(tables) == {"vendas.nota_fiscal", "vendas.item_nota_fiscal", "geral.endereco", "vendas.produto",
+                           "geral.pessoa_fisica", "geral.pessoa_juridica"}
     o = tables["vendas.item_nota_fiscal"]
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == (
         "id_nota_fiscal", "10", "5001", "8")
@@ -72,6 +73,57 @@ def test_empty_partitioned_table_falls_back_to_one_read():
     assert spark.log[-1]["dbtable"] == "t" and "partitionColumn" not in spark.log[-1]
 
 
+class _Write:
+    """Records a chained DataFrame write."""
+
+    def __init__(self, log, rows=None):
+        self.log, self.seen, self.write, self.dtypes = log, {"partitions": rows}, self, []
+
+    def select(self, *_):
+        return self
+
+    @property
+    def schema(self):
+        class S:
+            fields = ()
+        return S
+
+    def repartition(self, n):
+        self.seen["partitions"] = n
+        return self
+
+    def format(self, f):
+        self.seen["format"] = f
+        return self
+
+    def mode(self, m):
+        self.seen["mode"] = m
+        return self
+
+    def option(self, k, v):
+        self.seen[k] = v
+        return self
+
+    def save(self):
+        self.log.append(dict(self.seen))
+
+
+def test_marts_are_delivered_to_the_database():
+    """Fakes only: no database may run here."""
+    from martforge.plans.pipeline import deliver_marts
+
+    log = []
+
+    class Run:
+        def table(self, _, name):
+            return _Write(log)
+
+    assert deliver_marts(None, Run(), "jdbc:postgresql://db/x", properties={"user": "u"}, num_partitions=3) == {
+        "vendas_ano_mes": "overwrite", "vendas_localidade": "overwrite"}
+    assert [(w["format"], w["mode"], w["dbtable"], w["truncate"], w["partitions"], w["user"]) for w in log] == [
+        ("jdbc", "overwrite", t, "true", 3, "u") for t in ("vendas_ano_mes", "vendas_localidade")]
+
+
 def test_command_line_run_and_report(sf_dir, tmp_path):
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = {**os.environ, "PYTHONPATH": repo}
@@ -82,6 +134,7 @@ def test_command_line_run_and_report(sf_dir, tmp_path):
     assert run.returncode == 0, run.stderr[-2000:]
     out = json.loads([ln for ln in run.stdout.splitlines() if ln.startswith("{")][-1])
     assert out["counts"]["vendas_ano_mes"] > 0 and out["lake"]
+    assert out["metrics"]["sem_calendario"] == 0 and "pct_atingimento_fora" in out["metrics"]
     rep = subprocess.run([sys.executable, "-m", "martforge", "report", "--root", root],
                          cwd=repo, env=env, capture_output=True, text=True, timeout=600)
     assert rep.returncode == 0, rep.stderr[-2000:]

@@ -50,3 +50,30 @@ def test_first_per_key_matches_window(spark, sf_dir):
     w = Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_quantity")
     want = li.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_text_keys_are_numbered_in_many_ranges(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(0)
+    names = sorted({f"Customer#{rng.randrange(10**6):06d}{rng.choice(['', 'é', 'z'])}" for _ in range(500)}) + [None]
+    df = spark.createDataFrame([(n,) for n in names], "c_name string").repartition(4)
+    out = dense_key(df, "sk", ["c_name"], buckets=16)
+    got = [r.c_name for r in out.orderBy("sk").collect()]
+    assert got == [None, *sorted(names[:-1], key=str.encode)]
+    window = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "row_number" in x]
+    assert window and all("_rng" in x for x in window)
+    ranges = out.select(F.col("sk")).count()
+    assert ranges == len(names)
+
+
+def test_more_ranges_than_boundaries_keep_the_order(spark):
+    from martforge.operators import keys as KEYS
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 3000).select((F.col("id") * F.col("id")).alias("k"))
+    out = dense_key(df, "sk", ["k"], buckets=3 * KEYS.TREE)
+    rows = out.orderBy("k").collect()
+    assert [r.sk for r in rows] == list(range(1, 3001))

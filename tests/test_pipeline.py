@@ -1,6 +1,8 @@
 """End-to-end run: invariants between tables, round trips, idempotent lake,
 atomic publish."""
 
+import dataclasses
+import os
 from datetime import date
 
 import pytest
@@ -87,3 +89,92 @@ def test_empty_month_writes_no_partition(spark, sf_dir, tmp_path):
     cfg = FIXTURE_CONFIG.with_(ds="2005-01-15")
     res = run_pipeline(spark, fixture_sources(spark, sf_dir), cfg, str(tmp_path), publish=False)
     assert res.counts["lake_month"] == 0 and res.lake_location is None
+
+
+def test_empty_month_with_a_fallback_lake(spark, sf_dir, tmp_path):
+    src, cfg = fixture_sources(spark, sf_dir), FIXTURE_CONFIG.with_(ds="2005-01-15")
+    for root in ("new", "used"):
+        where = str(tmp_path / root)
+        if root == "used":
+            run_pipeline(spark, src, FIXTURE_CONFIG, where, publish=False)
+        res = run_pipeline(spark, src, cfg, where, publish=False, lake_fallback=str(tmp_path / "fb"))
+        assert res.counts["lake_month"] == 0 and res.lake_location is None
+        assert L.read_lake_month(spark, res.lake_root, 2005, 1).count() == 0
+    assert L.read_lake_month(spark, str(tmp_path / "never"), 2005, 1).columns == L.LAKE_ROW.names
+
+
+def test_an_emptied_month_counts_this_attempt_only(spark, run, tmp_path):
+    _, _, res = run
+    ano, mes = L.month_of(FIXTURE_CONFIG.ds)
+    rows = L.read_lake_month(spark, res.lake_root, ano, mes)
+    lake = str(tmp_path / "lake")
+    assert L.write_lake_with_fallback(rows, lake, str(tmp_path / "fb")).rows == res.counts["lake_month"]
+    again = L.write_lake_with_fallback(rows.limit(0), lake, str(tmp_path / "fb"))
+    assert (again.rows, again.location, again.reason) == (0, lake, None)
+
+
+def test_the_reason_of_a_fallback_is_kept(spark, sf_dir, tmp_path, monkeypatch):
+    write = L.write_lake
+
+    def failing(rows, root, **kw):
+        if root.endswith("/lake"):
+            raise OSError("no space on the lake")
+        return write(rows, root, **kw)
+
+    monkeypatch.setattr(L, "write_lake", failing)
+    res = run_pipeline(spark, fixture_sources(spark, sf_dir), FIXTURE_CONFIG, str(tmp_path), publish=False,
+                       lake_fallback=str(tmp_path / "fb"))
+    assert res.lake_location == str(tmp_path / "fb") and res.counts["lake_month"] > 0
+    assert any("no space on the lake" in w for w in res.warnings)
+
+
+def test_a_publish_in_progress_does_not_hide_the_last_one(spark, run):
+    root, _, _ = run
+    published = current_run(spark, root)
+    spark.sql("SELECT 'x' AS run_id").write.text(f"{root}/_PUBLISHED/zzz")
+    os.remove(f"{root}/_PUBLISHED/zzz/_SUCCESS")     # as a publish that died leaves it
+    assert current_run(spark, root) == published
+
+
+def test_metrics_count_what_the_fact_holds(spark, run):
+    _, _, res = run
+    fact = res.table(spark, "fato_venda")
+    assert res.metrics["nulos_sk_localidade"] == fact.where("sk_localidade IS NULL").count()
+    assert res.metrics["sem_calendario"] == fact.where("sk_tempo IS NULL").count()
+    assert res.metrics["pct_desconto_fora"] == fact.where("pct_desconto IS NULL AND valor_unitario <> 0").count()
+
+
+def test_strict_percentages_fail_the_run(spark, sf_dir, tmp_path):
+    src = fixture_sources(spark, sf_dir)
+    cheap = dataclasses.replace(src, item_nota_fiscal=src.item_nota_fiscal.withColumn(
+        "valor_unitario", F.lit("0.01").cast("decimal(18,2)")))
+    lenient = run_pipeline(spark, cheap, FIXTURE_CONFIG, str(tmp_path / "a"), publish=False)
+    assert lenient.metrics["pct_desconto_fora"] > 0
+    assert any(w.startswith("pct_desconto_fora") for w in lenient.warnings)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_OVERFLOW"):
+        run_pipeline(spark, cheap, FIXTURE_CONFIG.with_(strict_pct=True), str(tmp_path / "b"), publish=False)
+
+
+def test_month_filter_skips_most_files(spark, sf_dir, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.shuffle.partitions": "32",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        res = run_pipeline(spark, fixture_sources(spark, sf_dir), FIXTURE_CONFIG, str(tmp_path), publish=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    lo, hi = L.month_sk_range(res.cfg, *L.month_of(FIXTURE_CONFIG.ds))
+    spans = []
+    for f in glob.glob(f"{res.run_root}/warehouse/fato_venda/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("sk_tempo")
+        spans += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+    assert len(spans) >= 4
+    assert sum(s.min <= hi and s.max >= lo for s in spans) <= len(spans) / 2
