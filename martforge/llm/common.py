@@ -32,6 +32,13 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """A sample of ``n`` rows: those with the lowest ``key``. The bound is found from the
+    keys alone, so no task gathers more than the sample itself."""
+    low = df.select(key.alias("k")).orderBy("k").limit(n).agg(F.max("k")).first()[0]
+    return df.limit(0) if low is None else df.filter(key <= F.lit(low)).limit(n)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``.
 
