@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import small_batches
+from martforge.llm.common import lowest, small_batches
 
 MAX_LABELLED = 2000
 TAG_MOST, WORD_LEAST = -0.05, 0.001
@@ -234,7 +234,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_weights(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Weights:
     labelled = pages.filter(F.col("html").rlike(r"(?i)<(?:article|main)[\s>]")).select("page_id", "html")
-    sample = labelled.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(max_labelled).select("html")
+    sample = lowest(labelled, F.xxhash64("page_id", "html"), max_labelled).select("html")
     # Features are tags and fixed class words, so their number is bounded by the sample's markup.
     rows = (sample.mapInArrow(_features, "feature string, inside boolean, n long").groupBy("feature").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"),
