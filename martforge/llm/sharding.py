@@ -3,8 +3,9 @@
 Equal texts form an atomic group, which never spans two shards. Groups are
 gathered into at most ``UNITS`` atomic units by a hash of the text, the units are
 put in one order, and the smallest capacity for which a greedy left-to-right cut
-needs no more shards than there are is found by binary search; the cut at that
-capacity is the partition.
+needs no more shards than there are is found by binary search. At that capacity the
+units are cut, each shard as near to an even share of what is left as the capacity of
+the later ones allows (plain greedy cuts would leave the last shard short).
 
 A single group that alone exceeds an even share cannot share a shard with
 anything under a near-equal law: it gets a shard of its own and the search runs
@@ -15,9 +16,8 @@ What reaches the driver is bounded: one number per unit, and the oversized group
 (fewer than the shards). Slots count on over cells of each shard, so neither a
 shard nor a group of copies is ever held in one task.
 
-Defined cases: null text has 16 bytes of size, crc32 0, and is a group of its own
-(null texts); empty text another; repeated rows each get a slot; null ids are
-kept; an empty table gives an empty result; other columns are not read.
+Defined cases: null text has 16 bytes of size and crc32 0 like empty text, and is in
+one group with it; repeated rows each get a slot; null ids are kept; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,16 +35,34 @@ OVERHEAD = 16
 UNITS = 1 << 16
 
 
-def shards_needed(ends: list[int], capacity: int, most: int) -> list[int] | None:
-    """Greedy cut points over the running totals ``ends`` (index of each shard's
-    first unit after the first), or None if over ``most`` shards are needed."""
-    cuts, start, used = [], 0, 0
+def feasible(ends: list[int], capacity: int, most: int) -> bool:
+    """Whether greedy cuts over the running totals ``ends`` need at most ``most`` shards."""
+    start, used, taken = 0, 0, 0
     while start < len(ends):
         nxt = bisect_right(ends, used + capacity)
-        if nxt == start or len(cuts) == most:
-            return None
-        cuts.append(nxt)
-        start, used = nxt, ends[nxt - 1]
+        if nxt == start or taken == most:
+            return False
+        start, used, taken = nxt, ends[nxt - 1], taken + 1
+    return True
+
+
+def even_cuts(ends: list[int], capacity: int, shards: int) -> list[int]:
+    """The end of each shard, none above ``capacity`` (feasible), as even as that allows."""
+    n, cuts, start, used = len(ends), [], 0, 0
+    need = [0] * (n + 1)  # shards that the units from here on need
+    for i in range(n - 1, -1, -1):
+        need[i] = 1 + need[bisect_right(ends, (ends[i - 1] if i else 0) + capacity)]
+    while start < n:
+        left = shards - len(cuts)
+        even = used + (ends[-1] - used) / left
+        end = max(start + 1, bisect_right(ends, even))
+        if end < n and ends[end] - even < even - ends[end - 1]:
+            end += 1
+        end = min(end, bisect_right(ends, used + capacity))
+        while need[end] > left - 1:
+            end += 1
+        cuts.append(end)
+        start, used = end, ends[end - 1]
     return cuts
 
 
@@ -56,11 +74,11 @@ def minimax_cuts(sizes: list[int], shards: int) -> tuple[int, list[int]]:
     low, high = max(max(sizes), -(-ends[-1] // shards)), ends[-1]
     while low < high:
         middle = (low + high) // 2
-        if shards_needed(ends, middle, shards) is None:
-            low = middle + 1
-        else:
+        if feasible(ends, middle, shards):
             high = middle
-    return low, shards_needed(ends, low, shards)
+        else:
+            low = middle + 1
+    return low, even_cuts(ends, low, shards)
 
 
 def packing_order(sizes: dict[int, int], shards: int) -> list[int]:
@@ -75,7 +93,6 @@ def packing_order(sizes: dict[int, int], shards: int) -> list[int]:
         b = min(range(shards), key=load.__getitem__)
         bins[b].append(u)
         load[b] += sizes[u]
-    level, k, order = even, 0, []
     order, k, taken, wanted = [], 0, 0, 0.0
     level = _water_level(load, sum(sizes[u] for u in small))
     for b in range(shards):
@@ -102,8 +119,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     spark = docs.sparkSession
     text = F.col("text")
-    # A second hash with its own prefix tells null from empty.
-    group = F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(F.lit(1), text))
+    group = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = staged(spark, docs.select(
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),

@@ -145,6 +145,7 @@ def test_shards_awkward_rows(awkward, empty):
             crc[r.text_crc32].add(r.shard)
     assert all(len(s) == 1 for s in crc.values())
     assert max(sizes.values()) == max(r["size"] for r in rows)  # the long text alone
+    assert len({r.shard for r in rows if not r.text_crc32}) == 1  # null and empty texts are one group
     assert sharding.assign_shards(empty).collect() == []
     assert python_nodes(sharding.assign_shards(awkward)) == []
 
