@@ -63,7 +63,7 @@ class WindowIndex:
     """The windows of a block of items, by length: kept fingerprints and item ids."""
 
     def __init__(self, items: Iterable[tuple[str | None, str | None]]):
-        self.windows: dict[int, dict[bytes, list[str | None]]] = {}
+        self.windows: dict[int, dict[bytes, dict[str | None, None]]] = {}  # ids as keys: a text may have many
         prints: dict[int, list[np.ndarray]] = {}
         for item_id, text in items:
             norm = normalised(text)
@@ -72,9 +72,7 @@ class WindowIndex:
             starts, ends = word_bounds(norm)
             span = min(SPAN, len(starts))
             for s in range(len(starts) - span + 1):
-                ids = self.windows.setdefault(span, {}).setdefault(norm[starts[s]:ends[s + span - 1]], [])
-                if item_id not in ids:
-                    ids.append(item_id)
+                self.windows.setdefault(span, {}).setdefault(norm[starts[s]:ends[s + span - 1]], {})[item_id] = None
             prints.setdefault(span, []).append(kept(word_hashes(norm), span)[1])
         self.prints = {span: np.unique(np.concatenate(p)) for span, p in prints.items()}
 
@@ -129,7 +127,8 @@ def _searcher(index) -> Callable:
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterable[list]:
-    """The items in blocks of about ``block_bytes`` of text at most (one item at least)."""
+    """The items, repeated rows once, in blocks of about ``block_bytes`` of text at most (one item at least)."""
+    benchmark = benchmark.select("item_id", "text").distinct()
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * size // block_bytes))
     key = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
