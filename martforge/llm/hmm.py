@@ -15,7 +15,7 @@ word; (4) Baum-Welch: each task adds up expected counts, which are summed over
 tasks, for ROUNDS passes over every training text; (5) the forward recursion.
 
 The start of Baum-Welch is a mixture of unigrams fitted on at most ``INIT_DOCS``
-training texts (lowest hash of the row); after that all training texts count. For
+training texts of at most ``INIT_TOKENS`` tokens (lowest hash of the row); after that all training texts count. For
 the expected counts a text is cut into stretches of SEGMENT tokens; scoring runs over
 whole texts.
 
@@ -44,7 +44,7 @@ CLASSES = SINGLES + SUFFIXES
 HOT = 1 << 18
 ROUNDS = 3
 SEGMENT = 256
-INIT_DOCS = 2000
+INIT_DOCS, INIT_TOKENS = 2000, 1 << 16
 INIT_STEPS = 15
 SMOOTHING = 200.0  # tokens of the overall class distribution added to each state
 END = np.uint64(0xE4D0F7EE57A6E4D1)  # stands for the end token
@@ -275,7 +275,8 @@ def train(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS) -> tuple[
     """Baum-Welch over the training rows of ``texts``; also the log10 likelihood seen by each round."""
     spark = texts.sparkSession
     training = texts.filter(~F.col("held_out"))
-    sample = lowest(training, F.xxhash64("doc_id", "seq"), INIT_DOCS).select("doc_id", "seq").toArrow()
+    short = training.filter(F.octet_length("seq") <= 2 * INIT_TOKENS)
+    sample = lowest(short, F.xxhash64("doc_id", "seq"), INIT_DOCS).select("doc_id", "seq").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("seq", "ascending")])  # the start does not hang on task order
     model, seen = first_model([np.frombuffer(s.as_py(), np.uint16) for s in sample["seq"]], overall), []
     k, c = STATES, len(overall)
