@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import staged
+from martforge.llm.common import small_batches, staged
 
 BEGIN, HEAD, TAIL, CLOSE = b"<s>", b"[INST]", b"[/INST]", b"</s>"
 LEARNED = "assistant"
@@ -110,6 +110,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def format_conversations(turns: DataFrame) -> DataFrame:
     """conv_id, place (0, 1, ...), formatted, loss_start, loss_end: one row per turn."""
+    small_batches(turns.sparkSession)
     order = ["conv_id", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))]
     kind = dict(turns.dtypes)["conv_id"]
     return (turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions(*order)

@@ -19,9 +19,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Bound the rows that go to a Python worker at once: texts may be long."""
+def small_batches(spark: SparkSession, rows: int = 1024, size: int = 32 << 20) -> None:
+    """Bound the rows and bytes that go to a Python worker at once: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

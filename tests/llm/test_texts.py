@@ -68,6 +68,7 @@ def test_contamination(spark, awkward, empty, block_bytes):
         want[doc_id, n, hit, len(ids), brute.sha(",".join(ids)), hit > 0] += 1
     assert got == want
     assert winnowing.decontamination_report(empty, bench).collect() == []
+    assert [len(b) for b in winnowing.benchmark_blocks(bench.union(bench))] == [len(BENCH)]
     assert winnowing.decontaminate(awkward, bench.limit(0)).count() == len(DOCS)
     clean = winnowing.decontaminate(given, bench)
     assert clean.columns == given.columns and clean.count() == sum(n for k, n in want.items() if not k[-1])
@@ -238,6 +239,16 @@ def test_quality_scores(spark, awkward, empty):
     assert kneser_ney.quality_scores(empty, labels).collect() == []
 
 
+def test_trusted_texts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MAX_TEXT_BYTES", 50)
+    rows = [(i, "t" * 10) for i in range(20)] + [(0, "a" * 10)] * 30 + [(20, "x" * 51), (21, None), (None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = df.select("doc_id").distinct()
+    got = {r.doc_id: r.text for r in kneser_ney.trusted_texts(df, ids).collect()}
+    assert got == {0: "a" * 10} | {i: "t" * 10 for i in range(1, 20)}
+    assert kneser_ney.trusted_texts(df, ids, 75).count() == 7
+
+
 # --- hidden Markov model
 
 def toy(seed=0, states=3, classes=5):
@@ -274,6 +285,16 @@ def test_expected_counts_are_exact():
     assert emit == pytest.approx(e, rel=1e-4, abs=1e-6) and total == pytest.approx(ll, rel=1e-5)
 
 
+def test_start_leaves_out_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "INIT_TOKENS", 2)
+    given = [(1, False, bytearray(np.array([1, 2], np.uint16).tobytes())), (2, False, bytearray(np.arange(9, dtype=np.uint16).tobytes()))]
+    used = []
+    monkeypatch.setattr(hmm, "first_model", lambda seqs, overall, first=hmm.first_model: used.extend(seqs) or first(seqs, overall))
+    texts = spark.createDataFrame(given, "doc_id long, held_out boolean, seq binary")
+    hmm.train(texts, np.full(hmm.CLASSES, 1 / hmm.CLASSES), rounds=1)
+    assert [s.tolist() for s in used] == [[1, 2]]
+
+
 def test_training_raises_likelihood(spark):
     rng = np.random.default_rng(0)
     truth = toy(5, classes=hmm.CLASSES)
