@@ -9,8 +9,8 @@ around it are compared word for word with the windows of the benchmark.
 
 The benchmark is the small side. It is read in blocks of at most ``block_bytes`` of
 text, each sent to the tasks as one index; a benchmark of any size takes more blocks,
-each against all documents. Documents are never shuffled and carry their own
-result, so a passage that a third of them shares costs nothing extra.
+each against all documents, and what they found is written between two of them, so a
+task holds one index only. Documents are never shuffled and carry their own result, so a passage that a third of them shares costs nothing extra.
 
 Defined cases: null text has no words and no hits; empty or null items are no
 windows; items with equal texts all count; a null item id marks words but is not
@@ -24,10 +24,10 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import small_batches
+from martforge.llm.common import small_batches, staged
 from martforge.llm.wordhash import gram_hashes, word_bounds, word_hashes
 
 SPAN = 10
@@ -60,21 +60,38 @@ def kept(words: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WindowIndex:
-    """The windows of a block of items, by length: kept fingerprints and item ids."""
+    """The windows of a block of items, in flat arrays by length: about 30 bytes a window
+    beside the texts. Windows are told apart by 64-bit hashes; a run of a document
+    counts only if its bytes are the window's."""
 
     def __init__(self, items: Iterable[tuple[str | None, str | None]]):
-        self.windows: dict[int, dict[bytes, dict[str | None, None]]] = {}  # ids as keys: a text may have many
-        prints: dict[int, list[np.ndarray]] = {}
+        self.ids: list[str | None] = []
+        texts, size, found = [], 0, {}
         for item_id, text in items:
             norm = normalised(text)
             if not norm:
                 continue
-            starts, ends = word_bounds(norm)
+            words, starts = word_hashes(norm), word_bounds(norm)[0]
             span = min(SPAN, len(starts))
-            for s in range(len(starts) - span + 1):
-                self.windows.setdefault(span, {}).setdefault(norm[starts[s]:ends[s + span - 1]], {})[item_id] = None
-            prints.setdefault(span, []).append(kept(word_hashes(norm), span)[1])
-        self.prints = {span: np.unique(np.concatenate(p)) for span, p in prints.items()}
+            runs = gram_hashes(words, span)
+            found.setdefault(span, []).append(
+                (kept(words, span)[1], runs, size + starts[:len(runs)], np.full(len(runs), len(self.ids), np.int32)))
+            self.ids.append(item_id)
+            texts.append(norm)
+            size += len(norm) + 1
+        self.texts = b" ".join(texts) + b" "
+        self.spans = {span: self._arrays(*map(np.concatenate, zip(*parts, strict=True))) for span, parts in found.items()}
+
+    @staticmethod
+    def _arrays(prints: np.ndarray, runs: np.ndarray, place: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Kept fingerprints; the windows' hashes (distinct, sorted) and places in the
+        texts; the items of window w are ``item[first[w]:first[w + 1]]``."""
+        order = np.lexsort((item, runs))
+        runs, place, item = runs[order], place[order], item[order]
+        new = np.concatenate([[True], (runs[1:] != runs[:-1]) | (item[1:] != item[:-1])])
+        runs, place, item = runs[new], place[new], item[new]
+        first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+        return np.unique(prints), runs[first], place[first], np.append(first, len(runs)), item
 
     def search(self, norm: bytes, hits: list[tuple[int, int]], items: set[str]) -> tuple[int, list, set]:
         """Words, merged hit ranges (end exclusive) and item ids of a document,
@@ -85,27 +102,35 @@ class WindowIndex:
         for s, e in hits:
             hit[s] += 1
             hit[e] -= 1
-        words = word_hashes(norm) if self.prints else None
-        for span, prints in self.prints.items():
+        words = word_hashes(norm) if self.spans else None
+        for span, (prints, windows, place, first, item) in self.spans.items():
             if n < span:
                 continue
             at, hashes = kept(words, span)
-            place = np.minimum(np.searchsorted(prints, hashes), len(prints) - 1)
-            shared = at[prints[place] == hashes]
-            k, table = (span + 1) // 2, self.windows[span]
-            tried = -1
-            for p in shared.tolist():  # extend: every run of the span around the fingerprint
-                first = max(tried + 1, p + k - span, 0)
-                for s in range(first, min(p, n - span) + 1):
-                    ids = table.get(norm[starts[s]:ends[s + span - 1]])
-                    if ids is not None:
-                        hit[s] += 1
-                        hit[s + span] -= 1
-                        found.update(i for i in ids if i is not None)
-                tried = max(tried, min(p, n - span))
+            near = at[_place(prints, hashes) >= 0]
+            if not len(near):
+                continue
+            # Extend: every run around a shared fingerprint is compared with the windows.
+            around = np.zeros(n + 1, np.int32)
+            np.add.at(around, np.maximum(near + (span + 1) // 2 - span, 0), 1)
+            np.add.at(around, np.minimum(near, n - span) + 1, -1)
+            tried = np.flatnonzero(np.cumsum(around) > 0)
+            window = _place(windows, gram_hashes(words, span)[tried])
+            for s, w in zip(tried[window >= 0].tolist(), window[window >= 0].tolist(), strict=True):
+                run = norm[starts[s]:ends[s + span - 1]] + b" "
+                if self.texts.startswith(run, place[w]):
+                    hit[s] += 1
+                    hit[s + span] -= 1
+                    found.update(i for k in item[first[w]:first[w + 1]] if (i := self.ids[k]) is not None)
         return n, ranges(np.cumsum(hit[:n]) > 0), found
 
 
+def _place(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted value stands (-1: nowhere)."""
+    at = np.minimum(np.searchsorted(sorted_values, wanted), len(sorted_values) - 1)
+    return np.where(sorted_values[at] == wanted, at, -1)
+
+
 def ranges(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
@@ -137,27 +162,32 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
         yield [tuple(r) for r in (part if blocks == 1 else part.filter(key == b)).collect()]
 
 
-def search_column(docs: DataFrame, benchmark: DataFrame, text: Column, block_bytes: int = BLOCK_BYTES) -> Column:
-    """n_words, hits (word ranges) and items for each document."""
+def searched(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``row`` (all columns of a document) and ``found``: n_words, hits (word ranges) and
+    items. Between two blocks the rows are written to the shared folder, so a task
+    holds one block's index at a time."""
     spark = docs.sparkSession
     small_batches(spark)
-    found = F.lit(None).cast(RESULT)
-    for items in benchmark_blocks(benchmark, block_bytes):
-        found = _searcher(spark.sparkContext.broadcast(WindowIndex(items)))(text, found)
-    return found
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.lit(None).cast(RESULT).alias("found"))
+    for n, items in enumerate(benchmark_blocks(benchmark, block_bytes)):
+        if n:
+            rows = staged(spark, rows, f"winnow-{n}")
+        search = _searcher(spark.sparkContext.broadcast(WindowIndex(items)))
+        rows = rows.select("row", search(F.col("row.text"), F.col("found")).alias("found"))
+    return rows
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    found = docs.select("doc_id", search_column(docs, benchmark, F.col("text"), block_bytes).alias("f"))
-    hit = F.aggregate("f.hits", F.lit(0).cast("long"), lambda a, h: a + h["e"] - h["s"])
-    return found.select(
-        "doc_id", F.col("f.n_words").alias("n_words"), hit.alias("n_hit"),
-        F.size("f.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"),
-        (F.size("f.hits") > 0).alias("contaminated"))
+    rows = searched(docs.select("doc_id", "text"), benchmark, block_bytes)
+    hit = F.aggregate("found.hits", F.lit(0).cast("long"), lambda a, h: a + h["e"] - h["s"])
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"), F.col("found.n_words").alias("n_words"), hit.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (F.size("found.hits") > 0).alias("contaminated"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, all columns, that hold no window of the benchmark."""
-    found = search_column(docs, benchmark, F.col("text"))
-    return docs.filter(F.size(found["hits"]) == 0)
+    return searched(docs, benchmark, block_bytes).filter(F.size("found.hits") == 0).select("row.*")

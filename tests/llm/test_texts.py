@@ -70,7 +70,7 @@ def test_contamination(spark, awkward, empty, block_bytes):
     assert winnowing.decontamination_report(empty, bench).collect() == []
     assert [len(b) for b in winnowing.benchmark_blocks(bench.union(bench))] == [len(BENCH)]
     assert winnowing.decontaminate(awkward, bench.limit(0)).count() == len(DOCS)
-    clean = winnowing.decontaminate(given, bench)
+    clean = winnowing.decontaminate(given, bench, block_bytes)
     assert clean.columns == given.columns and clean.count() == sum(n for k, n in want.items() if not k[-1])
 
 
