@@ -1,18 +1,20 @@
 """Scoring texts with a hidden Markov language model.
 
-Words are emitted in two steps, p(word | state) = p(class | state) * p(word | class):
-the SINGLES most frequent words are classes of their own, every other word belongs to
-a class by its last letters. p(word | class) = (c + 1) / (tokens + words + 1 of the
-class) comes from the counts of all training tokens; it does not depend on the state,
-so the exact likelihood of a text is the scaled forward recursion over its classes
-times these factors. The model's size is bounded (STATES x CLASSES), the word counts
-grow with the corpus and stay distributed.
+Every training word has emissions of its own in every state, p(word | state) =
+p(class | state) * p(word | class, state): the SINGLES most frequent words are classes
+of their own, every other word belongs to a class by its last letters, which only
+smooths. With e the expected counts, p(word | class, state) = (e(word, state) + a * q) /
+(e(class, state) + a), where a is the number of words of the class and q = (c + 1) /
+(tokens + words + 1 of the class), from the counts of all training tokens, is what words
+have in the class whatever the state. The emissions grow with the corpus: those of the
+HOT most frequent words are sent to the tasks, the others stay a table by word.
 
 Jobs: (1) tokens are counted per batch and summed by word; (2) texts are written as
 class sequences, with the logarithms of the HOT most frequent words' counts looked up
 in a bounded table and the rest listed per text; (3) those lists join the counts by
 word; (4) Baum-Welch: each task adds up expected counts, which are summed over
-tasks, for ROUNDS passes over every training text; (5) the forward recursion.
+tasks by word, for ROUNDS passes over every training text; the sums of words that are not
+hot join the texts again for the next pass; (5) the forward recursion, with the last sums.
 
 The start of Baum-Welch is a mixture of unigrams fitted on at most ``INIT_DOCS``
 training texts of at most ``INIT_TOKENS`` tokens (lowest hash of the row); after that all training texts count. For
@@ -115,7 +117,7 @@ class Vocabulary:
         np.subtract.at(mass, SINGLES + suffix[single], c[single])
         np.subtract.at(kinds, SINGLES + suffix[single], 1)
         mass[single], kinds[single] = c[single], 1
-        self.class_total = mass + kinds + 1
+        self.class_total, self.kinds = mass + kinds + 1, kinds
         order = np.argsort(h)
         self.h, self.c, self.cls = h[order], c[order], cls[order].astype(np.uint16)
 
@@ -124,10 +126,14 @@ class Vocabulary:
         cls = (SINGLES + suffix).astype(np.uint16)
         if not len(self.h):
             return cls, np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        at = self.place(h)
         hot = self.h[at] == h
         return np.where(hot, self.cls[at], cls), np.where(hot, self.c[at], 0), hot
 
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """Where each hot word is in the table."""
+        return np.minimum(np.searchsorted(self.h, h), max(0, len(self.h) - 1))
+
 
 def _encoder(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,27 +144,49 @@ def _encoder(vocabulary):
             cls, c, hot = voc.encode(np.concatenate([h for h, _ in got]), np.concatenate([s for _, s in got]))
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             flat = np.concatenate([h for h, _ in got])
-            seqs, tails = [], []
+            place = voc.place(flat).astype(np.uint32)
+            seqs, words, tails = [], [], []
             for a, n in zip(first.tolist(), sizes.tolist(), strict=True):
                 seqs.append(cls[a:a + n].tobytes())
-                tail, times = np.unique(flat[a:a + n][~hot[a:a + n]], return_counts=True)
+                cold = ~hot[a:a + n]
+                tail, which, times = np.unique(flat[a:a + n][cold], return_inverse=True, return_counts=True)
+                place[a:a + n][cold] = len(voc.h) + which
+                words.append(place[a:a + n][cls[a:a + n] >= SINGLES].tobytes())
                 tails.append([{"h": x, "m": m} for x, m in zip(tail.view(np.int64).tolist(), times.tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays([
                 rows.column("doc_id"), rows.column("held_out"), pa.array(sizes),
                 pa.array(np.add.reduceat(hot & (c > 0), first, dtype=np.int64)),
                 pa.array(np.add.reduceat(np.log10(c + 1.0), first)),
                 pa.array(np.add.reduceat(log_total[cls], first)),
-                pa.array(seqs, pa.binary()),
+                pa.array(seqs, pa.binary()), pa.array(words, pa.binary()),
                 pa.array(tails, pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int64())]))),
-            ], ["doc_id", "held_out", "n_tokens", "n_hot", "log_hot", "log_class", "seq", "tail"])
+            ], ["doc_id", "held_out", "n_tokens", "n_hot", "log_hot", "log_class", "seq", "word", "tail"])
     return run
 
 
+class Words:
+    """What tells the words of a class apart by state. A word's emission is that of its class
+    times ``share`` (of the class) times (its ``gain`` + ``prior`` of the class), relative to q."""
+
+    def __init__(self, voc: Vocabulary, by_class: np.ndarray, hot: np.ndarray):
+        self.total, self.prior, self.n_hot = voc.class_total, np.maximum(voc.kinds, 1.0), len(voc.h)
+        self.share = 1 / (by_class + self.prior[:, None])
+        self.hot = (hot * (self.total[voc.cls] / (voc.c + 1.0))[:, None]).astype(np.float32)
+
+    def gain(self, e: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Of words by their expected counts, which sum to their counts."""
+        return e * (self.total[cls] / (e.sum(axis=1) + 1))[:, None]
+
+    def factor(self, gain: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return (gain + self.prior[cls, None]) * self.share[cls]
+
+
 class Model:
-    """start (K), move (K, K) and emit (CLASSES, K) probabilities."""
+    """start (K), move (K, K) and emit (CLASSES, K) probabilities; ``words`` (if any were
+    learned) refines the emissions of classes to those of words."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, words: Words | None = None):
+        self.start, self.move, self.emit, self.words = start, move, emit, words
 
     @staticmethod
     def from_counts(start: np.ndarray, move: np.ndarray, emit: np.ndarray, overall: np.ndarray) -> Model:
@@ -203,7 +231,7 @@ def _stretch_counts(model: Model, parts: list[tuple[np.ndarray, bool]], start, m
     sizes = np.array([len(p) for p, _ in parts])
     first = np.array([f for _, f in parts])
     steps, n, k = int(sizes[0]), len(parts), len(model.start)
-    seq = np.zeros((steps, n), np.uint16)
+    seq = np.zeros((steps, n), np.uint32)
     for j, (p, _) in enumerate(parts):
         seq[:len(p), j] = p
     active = np.searchsorted(-sizes, -np.arange(1, steps + 1), side="right")  # stretches that reach step t
@@ -256,47 +284,136 @@ def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(s.as_py(), np.uint16) for s in batch.column("seq")]
 
 
-def _trainer(model):
+class _Local:
+    """The tokens of a batch numbered anew, single words first and then every other word
+    of the batch, with a model over these."""
+
+    def __init__(self, model: Model, batch: pa.RecordBatch, n_hot: int):
+        seqs = _sequences(batch)
+        if "word" not in batch.schema.names or not seqs:  # classes alone
+            self.seqs, self.model, self.cls = seqs, model, None
+            return
+        sizes = np.array([len(s) for s in seqs])
+        flat = np.concatenate(seqs).astype(np.uint32)
+        fine = flat >= SINGLES
+        word = np.concatenate([np.frombuffer(w.as_py(), np.uint32) for w in batch.column("word")]).astype(np.int64)
+        tail = batch.column("tail")
+        listed = tail.flatten().field("h").to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(tail.value_lengths().to_numpy(zero_copy_only=False))])
+        row = np.repeat(np.arange(len(seqs)), sizes)[fine]
+        cold = word >= n_hot
+        self.tail, which = np.unique(listed, return_inverse=True)
+        self.hot, number = np.unique(word[~cold], return_inverse=True)
+        code = np.empty(len(word), np.int64)
+        code[~cold] = number
+        code[cold] = len(self.hot) + which[before[row[cold]] + word[cold] - n_hot]
+        self.cls = np.zeros(len(self.hot) + len(self.tail), np.int64)
+        self.cls[code] = flat[fine]
+        flat[fine] = SINGLES + code
+        self.seqs = np.split(flat, np.cumsum(sizes)[:-1])
+        emit = model.emit[self.cls]
+        if model.words is not None:
+            gain = np.zeros(emit.shape)
+            gain[:len(self.hot)] = model.words.hot[self.hot]
+            rare = batch.column("rare").flatten()
+            if len(rare):
+                h, at = np.unique(rare.field("h").to_numpy(zero_copy_only=False), return_index=True)
+                e = rare.field("e").flatten().to_numpy(zero_copy_only=False).reshape(-1, emit.shape[1])[at]
+                to = np.searchsorted(self.tail, h)
+                gain[len(self.hot) + to] = model.words.gain(e.astype(np.float64), self.cls[len(self.hot) + to])
+            emit = emit * model.words.factor(gain, self.cls)
+        self.model = Model(model.start, model.move, np.concatenate([model.emit[:SINGLES], emit]))
+
+
+def _trainer(model, n_hot: int):
+    """Expected counts as rows of one value for each state: the start, the moves, the classes,
+    the hot words and the likelihood by place; other words (``rare``) by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        k = len(m.start)
-        start, move, emit, total, seen = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape), 0.0, False
+        k, c = m.emit.shape[1], len(m.emit)
+        sums, seen = np.zeros((1 + k + c + n_hot + 1, k)), False
+
+        def rows(keys: np.ndarray, values: np.ndarray, rare: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), rare)), pa.array(keys), *(pa.array(np.ascontiguousarray(v)) for v in values.T)],
+                ["rare", "h", *(f"e{i}" for i in range(k))])
+
         for batch in batches:
-            found = expected_counts(m, _sequences(batch))
-            start, move, emit, total, seen = (start + found[0], move + found[1], emit + found[2], total + found[3], True)
+            local = _Local(m, batch, n_hot)
+            start, move, emit, total = expected_counts(local.model, local.seqs)
+            sums[0] += start
+            sums[1:1 + k] += move
+            sums[-1, 0] += total
+            seen = True
+            by_class = sums[1 + k:1 + k + c]
+            if local.cls is None:
+                by_class += emit
+                continue
+            by_class[:SINGLES] += emit[:SINGLES]
+            words = emit[SINGLES:]
+            for i in range(k):
+                by_class[:, i] += np.bincount(local.cls, words[:, i], minlength=c)
+            sums[1 + k + c + local.hot] += words[:len(local.hot)]
+            if len(local.tail):
+                yield rows(local.tail, words[len(local.hot):], True)
         if seen:
-            flat = np.concatenate([start, move.ravel(), emit.ravel(), [total]])
-            at = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["place", "value"])
+            at = np.flatnonzero(sums.any(axis=1))
+            yield rows(at, sums[at], False)
     return run
 
 
-def train(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
-    """Baum-Welch over the training rows of ``texts``; also the log10 likelihood seen by each round."""
+def with_rare(texts: DataFrame, rare: DataFrame | None) -> DataFrame:
+    """``texts`` with the expected counts of their words that are not hot."""
+    if rare is None:
+        return texts
+    found = (texts.select("row_id", F.explode("tail.h").alias("h")).join(rare, "h")
+             .groupBy("row_id").agg(F.collect_list(F.struct("h", "e")).alias("rare")))
+    none = F.array().cast("array<struct<h:bigint,e:array<float>>>")
+    return texts.join(found, "row_id", "left").withColumn("rare", F.coalesce("rare", none))
+
+
+def fit(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS,
+        voc: Vocabulary | None = None) -> tuple[Model, list[float], DataFrame | None]:
+    """Baum-Welch over the training rows of ``texts``; the log10 likelihood seen by each
+    round; and the expected counts (h, e) of the words that are not hot. Without ``voc``
+    classes are all there is."""
     spark = texts.sparkSession
     training = texts.filter(~F.col("held_out"))
     short = training.filter(F.octet_length("seq") <= 2 * INIT_TOKENS)
     sample = lowest(short, F.xxhash64("doc_id", "seq"), INIT_DOCS).select("doc_id", "seq").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("seq", "ascending")])  # the start does not hang on task order
     model, seen = first_model([np.frombuffer(s.as_py(), np.uint16) for s in sample["seq"]], overall), []
-    k, c = STATES, len(overall)
+    k, c, n_hot = STATES, len(overall), 0 if voc is None else len(voc.h)
+    names, rare = [f"e{i}" for i in range(k)], None
+    given = training.select("seq") if voc is None else training.select("row_id", "seq", "word", "tail")
     for _ in range(rounds):
-        rows = (training.select("seq").mapInArrow(_trainer(spark.sparkContext.broadcast(model)), "place long, value double")
-                .groupBy("place").agg(F.sum("value").alias("value")).toArrow())  # K + K * K + K * CLASSES rows
-        flat = np.zeros(k + k * k + k * c + 1)
-        flat[rows["place"].to_numpy()] = rows["value"].to_numpy()
-        seen.append(float(flat[-1]))
-        model = Model.from_counts(flat[:k], flat[k:k + k * k].reshape(k, k), flat[k + k * k:-1].reshape(c, k), overall)
-    return model, seen
+        out = staged(spark, with_rare(given, rare)
+                     .mapInArrow(_trainer(spark.sparkContext.broadcast(model), n_hot),
+                                 "rare boolean, h long, " + ", ".join(f"{e} double" for e in names))
+                     .groupBy("rare", "h").agg(*[F.sum(e).alias(e) for e in names]), "hmm-round")
+        rows = out.filter(~F.col("rare")).toArrow()  # 2 + K + CLASSES + HOT rows at most
+        sums = np.zeros((1 + k + c + n_hot + 1, k))
+        sums[rows["h"].to_numpy()] = np.column_stack([rows[e].to_numpy() for e in names])
+        seen.append(float(sums[-1, 0]))
+        model = Model.from_counts(sums[0], sums[1:1 + k], sums[1 + k:1 + k + c], overall)
+        if voc is not None:
+            model.words = Words(voc, sums[1 + k:1 + k + c], sums[1 + k + c:-1])
+            rare = out.filter("rare").select("h", F.array(*[F.col(e).cast("float") for e in names]).alias("e"))
+    return model, seen, rare
+
+
+def train(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
+    """Baum-Welch over classes alone."""
+    return fit(texts, overall, rounds)[:2]
 
 
-def _scorer(model):
+def _scorer(model, n_hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = log_likelihoods(model.value, _sequences(batch)) if batch.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names if c != "seq"), pa.array(found)],
-                [*(c for c in batch.schema.names if c != "seq"), "log_path"])
+            local = _Local(model.value, batch, n_hot)
+            found = log_likelihoods(local.model, local.seqs) if batch.num_rows else np.empty(0)
+            kept = [c for c in batch.schema.names if c not in ("seq", "word", "tail", "rare")]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found)], [*kept, "log_path"])
     return run
 
 
@@ -308,13 +425,14 @@ def score_report(docs: DataFrame) -> DataFrame:
     encoded = docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         _encoder(spark.sparkContext.broadcast(voc)),
         f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_hot long, log_hot double, "
-        "log_class double, seq binary, tail array<struct<h:bigint,m:bigint>>")
+        "log_class double, seq binary, word binary, tail array<struct<h:bigint,m:bigint>>")
     texts = staged(spark, encoded.withColumn("row_id", F.monotonically_increasing_id()), "hmm-texts")
 
     overall = voc.class_total / voc.class_total.sum()
-    model, _ = train(texts, overall)
-    paths = texts.drop("tail").mapInArrow(
-        _scorer(spark.sparkContext.broadcast(model)),
+    model, _, words = fit(texts, overall, voc=voc)
+    kept = ["doc_id", "held_out", "n_tokens", "n_hot", "log_hot", "log_class", "row_id"]
+    paths = with_rare(texts, words).select(*kept, "seq", "word", "tail", "rare").mapInArrow(
+        _scorer(spark.sparkContext.broadcast(model), len(voc.h)),
         f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_hot long, log_hot double, "
         "log_class double, row_id long, log_path double")
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import product
 
@@ -337,3 +338,22 @@ def test_word_given_class_sums_to_one(awkward):
 def test_model_beats_unigrams_on_held_out_text(spark, sf_dir):
     rows = hmm.score_report(spark.read.parquet(f"{sf_dir}/documents.parquet")).filter("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+@pytest.mark.parametrize("hot", [20, hmm.HOT])  # the rare words take the join, or the table of hot words
+def test_words_of_one_class_are_told_apart_by_state(spark, monkeypatch, hot):
+    monkeypatch.setattr(hmm.Vocabulary.__init__, "__defaults__", (hot,))
+    rng, given = random.Random(0), []
+    held, trained = ([i for i in range(2000) if (zlib.crc32(str(i).encode()) % 7 == 2) == h] for h in (True, False))
+    for n, i in enumerate(trained[:400]):
+        topic = "ab"[n % 2]
+        common = [f"{(n // 2 * 40 + j) % 1600}{topic * 2}" for j in range(40)]  # 3,200 words, 5 times each
+        common += [f"mark{topic}{j % 5}" for j in range(60)]
+        given.append((i, " ".join([*common, *(f"{topic}{(n // 2 + j) % 100}zzz" for j in range(2))])))  # 4 times each
+    for n, (at, rare) in enumerate(["aa", "ab", "bb", "ba"]):
+        given.append((held[n], " ".join([*(f"mark{at}{j % 5}" for j in range(60)), f"{rare}7zzz", f"{rare}8zzz"])))
+    rng.shuffle(given)
+    rows = {r.doc_id: r for r in hmm.score_report(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    aa, ab, bb, ba = (rows[held[n]] for n in range(4))
+    assert aa.base_score == pytest.approx(ab.base_score) and aa.n_known == ab.n_known == 63
+    assert aa.score > ab.score + 0.5 and bb.score > ba.score + 0.5
