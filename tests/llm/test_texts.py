@@ -198,6 +198,34 @@ def test_main_text(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class=no-comments", "class='with-header'", "id=form-page",
+                                     "class='layout sidebar'", "data-id='related'", "data-role=banner",
+                                     "title='see class=comments'", "onclick=\"go('/p?id=7-related')\""])
+def test_the_article_wins_over_its_wrapper(wrapper):
+    page = f"<body><nav>Home</nav><div {wrapper}><article><p>Some words of the page.</p></article></div></body>"
+    assert html_extract.main_text(page, html_extract.Weights({})) == "Some words of the page."
+    if "'layout sidebar'" not in wrapper:  # also when no markup names the content
+        page = page.replace("article", "section")
+        assert html_extract.main_text(page, html_extract.Weights({})) == "Some words of the page."
+
+
+def test_attributes_are_read_whole():
+    weights = html_extract.Weights({})
+    for link in ("<a href='/p?id=7-related'>", "<a href=/p?id=related>", "<a data-id=related>", "<a title=\"a id=related b\">"):
+        assert html_extract.main_text(f"<p>See {link}this page</a> too", weights) == "See this page too"
+    for mark in ("class='x related'", "ID=related", "a=b class = 'Related' c", "role=navigation", "data-id='7' id=\"comments\""):
+        assert html_extract.main_text(f"<p>Words <b {mark}>left out</b> stay", weights) == "Words stay"
+
+
+def test_marked_parts_inside_an_article_stay_out():
+    weights = html_extract.Weights({})
+    for inner in ("<div class=comments><article>a reply</article></div>", "<aside><article>aside</article></aside>",
+                  "<div class='related'><p>see also</p></div>"):
+        assert html_extract.main_text(f"<article><p>Some words of the page.</p>{inner}</article>", weights) == "Some words of the page."
+    for outer in ("<nav><article>a menu</article></nav>", "<div id=comments><article class='comment'>a reply</article></div>"):
+        assert html_extract.main_text(outer, weights) == ""
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(0)
     for _ in range(300):
