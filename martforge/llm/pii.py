@@ -50,22 +50,29 @@ BASE = {
 #: What a text must contain for a base pattern to match.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-# Candidate patterns of the added spans (fixed values).
+# Candidate patterns of the added spans (fixed values). Each ends at an edge of its own:
+# a secret is a whole run whatever its length, a name ends where its letters do.
+EDGE_BEFORE = r"(?<![A-Za-z0-9_@+])"
+EDGE_AFTER = r"(?![A-Za-z0-9_@])"
+TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora)\.? "
+NAME = r"\p{Lu}[\p{Ll}\p{M}]++"
+SECRET = r"[A-Za-z0-9_/+-]"
 EXTRA = {
     "email": r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]{1,63}){1,4}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"\(?[0-9]{3,5}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}",
     "card": r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,3}",
-    "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?",
-    "secret": r"AKIA[A-Z0-9]{16}|(?:password|passwd|token|secret|api_key|apikey) ?[=:] ?\"?[A-Za-z0-9_/+-]{8,128}\"?",
+    "name": rf"(?<!\p{{L}}){TITLE}{NAME}(?: {NAME})?(?![\p{{L}}\p{{M}}0-9_@])",
+    "secret": rf"AKIA[A-Z0-9]{{16}}{EDGE_AFTER}"
+              rf"|(?:password|passwd|token|secret|api_key|apikey) ?[=:] ?\"?{SECRET}{{8,}}+(?:\"{EDGE_AFTER})?",
 }
-EDGE_BEFORE = r"(?<![A-Za-z0-9_@+])"
-EDGE_AFTER = r"(?![A-Za-z0-9_@])"
-ANY_EXTRA = EDGE_BEFORE + "(?:" + "|".join(EXTRA[k] for k in
-                                           ("email", "iban", "ssn", "phone", "card", "name", "secret")) + ")" + EDGE_AFTER
-#: Cheap test whether a text can hold an added span at all.
-MAY_HAVE_EXTRA = r"[0-9]{3}|\(at\)|\[at\]|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señora?)\.? [A-Z]|[=:] ?\"?[A-Za-z0-9_/+-]{8}"
+EDGES = {"name": "", "secret": ""}
+ANY_EXTRA = EDGE_BEFORE + "(?:" + "|".join(f"(?:{EXTRA[k]}){EDGES.get(k, EDGE_AFTER)}" for k in
+                                           ("email", "iban", "ssn", "phone", "card", "name", "secret")) + ")"
+#: Cheap test whether a text can hold an added span at all: every candidate pattern has one of these in it.
+MAY_HAVE_EXTRA = (rf"[0-9]{{3}}|[A-Z]{{2}}[0-9]{{2}}|AKIA|\(at\)|\[at\]|{TITLE}\p{{Lu}}"
+                  rf"|[=:] ?\"?{SECRET}{{8}}")
 
 # Gazetteers and cue words (fixed values).
 DOMAINS = "com|org|net|edu|gov|io|info|de|fr|es|it|uk|us|ch|at|eu"
@@ -94,7 +101,7 @@ STRICT = {
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
     "iban": r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$",
     "email": r"(?:\(at\)|\[at\]).*(?:\(dot\)|\[dot\]|\.)",
-    "name": r" [A-Z][a-z]+ [A-Z][a-z]+$",
+    "name": rf" {NAME} {NAME}$",
     "secret": r"^AKIA[A-Z0-9]{16}$|[=:] ?\"?(?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{12,}\"?$",
 }
 
