@@ -77,3 +77,19 @@ def test_more_ranges_than_boundaries_keep_the_order(spark):
     out = dense_key(df, "sk", ["k"], buckets=3 * KEYS.TREE)
     rows = out.orderBy("k").collect()
     assert [r.sk for r in rows] == list(range(1, 3001))
+
+
+@pytest.mark.parametrize(("buckets", "tree"), [(16, 512), (24, 8)])  # with more ranges than boundaries, too
+def test_one_odd_text_does_not_put_the_others_in_one_range(spark, monkeypatch, buckets, tree):
+    from martforge.operators import keys as KEYS
+
+    ranges = []
+    monkeypatch.setattr(KEYS, "TREE", tree)
+    monkeypatch.setattr(KEYS, "range_index", lambda *a: ranges.append(range_index(*a)) or ranges[-1])
+    names = [None, "", "Aé", "zz", *(f"Customer#{i:09d}" for i in range(3000)), "Customer#000000007é"]
+    df = spark.createDataFrame([(n,) for n in names], "c_name string").repartition(4)
+    out = dense_key(df, "sk", ["c_name"], buckets=buckets)
+    assert [r.c_name for r in out.orderBy("sk").collect()] == [None, *sorted(names[1:], key=str.encode)]
+    assert [r.sk for r in out.orderBy("sk").collect()] == list(range(1, len(names) + 1))
+    sizes = [r["count"] for r in df.groupBy(ranges[0].alias("r")).count().collect()]
+    assert max(sizes) < 3 * len(names) / buckets and len(sizes) >= buckets
