@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import chat, hmm, html_extract, kneser_ney, mixing, pii, quality_rules, sharding, simhash, winnowing
+from martforge.llm import (
+    chat,
+    hard_negatives,
+    hmm,
+    html_extract,
+    kneser_ney,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    whitening,
+    winnowing,
+)
 from martforge.llm.common import read_table
 
 
@@ -50,6 +64,18 @@ def op10_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(read_table(spark, sf_dir, "documents"))
+
+
+def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -58,7 +84,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii_weak_supervision, op2_minimax_shards, op3_kneser_ney_quality, op4_chat_assembly, op5_winnowing,
-    op6_rule_ledger, op7_entropy_mix, op8_html_max_run, op9_simhash_bit_sliced, op10_hmm_scores, pipeline)}
+    op6_rule_ledger, op7_entropy_mix, op8_html_max_run, op9_simhash_bit_sliced, op10_hmm_scores,
+    op11_cost_balanced_packing, op12_polarised_whitening, op13_kronecker_negatives, pipeline)}
 
 _CHAT_SQL = r"""
 WITH t AS (

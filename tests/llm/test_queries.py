@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, sf_dir, name):
     assert r["match"], r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline"}))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "pipeline" and int(n[2:].split("_")[0]) <= 10))
 def test_queries_cover_their_table(spark, sf_dir, name):
     table = "pages" if name.startswith("op8") else "conversations" if name.startswith("op4") else "documents"
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
