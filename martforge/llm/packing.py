@@ -12,9 +12,9 @@ that would start another one (under CAPACITY) go on into the next block; after a
 block they are laid in sequences whose capacities are the powers of two that their number is made of.
 No sequence needs padding, whatever the documents.
 
-White space separates words for this tokenizer, so a text is encoded word by word through a
-table of words seen (at most WORDS of at most WORD_BYTES bytes; longer ones are encoded
-each time), a stretch of the text at a time.
+White space separates words for this tokenizer, and it ignores case, so a text is encoded word by
+word through a table of words seen (about WORDS of at most WORD_BYTES bytes; longer ones are
+encoded each time), a stretch of the text at a time.
 
 Defined cases: a null or empty text is END alone; repeated rows and ids are packed each;
 a null id stays null; other columns are not read; an empty table gives no pieces. Piece
@@ -25,6 +25,8 @@ files agree. A task that is run again makes the same sequence numbers.
 from __future__ import annotations
 
 import heapq
+import os
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from martforge.llm.common import small_batches
 
@@ -44,8 +46,10 @@ CAPACITY = 4096
 #: A causal layer of width d takes 24 * d ** 2 operations a token and 2 * d more for each token before it; d = 2048.
 ATTENTION = 1 / 24576
 BLOCK_TOKENS, BLOCK_DOCS = 1 << 21, 1 << 15
-WORDS, WORD_BYTES = 1 << 18, 64
+WORDS, WORD_BYTES = 1 << 20, 64
 STRETCH = 1 << 20
+#: Small letters, then marks: this tokenizer always cuts between the two and nowhere else.
+LETTERS = re.compile(r"([a-z\u00DF-\u00F6\u00F8-\u00FF]{1,48})([!-&(-/:-@\[-`{-~]{0,8})")
 ID = np.dtype("<u4")
 
 
@@ -53,30 +57,84 @@ class WordTable(dict):
     """Ids (little-endian bytes) by word."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, ID).tobytes()
-        if len(word) <= WORD_BYTES:
-            if len(self) >= WORDS:
+        self.tokenizer, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.letters.normalizer = None  # for words that it would not change, and that are one piece
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.tails: dict[str, bytes] = {}
+
+    def ids(self, text: str, letters: bool = False) -> np.ndarray:
+        tokenizer = self.letters if letters else self.tokenizer
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID)
+
+    def learn(self, words: set[bytes]) -> None:
+        """Add words. Letters are one piece, whose last token says that it is a last one, and what
+        follows them is another; words of other forms are encoded each by itself."""
+        letters, ended, others = {}, [], []
+        for w in words:
+            found = LETTERS.fullmatch(text := w.decode())
+            if not found:
+                others.append(text)
+                continue
+            body, tail = found.groups()
+            if tail:
+                ended.append((w, body.encode(), tail))
+                if ended[-1][1] not in self:
+                    letters[body] = None
+            else:
+                letters[body] = None
+        ids = self.ids(" ".join(letters), letters=True)
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * ID.itemsize).tolist()
+        data, at = ids.tobytes(), 0
+        for body, end in zip(letters, ends, strict=True):
+            self[body.encode()] = data[at:end]
+            at = end
+        for text, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self[text.encode()] = np.array(e.ids, ID).tobytes()
+        for w, body, tail in ended:
+            if tail not in self.tails:
+                self.tails[tail] = self.ids(tail).tobytes()
+            self[w] = self[body] + self.tails[tail]
+
+    def stretch(self, data: bytes) -> bytes:
+        words = data.split()
+        found = list(map(self.get, words))
+        if None in found:
+            at = [i for i, ids in enumerate(found) if ids is None]
+            if len(self) + len(at) > WORDS:
                 self.clear()
-            self[word] = ids
-        return ids
+                self.tails.clear()
+                at = range(len(words))
+            new = {words[i] for i in at}
+            self.learn(new)
+            for i in at:
+                found[i] = self[words[i]]
+            for w in new:
+                if len(w) > WORD_BYTES:
+                    del self[w]
+        return b"".join(found)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text, without END."""
-        data, at, found = (text or "").encode(), 0, []
+        data = (text or "").encode()
+        if b"<|" not in data:  # special tokens are written so, and are told from others by case
+            data = data.lower()
+        at, found = 0, []
         while at < len(data):
             cut = data.rfind(b" ", at, at + STRETCH) if at + STRETCH < len(data) else len(data)
             cut = cut if cut > at else data.find(b" ", at + STRETCH)
             cut = cut if cut > at else len(data)
-            found += map(self.__getitem__, data[at:cut].split())
+            found.append(self.stretch(data[at:cut]))
             at = cut
         return b"".join(found)
 
 
 @cache  # a Python worker keeps it for its next tasks
 def word_table(path: str) -> WordTable:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
     return WordTable(path)
 
 

@@ -72,7 +72,7 @@ def test_packing_awkward_rows(spark):
 
 def test_word_table_is_the_tokenizer():
     texts = ["", " a", "Don't  STOP\tnow\x0b\x0cx\x1cy z", "é ́x Å", " nb sp wide 　x",
-             "<|endoftext|>a<|startoftext|> b", "각 한국어 한", "İstanbul ΑΣ ς", "x" * 500 + " " + "12345 " * 40, LONG[:5000]]
+             "<|endoftext|>a<|startoftext|> b", "각 한국어 한", "İstanbul ΑΣ ς", "a\x00b \x00 \x00\x00 c", "Wait... What?! a.b,c 3.14 1,000; it's. 'S x!\u2026 \u2026. \u00e9. don't!'t", "<|EndOfText|> A.B", "x" * 500 + " " + "12345 " * 40, LONG[:5000]]
     table = packing.WordTable(public_tokenizers.path("word_bpe_49k.json"))
     for text in texts * 2:
         assert np.frombuffer(table.encode(text), "<u4").tolist() == ids_of(text)[:-1], text
