@@ -2,7 +2,9 @@
 
 Executors write their partitions directly; nothing is gathered on the
 driver. Every sink first projects onto the table's fixed schema so files of
-one table never disagree on types.
+one table never disagree on types. Tables are versioned (``operators/versions.py``): a
+sink writes beside what is there and switches by one small file, so a reader never finds a
+table empty or half written, and a writer that dies leaves the rows that were there.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martforge.operators.versions import ConcurrentCommit, VersionedTable, is_versioned
 from martforge.schemas import conform
-from martforge.session import path_exists
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -27,55 +29,63 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _write(df: DataFrame, path: str, mode: str, *, partition_by: list[str] | None = None,
-           sort_by: list[str] | None = None, metrics: dict | None = None,
-           seen: dict | None = None) -> int:
-    """``metrics``: further aggregates (name -> Column) observed while writing, put into ``seen``."""
+def write_folder(df: DataFrame, path: str, schema: T.StructType, *, sort_by: list[str] | None = None,
+                 metrics: dict | None = None, seen: dict | None = None) -> int:
+    """Write a plain folder that no one reads yet, such as a table of a run that is still unpublished.
+
+    ``metrics``: further aggregates (name -> Column) observed while writing, put into ``seen``."""
     obs = Observation()
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
+    out = nan_to_null(conform(df, schema)).observe(
+        obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    w = out.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    out.write.mode("overwrite").parquet(path)
     found = obs.get
     if metrics:
         seen.update({k: int(found.get(k) or 0) for k in metrics})
     return int(found["rows"])
 
 
+def _schema_of(table: VersionedTable, df: DataFrame, schema: T.StructType | None) -> T.StructType:
+    now = table.current() if schema is None else None
+    return schema or (now.schema if now else df.schema)
+
+
 def append_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
-    """Append rows; an empty input writes nothing (no empty files)."""
-    df = nan_to_null(conform(df, schema) if schema is not None else df)
-    if df.isEmpty():
-        return 0
-    return _write(df, path, "append")
+    """Append rows; an empty input makes no new version."""
+    table = VersionedTable(df.sparkSession, path)
+    schema = _schema_of(table, df, schema)
+    part = table.write(nan_to_null(conform(df, schema)))
+    if part.rows:
+        table.change(schema, lambda now: [*(now.parts if now else ()), part])
+    else:
+        table.discard(part)
+    return part.rows
 
 
 def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
     """Replace the rows, keeping the table's current schema when it exists."""
-    spark = df.sparkSession
-    if schema is None and path_exists(spark, path):
-        schema = spark.read.parquet(path).schema
-    df = nan_to_null(conform(df, schema) if schema is not None else df)
-    return _write(df, path, "overwrite")
+    table = VersionedTable(df.sparkSession, path)
+    return replace_table(df, path, _schema_of(table, df, schema))
 
 
-def replace_table(df: DataFrame, path: str, schema: T.StructType,
-                  sort_by: list[str] | None = None, metrics: dict | None = None,
-                  seen: dict | None = None) -> int:
+def replace_table(df: DataFrame, path: str, schema: T.StructType, sort_by: list[str] | None = None) -> int:
     """Drop-and-create: data and schema both become the new ones."""
-    return _write(nan_to_null(conform(df, schema)), path, "overwrite", sort_by=sort_by,
-                  metrics=metrics, seen=seen)
+    table = VersionedTable(df.sparkSession, path)
+    part = table.write(nan_to_null(conform(df, schema)), sort_by=sort_by)
+    table.change(schema, lambda now: [part])
+    return part.rows
 
 
 def create_if_absent(spark, path: str, schema: T.StructType) -> bool:
     """Create an empty table with ``schema`` when ``path`` holds none.
     Returns True when it was created."""
-    if path_exists(spark, path):
+    if is_versioned(spark, path):
+        return False
+    try:
+        VersionedTable(spark, path).commit(schema, [], None)
+    except ConcurrentCommit:  # created meanwhile
         return False
-    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
     return True
 
 

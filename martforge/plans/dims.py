@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
+from martforge.operators.keymap import extend_key_map, map_schema, with_stable_key
 from martforge.operators.keys import dense_key, first_per_key
+from martforge.operators.versions import VersionedTable
 from martforge.schemas import (DIM_CLIENTE, DIM_LOCALIDADE, DIM_PRODUTO, DIM_TEMPO,
                                DIM_VENDEDOR, conform)
 from martforge.sources.calendar import calendar_days
@@ -134,13 +136,28 @@ def key_dimension(name: str, rows: DataFrame, cfg: PipelineConfig | None = None)
     return conform(dense_key(rows, sk, order_by, buckets=buckets), schema)
 
 
-def write_keyed_dimension(name: str, src: SourceTables, cfg: PipelineConfig | None, sink):
+def write_keyed_dimension(name: str, src: SourceTables, cfg: PipelineConfig | None, sink,
+                          keys: VersionedTable | None = None):
     """Build dimension ``name`` and hand it to ``sink`` (which writes it).
 
-    Its rows are read twice (key-range boundaries, then numbering), so they
-    are cached for the duration of the write and released afterwards."""
-    rows = KEYED_DIMENSIONS[name][0](src).persist()
+    ``keys``: its key map, so that entities keep the keys of earlier runs and new ones get
+    the next. Without, or before the map's first version (see ``record_keys``), keys are numbered
+    from 1. The rows are read several times, so they are cached for the duration of the write and released afterwards."""
+    make, sk, natural, schema = KEYED_DIMENSIONS[name]
+    rows = make(src).persist()
     try:
-        return sink(key_dimension(name, rows, cfg))
+        if keys is None or keys.current() is None:
+            return sink(key_dimension(name, rows, cfg))
+        version = extend_key_map(keys, rows, natural, sk, cfg.key_buckets if cfg is not None else None)
+        return sink(conform(with_stable_key(keys, version, rows, natural, sk), schema))
     finally:
         rows.unpersist()
+
+
+def record_keys(name: str, dim: DataFrame, keys: VersionedTable) -> None:
+    """Make a written dimension the first version of its key map, if there is none yet. It need
+    not be there before the fact is built: do it beside other work."""
+    _, sk, natural, _ = KEYED_DIMENSIONS[name]
+    if keys.current() is None:
+        first = dim.groupBy(*natural).agg(F.min(sk).alias(sk))
+        keys.commit(map_schema(dim, natural, sk), [keys.write(first)], None)

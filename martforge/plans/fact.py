@@ -69,12 +69,12 @@ def product_lookup(produto: DataFrame, dim_produto: DataFrame) -> DataFrame:
             .select("id_produto", "valor_venda", "sk_produto"))
 
 
-def lookups(src: SourceTables, dims: dict[str, DataFrame], keep=lambda name, df: df) -> dict[str, DataFrame]:
-    """The lookups of the fact, each passed through ``keep(name, frame)``, which
-    writes them in a run: the joins of the fact then start from plain scans."""
+def lookups(src: SourceTables, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The lookups of the fact. A run writes each first, so that the joins of the fact
+    start from plain scans."""
     return {
-        "person": keep("person", person_lookup(dims["dim_cliente"], dims["dim_localidade"])),
-        "product": keep("product", product_lookup(src.produto, dims["dim_produto"])),
+        "person": person_lookup(dims["dim_cliente"], dims["dim_localidade"]),
+        "product": product_lookup(src.produto, dims["dim_produto"]),
     }
 
 
@@ -118,12 +118,35 @@ def fato_venda(src: SourceTables, dims: dict[str, DataFrame], cfg: PipelineConfi
     return conform(out, FATO_VENDA)
 
 
-def by_month(fact: DataFrame) -> DataFrame:
-    """The fact in ranges of its calendar key, so that (sorted by sk_tempo) a written
-    file covers few months and the month filter skips the others. The invoice id
-    splits a hot day over several ranges. Finding the bounds samples the last join's
-    output once more; its shuffles are reused. AQE merges neighbouring small ranges."""
-    return fact.repartitionByRange("sk_tempo", "id_nota")
+#: Invoices of a written file at least, where shuffle partitions are many.
+INVOICES_PER_FILE = 8192
+
+
+def day_slots(invoices: DataFrame, cfg: PipelineConfig) -> tuple[list[tuple[int, int, int]], int]:
+    """Which of n neighbouring file slots each calendar day takes, by its number of invoices: rows
+    (sk_tempo, first slot, slots), 0 for sales outside the calendar; and n. A row for each day at most."""
+    day = F.to_date("data_venda")
+    inside = day.between(F.lit(cfg.calendar_start), F.lit(cfg.calendar_end))
+    sk = F.when(inside, F.datediff(day, F.lit(cfg.calendar_start)) + 1).otherwise(0)
+    counts = invoices.groupBy(sk.alias("sk")).count().orderBy("sk").collect()
+    total = sum(r["count"] for r in counts)
+    most = int(invoices.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n, before, slots = max(1, min(most, -(-total // INVOICES_PER_FILE))), 0, []
+    for r in counts:
+        first, last = before * n // total, (before + r["count"] - 1) * n // total
+        slots.append((r["sk"], first, last - first + 1))
+        before += r["count"]
+    return slots, n
+
+
+def by_day(fact: DataFrame, slots: list[tuple[int, int, int]], n: int) -> DataFrame:
+    """The fact dealt over n tasks in ranges of its calendar key, so that (sorted by sk_tempo) a written
+    file covers few days and the month filter skips the others; a hot day is dealt over
+    several by its invoices. The ranges come from the headers, so nothing of the fact is sampled."""
+    at = F.broadcast(fact.sparkSession.createDataFrame(slots or [(0, 0, 1)], "_day int, _first int, _slots int"))
+    own = F.coalesce(F.col("_first") + F.pmod(F.xxhash64("id_nota"), F.col("_slots")), F.lit(0)).cast("int")
+    return (fact.join(at, F.col("_day") == F.coalesce(F.col("sk_tempo"), F.lit(0)), "left")
+            .repartitionById(n, own).select(*fact.columns))
 
 
 def _times(cond: Column) -> Column:

@@ -5,15 +5,16 @@ Layout of one run (all under ``root``, a shared-storage URI)::
     root/runs/<run_id>/staging/<relation>   source snapshot (optional)
     root/runs/<run_id>/warehouse/<table>    dims + fact
     root/runs/<run_id>/mart/<table>         the two marts
+    root/keys/<dim>/                        surrogate keys given so far (shared by runs)
     root/lake/ano=YYYY/mes=M/               month partitions (shared by runs)
     root/_PUBLISHED/<run_id>/               one entry per published run
 
-Dimensions and fact share surrogate keys only within one run, so a run is
-published as a whole: after every table and the checks succeeded, the lake
-month is exported and an entry of its own is added. Readers take the newest
-complete entry and keep seeing the previous run until then; a failed publish
-leaves earlier entries alone (the original job truncated tables in place, so
-readers could see them empty).
+A run's fact goes with its own dimensions, so a run is published as a whole:
+after every table and the checks succeeded, the lake month is exported and an
+entry of its own is added. Readers take the newest complete entry and keep
+seeing the previous run until then; a failed publish leaves earlier entries
+alone (the original job truncated tables in place, so readers could see them
+empty). ``plans/incremental.py`` updates tables in place of rebuilding them.
 
 Every table is materialised once and read back before the next stage, as
 the original job does through its warehouse. Reading back gives the
@@ -32,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martforge.config import PipelineConfig
 from martforge.operators import quality as Q
-from martforge.operators.sinks import jdbc_write, replace_table
+from martforge.operators.sinks import jdbc_write, write_folder
+from martforge.operators.versions import VersionedTable
 from martforge.plans import dims as D
 from martforge.plans import fact as FT
 from martforge.plans import lake as L
@@ -101,13 +103,16 @@ def stage_sources(src: SourceTables, path: str, names=SHARED_SOURCES) -> SourceT
 def _materialise(df: DataFrame, path: str, name: str, counts: dict[str, int],
                  sort_by: list[str] | None = None, metrics: dict | None = None,
                  seen: dict | None = None) -> DataFrame:
-    counts[name] = replace_table(df, path, TABLES[name], sort_by=sort_by, metrics=metrics, seen=seen)
+    counts[name] = write_folder(df, path, TABLES[name], sort_by=sort_by, metrics=metrics, seen=seen)
     return df.sparkSession.read.parquet(path)
 
 
 def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, root: str, *,
                  run_id: str | None = None, stage: bool = True,
-                 lake_fallback: str | None = None, publish: bool = True) -> RunResult:
+                 lake_fallback: str | None = None, publish: bool = True,
+                 stable_keys: bool = True) -> RunResult:
+    """``stable_keys``: entities keep the surrogate keys of earlier runs under ``root``, new ones
+    get the next; without, the keys of each run are numbered anew from 1."""
     run_id = run_id or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     run_root = f"{root.rstrip('/')}/runs/{run_id}"
     lake_root = f"{root.rstrip('/')}/lake"
@@ -130,22 +135,31 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
 
     def keyed(name: str):
         return lambda: D.write_keyed_dimension(
-            name, src, cfg, lambda df: _materialise(df, f"{wh}/{name}", name, counts))
+            name, src, cfg, lambda df: _materialise(df, f"{wh}/{name}", name, counts),
+            key_map(name) if stable_keys else None)
+
+    def key_map(name: str) -> VersionedTable:
+        return VersionedTable(spark, f"{root.rstrip('/')}/keys/{name}")
 
     tasks = {"dim_tempo": lambda: _materialise(D.dim_tempo(spark, cfg), f"{wh}/dim_tempo",
                                                "dim_tempo", counts)}
     tasks.update({name: keyed(name) for name in D.KEYED_DIMENSIONS})
+    tasks["slots"] = lambda: FT.day_slots(src.nota_fiscal, cfg)
     dims = parallel(tasks)
+    slots, n_slots = dims.pop("slots")
     t = tick("dimensions", t)
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{run_root}/staging/lookup_{name}")
         return spark.read.parquet(f"{run_root}/staging/lookup_{name}")
 
-    found = FT.lookups(src, dims, keep)
-    # Dealt by month and sorted by calendar key (then product): the month filter
+    found = parallel({
+        "person": lambda: keep("person", FT.person_lookup(dims["dim_cliente"], dims["dim_localidade"])),
+        "product": lambda: keep("product", FT.product_lookup(src.produto, dims["dim_produto"])),
+    })
+    # Dealt by day and sorted by calendar key (then product): the month filter
     # of the lake export skips the files of other months by their statistics.
-    fact = _materialise(FT.by_month(FT.fato_venda(src, dims, cfg, found)), f"{wh}/fato_venda", "fato_venda",
+    fact = _materialise(FT.by_day(FT.fato_venda(src, dims, cfg, found), slots, n_slots), f"{wh}/fato_venda", "fato_venda",
                         counts, sort_by=["sk_tempo", "sk_produto"], metrics=FT.fact_metrics(), seen=metrics)
     if counts["fato_venda"] == 0:
         # Nothing to aggregate: stop before the marts; the previous
@@ -168,6 +182,8 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     try:
         done = parallel({
             "key_check": duplicated_keys,
+            **({f"keys_{n}": lambda n=n: D.record_keys(n, dims[n], key_map(n)) for n in D.KEYED_DIMENSIONS}
+               if stable_keys else {}),
             "vendas_ano_mes": lambda: _materialise(
                 M.vendas_ano_mes(fact, dims["dim_tempo"], cfg, pre=pre),
                 f"{mart}/vendas_ano_mes", "vendas_ano_mes", counts),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,11 @@ from martforge.functions.measures import (attainment_pct, avg_ticket, discount,
 from martforge.operators import quality as Q
 from martforge.operators import sinks as K
 from martforge.operators.keys import dense_key
+from martforge.operators.keymap import extend_key_map, with_stable_key
+from martforge.operators.versions import VersionedTable, read_table
 from martforge.plans import dims as D
 from martforge.plans import fact as FT
+from martforge.plans import incremental as I
 from martforge.plans import lake as L
 from martforge.plans import marts as M
 from martforge.plans import reports as R
@@ -39,6 +43,9 @@ from martforge.sources.fixture import (fixture_sources, list_value, read_driver_
 H10_CALENDAR = dict(calendar_start=date(1996, 1, 1), calendar_end=date(2000, 12, 31))
 SELECTED_YEARS = (1996, 1997)
 EMPTY_MONTH = (2005, 1)
+#: The first of two updates lacks the items of a fifth of this month's invoices; the first key map has the customers until a day.
+LATE_MONTH = "1998-03"
+FIRST_KEYS_BEFORE = "1997-01-01"
 SECOND_MONTH = (1998, 7)
 
 
@@ -53,6 +60,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE_CONFIG):
         self.spark, self._sf_dir, self._cfg = spark, sf_dir, cfg
         self._run: RunResult | None = None
+        self._store: I.Store | None = None
         self._lock = threading.Lock()
 
     @property
@@ -87,6 +95,23 @@ class Warehouse:
     def vloc(self) -> DataFrame:
         return self.run.table(self.spark, "vendas_localidade")
 
+    @property
+    def updated(self) -> I.Store:
+        """Tables after two updates: one without the late items, one with them."""
+        src = self.src
+        with self._lock:
+            if self._store is None:
+                root = scratch_dir(self.spark, "registry-updates")
+                late = src.nota_fiscal.filter((F.date_format("data_venda", "yyyy-MM") == LATE_MONTH) & (F.col("id") % 5 == 0))
+                items = src.item_nota_fiscal.join(late.select(F.col("id").alias("_late")), F.col("_late") == F.col("id_nota_fiscal"),
+                                                  "left_anti")
+                I.update(self.spark, replace(src, item_nota_fiscal=items), self._cfg, root)
+                second = I.update(self.spark, src, self._cfg, root)
+                if second.ranges - {LATE_MONTH}:
+                    raise RuntimeError(f"the late items are of {LATE_MONTH}, but {sorted(second.ranges)} were computed again")
+                self._store = I.Store(self.spark, root)
+            return self._store
+
     def month(self) -> tuple[int, int]:
         return L.month_of(self._cfg.ds)
 
@@ -328,6 +353,34 @@ def q_surrogate_key_text(spark, sf):
     return dense_key(c, "sk_nome", ["c_name"])
 
 
+def q_stable_keys_two_runs(spark, sf):
+    """Customer keys after two runs: those of customers before FIRST_KEYS_BEFORE first, then the others'."""
+    src, (_, sk, natural, _) = _wh(spark, sf).src, D.KEYED_DIMENSIONS["dim_cliente"]
+    keys = VersionedTable(spark, scratch_dir(spark, "keys"))
+    early = replace(src, nota_fiscal=src.nota_fiscal.filter(F.to_date("data_venda") < F.lit(FIRST_KEYS_BEFORE).cast("date")))
+    extend_key_map(keys, D.customers_with_sales(early), natural, sk)
+    rows = D.customers_with_sales(src)
+    return with_stable_key(keys, extend_key_map(keys, rows, natural, sk), rows, natural, sk).select(sk, *natural)
+
+
+def q_fact_after_updates(spark, sf):
+    return _wh(spark, sf).updated.read("fato_venda")
+
+
+def q_ano_mes_after_updates(spark, sf):
+    return _wh(spark, sf).updated.read("vendas_ano_mes")
+
+
+def q_localidade_after_updates(spark, sf):
+    return _wh(spark, sf).updated.read("vendas_localidade")
+
+
+def q_day_sums(spark, sf):
+    return _wh(spark, sf).updated.read("day_sums").select(
+        "sk_tempo", "sk_localidade", F.col("_q").alias("quantidade"), F.col("_r").cast("decimal(18,2)").alias("valor_venda_real"),
+        F.col("_e").cast("decimal(18,2)").alias("valor_unitario"))
+
+
 def q_report_empty_year(spark, sf):
     w = _wh(spark, sf)
     frames = {}
@@ -342,7 +395,7 @@ def q_sink_create_if_absent(spark, sf):
     first = K.create_if_absent(spark, path, DIM_VENDEDOR)
     K.append_table(_wh(spark, sf).dims["dim_vendedor"], path, DIM_VENDEDOR)
     again = K.create_if_absent(spark, path, DIM_VENDEDOR)
-    return spark.read.parquet(path).select("*", F.lit(first).alias("criada"), F.lit(again).alias("recriada"))
+    return read_table(spark, path).select("*", F.lit(first).alias("criada"), F.lit(again).alias("recriada"))
 
 
 def q_sink_append(spark, sf):
@@ -351,7 +404,7 @@ def q_sink_append(spark, sf):
     K.append_table(dim, path, DIM_VENDEDOR)
     K.append_table(dim, path, DIM_VENDEDOR)
     K.append_table(dim.limit(0), path, DIM_VENDEDOR)   # empty input: no-op
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def q_sink_full_refresh(spark, sf):
@@ -359,7 +412,7 @@ def q_sink_full_refresh(spark, sf):
     dim = _wh(spark, sf).dims["dim_produto"]
     K.replace_table(dim, path, DIM_PRODUTO)
     K.full_refresh(dim, path)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def q_sink_replace(spark, sf):
@@ -368,7 +421,7 @@ def q_sink_replace(spark, sf):
     old = dim.select("sk_localidade", "id_pessoa", F.lit("v1").alias("versao_antiga"))
     K.replace_table(old, path, old.schema)
     K.replace_table(dim, path, DIM_LOCALIDADE)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def q_nan_to_null(spark, sf):
@@ -544,6 +597,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_append": q_sink_append,
     "sink_full_refresh": q_sink_full_refresh,
     "sink_replace": q_sink_replace,
+    "stable_keys_two_runs": q_stable_keys_two_runs,
+    "fact_after_updates": q_fact_after_updates,
+    "ano_mes_after_updates": q_ano_mes_after_updates,
+    "localidade_after_updates": q_localidade_after_updates,
+    "day_sums": q_day_sums,
     "nan_to_null": q_nan_to_null,
     "table_counts": q_table_counts,
     "validation_report": q_validation_report,
@@ -743,6 +801,21 @@ FROM (SELECT *, CAST(valor_venda - valor_unitario AS DECIMAL(18,2)) AS d FROM sa
         "sink_append": base + "\nSELECT * FROM dim_vendedor UNION ALL SELECT * FROM dim_vendedor",
         "sink_full_refresh": base + "\nSELECT * FROM dim_produto",
         "sink_replace": base + "\nSELECT * FROM dim_localidade",
+        "stable_keys_two_runs": base + f"""
+, marked AS (
+  SELECT c.tipo_cliente, c.id_pessoa, c.id_pessoa IN (
+    SELECT id_cliente FROM nota_fiscal WHERE CAST(data_venda AS DATE) < DATE '{FIRST_KEYS_BEFORE}') AS early
+  FROM dim_cliente c)
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN early THEN 0 ELSE 1 END, tipo_cliente, id_pessoa) AS BIGINT) AS sk_cliente,
+       tipo_cliente, id_pessoa FROM marked""",
+        "fact_after_updates": base + "\nSELECT * FROM fato_venda",
+        "ano_mes_after_updates": base + "\nSELECT * FROM vendas_ano_mes",
+        "localidade_after_updates": base + "\nSELECT * FROM vendas_localidade",
+        "day_sums": base + """
+SELECT sk_tempo, sk_localidade, CAST(sum(quantidade) AS BIGINT) AS quantidade,
+       CAST(sum(valor_venda_real) AS DECIMAL(18,2)) AS valor_venda_real,
+       CAST(sum(valor_unitario) AS DECIMAL(18,2)) AS valor_unitario
+FROM fato_venda WHERE sk_tempo IS NOT NULL GROUP BY sk_tempo, sk_localidade""",
         "nan_to_null": "SELECT c_custkey, CASE WHEN isnan(sqrt(c_acctbal)) THEN NULL "
                        "ELSE sqrt(c_acctbal) END AS raiz_saldo FROM customer",
         "table_counts": base + counts,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -87,6 +88,61 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(p))
 
 
+@dataclass(frozen=True)
+class Entry:
+    """What a folder holds: name, whether it is a folder, and when it was changed (ms)."""
+
+    name: str
+    folder: bool
+    modified: int
+
+
+def _fs(spark: SparkSession, uri: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_entries(spark: SparkSession, uri: str) -> list[Entry]:
+    """The entries of a folder; none if it is absent."""
+    if not path_exists(spark, uri):
+        return []
+    return [Entry(s.getPath().getName(), s.isDirectory(), s.getModificationTime()) for s in _statuses(spark, uri)]
+
+
+def create_text(spark: SparkSession, uri: str, text: str) -> bool:
+    """Create a small file; False if there is one already (it stays as it is)."""
+    from py4j.protocol import Py4JJavaError
+
+    fs, p = _fs(spark, uri)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, uri: str) -> str:
+    """The content of a small file."""
+    fs, p = _fs(spark, uri)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete_path(spark: SparkSession, uri: str) -> None:
+    """Delete a file or a folder with all in it."""
+    fs, p = _fs(spark, uri)
+    fs.delete(p, True)
+
+
 def _statuses(spark: SparkSession, uri: str) -> list:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(uri)

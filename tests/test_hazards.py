@@ -216,17 +216,19 @@ def _src(spark, **over):
 
 def test_create_if_absent(spark, tmp_uri):
     from martforge.operators.sinks import create_if_absent
+    from martforge.operators.versions import read_table
     from martforge.schemas import VENDAS_ANO_MES
 
     path = f"{tmp_uri}/mart"
     assert create_if_absent(spark, path, VENDAS_ANO_MES) is True
     assert create_if_absent(spark, path, VENDAS_ANO_MES) is False
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     assert df.count() == 0 and df.columns == VENDAS_ANO_MES.fieldNames()
 
 
 def test_full_refresh_keeps_the_table_schema(spark, tmp_uri):
     from martforge.operators.sinks import full_refresh, replace_table
+    from martforge.operators.versions import read_table
     from martforge.schemas import DIM_VENDEDOR
 
     path = f"{tmp_uri}/dim"
@@ -234,19 +236,19 @@ def test_full_refresh_keeps_the_table_schema(spark, tmp_uri):
                   path, DIM_VENDEDOR)
     newer = spark.createDataFrame([(2, "b", 7)], "id_pessoa long, nome string, extra int")
     assert full_refresh(newer, path) == 1
-    back = spark.read.parquet(path)
-    assert back.schema == spark.read.parquet(path).schema
+    back = read_table(spark, path)
+    assert back.schema == read_table(spark, path).schema
     assert back.columns == ["sk_vendedor", "id_pessoa", "nome"]
     assert [tuple(r) for r in back.collect()] == [(None, 2, "b")]
 
 
 def test_append_skips_empty_input(spark, tmp_uri):
     from martforge.operators.sinks import append_table
-    from martforge.session import path_exists
+    from martforge.operators.versions import is_versioned
 
     path = f"{tmp_uri}/empty"
     assert append_table(spark.createDataFrame([], "a int"), path) == 0
-    assert not path_exists(spark, path)
+    assert not is_versioned(spark, path)
 
 
 def test_null_customer_never_matches_a_null_address_owner(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martforge.config import FIXTURE_CONFIG
 from martforge.operators.quality import ValidationError
+from martforge.plans import fact as FT
 from martforge.plans import lake as L
 from martforge.plans.fact import sales_lines
 from martforge.plans.pipeline import current_run, read_published, run_pipeline
@@ -155,13 +156,14 @@ def test_strict_percentages_fail_the_run(spark, sf_dir, tmp_path):
         run_pipeline(spark, cheap, FIXTURE_CONFIG.with_(strict_pct=True), str(tmp_path / "b"), publish=False)
 
 
-def test_month_filter_skips_most_files(spark, sf_dir, tmp_path):
+def test_month_filter_skips_most_files(spark, sf_dir, tmp_path, monkeypatch):
     import glob
 
     import pyarrow.parquet as pq
 
     small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.shuffle.partitions": "32",
              "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    monkeypatch.setattr(FT, "INVOICES_PER_FILE", 64)
     old = {k: spark.conf.get(k) for k in small}
     for k, v in small.items():
         spark.conf.set(k, v)
@@ -178,3 +180,21 @@ def test_month_filter_skips_most_files(spark, sf_dir, tmp_path):
         spans += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
     assert len(spans) >= 4
     assert sum(s.min <= hi and s.max >= lo for s in spans) <= len(spans) / 2
+
+
+def test_a_hot_day_is_dealt_over_several_files(spark, monkeypatch):
+    """A third of the invoices on one day, some without a calendar day: slots follow the days and share the rows."""
+    monkeypatch.setattr(FT, "INVOICES_PER_FILE", 100)
+    cfg = FIXTURE_CONFIG.with_(calendar_start=date(2020, 1, 1), calendar_end=date(2020, 3, 31))
+    day = F.when(F.col("id") < 300, F.lit(45)).when(F.col("id") < 330, F.lit(-400)).otherwise(F.col("id") % 91).cast("int")
+    nf = spark.range(900).select("id", F.date_add(F.lit(cfg.calendar_start), day).cast("timestamp").alias("data_venda"))
+    slots, n = FT.day_slots(nf, cfg)
+    assert n == min(9, int(spark.conf.get("spark.sql.shuffle.partitions"))) and slots[0][0] == 0
+    assert all(0 <= first and first + k <= n and k >= 1 for _, first, k in slots)
+    fact = nf.select(F.when(day >= 0, day + 1).alias("sk_tempo"), F.col("id").alias("id_nota"))
+    dealt = FT.by_day(fact, slots, n).withColumn("p", F.spark_partition_id())
+    per = {r["p"]: r for r in dealt.groupBy("p").agg(F.count("*").alias("n"), F.min("sk_tempo").alias("lo"), F.max("sk_tempo").alias("hi")).collect()}
+    assert sum(r["n"] for r in per.values()) == 900 and max(r["n"] for r in per.values()) <= 2 * 900 // n
+    spans = [(per[p]["lo"], per[p]["hi"]) for p in sorted(per) if per[p]["lo"] is not None]
+    assert all(a[1] <= b[1] and a[0] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert FT.by_day(fact.limit(0), *FT.day_slots(nf.limit(0), cfg)).count() == 0

@@ -65,7 +65,7 @@ def test_hot_customer_and_product_are_split_by_key(spark, sf_dir, skew_conf, tmp
         "dim_tempo": D.dim_tempo(spark, cfg), "dim_produto": D.dim_produto(src, cfg),
         "dim_cliente": D.dim_cliente(src, cfg), "dim_vendedor": D.dim_vendedor(src, cfg),
         "dim_localidade": D.dim_localidade(src, cfg)}.items()}
-    fact = fato_venda(src, dims, cfg, lookups(src, dims, keep))
+    fact = fato_venda(src, dims, cfg, {n: keep(n, df) for n, df in lookups(src, dims).items()})
     rows = fact.collect()
     assert len(rows) == sales_lines(src).count()
     assert sum(r["sk_cliente"] is None for r in rows) == 0
