@@ -40,6 +40,21 @@ def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.limit(0) if low is None else df.filter(key <= F.lit(low)).limit(n)
 
 
+def low_keys(df: DataFrame, key: str, n: int) -> DataFrame:
+    """A sample of ``n`` rows: those with the lowest ``key``, a long that is a hash.
+
+    The rows are counted by the first 16 bits of the key (65,536 counts at most), which bounds the
+    keys that can be among the lowest; only rows below the bound are sorted, and these are the
+    sample and a 65,536th of the rows."""
+    bits = F.shiftright(F.col(key), 48)
+    total, bound = 0, None
+    for r in df.groupBy(bits.alias("b")).count().orderBy("b").collect():
+        bound, total = r["b"], total + r["count"]
+        if total >= n:
+            break
+    return df.limit(0) if bound is None else df.filter(bits <= bound).orderBy(key).limit(n)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``.
 

@@ -1,23 +1,25 @@
 """Scoring texts with a hidden Markov language model.
 
-Every training word has emissions of its own in every state, p(word | state) =
-p(class | state) * p(word | class, state): the SINGLES most frequent words are classes
-of their own, every other word belongs to a class by its last letters, which only
-smooths. With e the expected counts, p(word | class, state) = (e(word, state) + a * q) /
-(e(class, state) + a), where a is the number of words of the class and q = (c + 1) /
+Words are in classes: the most frequent ones (SINGLES at most) are classes of their own, every other
+word belongs to a class by its last letters, which only smooths. Every word seen twice or more in training has
+emissions of its own in every state, p(word | state) = p(class | state) * p(word | class,
+state): with e the expected counts, p(word | class, state) = (e(word, state) + a * q) /
+(e(own words of the class, state) + a), where a is the number of words of the class and q = (c + 1) /
 (tokens + words + 1 of the class), from the counts of all training tokens, is what words
-have in the class whatever the state. The emissions grow with the corpus: those of the
+have in the class whatever the state. A word seen once, or never, has e = 0: one
+place says nothing about states beyond its class. The emissions grow with the corpus: those of the
 HOT most frequent words are sent to the tasks, the others stay a table by word.
 
-Jobs: (1) tokens are counted per batch and summed by word; (2) texts are written as
-class sequences, with the logarithms of the HOT most frequent words' counts looked up
-in a bounded table and the rest listed per text; (3) those lists join the counts by
+Jobs: (1) tokens are counted per batch and summed by word; (2) texts are written in
+blocks of about BATCH_BYTES, as class sequences with the counts of hot words looked up
+in a bounded table and the block's other words listed once; (3) those lists join the counts by
 word; (4) Baum-Welch: each task adds up expected counts, which are summed over
 tasks by word, for ROUNDS passes over every training text; the sums of words that are not
-hot join the texts again for the next pass; (5) the forward recursion, with the last sums.
+hot join the blocks' lists again for the next pass; (5) the forward recursion, with the last sums.
+Blocks and lists are bucketed by block, so passes move neither texts nor lists, only sums.
 
 The start of Baum-Welch is a mixture of unigrams fitted on at most ``INIT_DOCS``
-training texts of at most ``INIT_TOKENS`` tokens (lowest hash of the row); after that all training texts count. For
+training texts of at most ``INIT_TOKENS`` tokens (lowest hash of the text); after that all training texts count. For
 the expected counts a text is cut into stretches of SEGMENT tokens; scoring runs over
 whole texts.
 
@@ -32,11 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import lowest, small_batches, staged
+from martforge.llm.common import low_keys, small_batches, staged
 from martforge.llm.wordhash import word_bounds, word_hashes
+from martforge.session import delete_path, scratch_dir
 
 FOLDS, HELD_OUT = 7, 2
 STATES = 8
@@ -44,6 +49,8 @@ SINGLES = 3072
 SUFFIXES = 1024
 CLASSES = SINGLES + SUFFIXES
 HOT = 1 << 18
+OWN = 2  # occurrences from which a word has emissions of its own
+LEVELS = 4096  # counts up to here are told apart when hot words are chosen
 ROUNDS = 3
 SEGMENT = 256
 INIT_DOCS, INIT_TOKENS = 2000, 1 << 16
@@ -71,15 +78,15 @@ def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.append(word_hashes(norm), END), suffix % SUFFIXES
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Rows in pieces of about BATCH_BYTES of text, with their tokens."""
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Rows in pieces of about ``most`` bytes of text, with their tokens."""
     for batch in batches:
-        text, lo, size = batch.column(column), 0, 0
+        text, lo, size = batch.column("text"), 0, 0
         got: list = []
         for i in range(batch.num_rows):
             got.append(tokens(t := text[i].as_py()))
             size += len(t or "")
-            if size >= BATCH_BYTES or i + 1 == batch.num_rows:
+            if size >= most or i + 1 == batch.num_rows:
                 yield batch.slice(lo, i + 1 - lo), got
                 lo, size, got = i + 1, 0, []
 
@@ -100,20 +107,36 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The bounded part of the counts: hot words, class totals, N and V."""
+    """The bounded part of the counts: hot words, class totals, N and V.
+
+    Hot are all words above the lowest count (or range of counts, for large ones) with which they
+    are ``hot`` at most; the first of them, chosen alike, are classes of their own."""
 
     def __init__(self, counts: DataFrame, hot: int = HOT):
         per = counts.groupBy("suffix").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
         self.tokens, self.words = sum(r["c"] for r in per), sum(r["v"] for r in per)
-        top = counts.orderBy(F.desc("c"), "h").limit(hot).toArrow()
-        h, c = top["h"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64)
-        suffix = top["suffix"].to_numpy().astype(np.int64)
-        cls = np.where(np.arange(len(h)) < SINGLES, np.arange(len(h)), SINGLES + suffix)
+        level = F.when(F.col("c") < LEVELS, F.col("c")).otherwise(LEVELS + F.floor(16 * F.log2("c"))).cast("long")
+        sizes = sorted(((r["level"], r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+
+        def least(most: int) -> int:
+            total, low = 0, 1 << 62
+            for at, n in sizes:
+                total += n
+                if total > most or at < OWN:
+                    break
+                low = at
+            return low
+
+        top = counts.filter(level >= least(hot)).withColumn("level", level).toArrow()  # ``hot`` rows at most
+        order = np.lexsort([top["h"].to_numpy(), -top["c"].to_numpy()])
+        h, c, suffix, at = (top[n].to_numpy().astype(np.int64)[order] for n in ("h", "c", "suffix", "level"))
+        h, singles = h.view(np.uint64), int((at >= least(min(hot, SINGLES))).sum())
+        cls = np.where(np.arange(len(h)) < singles, np.arange(len(h)), SINGLES + suffix)
         mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
         for r in per:
             mass[SINGLES + r["suffix"]] += r["c"]
             kinds[SINGLES + r["suffix"]] += r["v"]
-        single = slice(0, min(SINGLES, len(h)))
+        single = slice(0, singles)
         np.subtract.at(mass, SINGLES + suffix[single], c[single])
         np.subtract.at(kinds, SINGLES + suffix[single], 1)
         mass[single], kinds[single] = c[single], 1
@@ -135,32 +158,42 @@ class Vocabulary:
         return np.minimum(np.searchsorted(self.h, h), max(0, len(self.h) - 1))
 
 
-def _encoder(vocabulary):
+def _block(i: int) -> int:
+    return TaskContext.get().partitionId() << 33 | i
+
+
+def _one_row(names: list[str], columns: list) -> pa.RecordBatch:
+    """A row; numpy arrays become lists."""
+    def of(c):
+        if isinstance(c, (np.ndarray, pa.Array)):
+            flat = c if isinstance(c, pa.Array) else pa.array(c)
+            return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+        return pa.array([c], pa.binary() if isinstance(c, bytes) else None)
+    return pa.RecordBatch.from_arrays([of(c) for c in columns], names)
+
+
+#: A row for each block of texts: lists with an entry for each text, the tokens of all, and the block's words that are not hot.
+BLOCK = ("block long, doc_id array<{id}>, held_out array<boolean>, n array<long>, n_hot array<long>, log_hot array<double>, "
+         "log_class array<double>, seq binary, word binary, tail array<long>")
+BLOCK_COLUMNS = ["block", "doc_id", "held_out", "n", "n_hot", "log_hot", "log_class", "seq", "word", "tail"]
+
+
+def _encoder(vocabulary, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary.value
         log_total = np.log10(voc.class_total)
-        for rows, got in _pieces(batches):
+        for i, (rows, got) in enumerate(_pieces(batches, most)):
             sizes = np.array([len(h) for h, _ in got])
-            cls, c, hot = voc.encode(np.concatenate([h for h, _ in got]), np.concatenate([s for _, s in got]))
-            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             flat = np.concatenate([h for h, _ in got])
+            cls, c, hot = voc.encode(flat, np.concatenate([s for _, s in got]))
+            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             place = voc.place(flat).astype(np.uint32)
-            seqs, words, tails = [], [], []
-            for a, n in zip(first.tolist(), sizes.tolist(), strict=True):
-                seqs.append(cls[a:a + n].tobytes())
-                cold = ~hot[a:a + n]
-                tail, which, times = np.unique(flat[a:a + n][cold], return_inverse=True, return_counts=True)
-                place[a:a + n][cold] = len(voc.h) + which
-                words.append(place[a:a + n][cls[a:a + n] >= SINGLES].tobytes())
-                tails.append([{"h": x, "m": m} for x, m in zip(tail.view(np.int64).tolist(), times.tolist(), strict=True)])
-            yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id"), rows.column("held_out"), pa.array(sizes),
-                pa.array(np.add.reduceat(hot & (c > 0), first, dtype=np.int64)),
-                pa.array(np.add.reduceat(np.log10(c + 1.0), first)),
-                pa.array(np.add.reduceat(log_total[cls], first)),
-                pa.array(seqs, pa.binary()), pa.array(words, pa.binary()),
-                pa.array(tails, pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int64())]))),
-            ], ["doc_id", "held_out", "n_tokens", "n_hot", "log_hot", "log_class", "seq", "word", "tail"])
+            tail, which = np.unique(flat[~hot], return_inverse=True)
+            place[~hot] = len(voc.h) + which
+            yield _one_row(BLOCK_COLUMNS, [
+                _block(i), rows.column("doc_id"), rows.column("held_out"), sizes,
+                np.add.reduceat(hot & (c > 0), first, dtype=np.int64), np.add.reduceat(np.log10(c + 1.0), first),
+                np.add.reduceat(log_total[cls], first), cls.tobytes(), place[cls >= SINGLES].tobytes(), tail.view(np.int64)])
     return run
 
 
@@ -168,9 +201,9 @@ class Words:
     """What tells the words of a class apart by state. A word's emission is that of its class
     times ``share`` (of the class) times (its ``gain`` + ``prior`` of the class), relative to q."""
 
-    def __init__(self, voc: Vocabulary, by_class: np.ndarray, hot: np.ndarray):
+    def __init__(self, voc: Vocabulary, own_by_class: np.ndarray, hot: np.ndarray):
         self.total, self.prior, self.n_hot = voc.class_total, np.maximum(voc.kinds, 1.0), len(voc.h)
-        self.share = 1 / (by_class + self.prior[:, None])
+        self.share = 1 / (own_by_class + self.prior[:, None])
         self.hot = (hot * (self.total[voc.cls] / (voc.c + 1.0))[:, None]).astype(np.float32)
 
     def gain(self, e: np.ndarray, cls: np.ndarray) -> np.ndarray:
@@ -280,72 +313,95 @@ def log_likelihoods(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(s.as_py(), np.uint16) for s in batch.column("seq")]
-
-
 class _Local:
-    """The tokens of a batch numbered anew, single words first and then every other word
-    of the batch, with a model over these."""
-
-    def __init__(self, model: Model, batch: pa.RecordBatch, n_hot: int):
-        seqs = _sequences(batch)
-        if "word" not in batch.schema.names or not seqs:  # classes alone
-            self.seqs, self.model, self.cls = seqs, model, None
+    """The tokens of a block (a row) numbered anew, single words first and then every other word
+    of the block, with a model over these."""
+
+    def __init__(self, model: Model, row: dict[str, pa.Scalar], n_hot: int):
+        sizes = _flat(row["n"])
+        flat = np.frombuffer(row["seq"].as_py(), np.uint16)
+        self.bounds, self.held = np.cumsum(sizes)[:-1], _flat(row["held_out"]).astype(bool)
+        if "word" not in row:  # classes alone
+            self.seqs, self.model, self.cls = np.split(flat, self.bounds), model, None
             return
-        sizes = np.array([len(s) for s in seqs])
-        flat = np.concatenate(seqs).astype(np.uint32)
+        flat = flat.astype(np.uint32)
         fine = flat >= SINGLES
-        word = np.concatenate([np.frombuffer(w.as_py(), np.uint32) for w in batch.column("word")]).astype(np.int64)
-        tail = batch.column("tail")
-        listed = tail.flatten().field("h").to_numpy(zero_copy_only=False)
-        before = np.concatenate([[0], np.cumsum(tail.value_lengths().to_numpy(zero_copy_only=False))])
-        row = np.repeat(np.arange(len(seqs)), sizes)[fine]
+        word = np.frombuffer(row["word"].as_py(), np.uint32).astype(np.int64)
+        self.tail = _flat(row["tail"])
         cold = word >= n_hot
-        self.tail, which = np.unique(listed, return_inverse=True)
         self.hot, number = np.unique(word[~cold], return_inverse=True)
         code = np.empty(len(word), np.int64)
         code[~cold] = number
-        code[cold] = len(self.hot) + which[before[row[cold]] + word[cold] - n_hot]
+        code[cold] = len(self.hot) + word[cold] - n_hot
         self.cls = np.zeros(len(self.hot) + len(self.tail), np.int64)
         self.cls[code] = flat[fine]
         flat[fine] = SINGLES + code
-        self.seqs = np.split(flat, np.cumsum(sizes)[:-1])
+        self.seqs = np.split(flat, self.bounds)
+        self.count = np.zeros(len(self.tail), np.int64)  # of the words that are not hot
+        if len(known := row["known"].values or ()):
+            self.count[self._place(_field(known, "h"))] = _field(known, "c")
+        self.own = np.concatenate([np.full(len(self.hot), True), self.count >= OWN])
         emit = model.emit[self.cls]
         if model.words is not None:
             gain = np.zeros(emit.shape)
             gain[:len(self.hot)] = model.words.hot[self.hot]
-            rare = batch.column("rare").flatten()
-            if len(rare):
-                h, at = np.unique(rare.field("h").to_numpy(zero_copy_only=False), return_index=True)
-                e = rare.field("e").flatten().to_numpy(zero_copy_only=False).reshape(-1, emit.shape[1])[at]
-                to = np.searchsorted(self.tail, h)
+            if "rare" in row and len(rare := row["rare"].values or ()):
+                to = self._place(_field(rare, "h"))
+                e = rare.field("e").flatten().to_numpy(zero_copy_only=False).reshape(-1, emit.shape[1])
                 gain[len(self.hot) + to] = model.words.gain(e.astype(np.float64), self.cls[len(self.hot) + to])
             emit = emit * model.words.factor(gain, self.cls)
         self.model = Model(model.start, model.move, np.concatenate([model.emit[:SINGLES], emit]))
 
+    def _place(self, h: np.ndarray) -> np.ndarray:
+        """Where words are in the block's list, which is in the order of unsigned numbers."""
+        return np.searchsorted(self.tail.view(np.uint64), h.view(np.uint64))
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each text: its tokens that are known and not hot, and the sum of log10(c + 1) over these."""
+        at = np.concatenate([[0], np.cumsum([len(s) for s in self.seqs])])
+        flat = np.concatenate(self.seqs).astype(np.int64) - SINGLES - len(self.hot)
+        c = np.where(flat >= 0, np.append(self.count, 0)[np.maximum(flat, -1)], 0)
+        return np.add.reduceat(c > 0, at[:-1], dtype=np.int64), np.add.reduceat(np.log10(c + 1.0), at[:-1])
+
+
+def _flat(column: pa.ListScalar) -> np.ndarray:
+    return column.values.to_numpy(zero_copy_only=False)
+
+
+def _field(structs: pa.StructArray, name: str) -> np.ndarray:
+    return structs.field(name).to_numpy(zero_copy_only=False)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {n: batch.column(n)[i] for n in batch.schema.names}
+
 
 def _trainer(model, n_hot: int):
-    """Expected counts as rows of one value for each state: the start, the moves, the classes,
-    the hot words and the likelihood by place; other words (``rare``) by hash."""
+    """Expected counts as rows of one value for each state: the start, the moves, the classes, the own words
+    of the classes, the hot words and the likelihood by place; other words (``rare``) by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         k, c = m.emit.shape[1], len(m.emit)
-        sums, seen = np.zeros((1 + k + c + n_hot + 1, k)), False
+        sums, seen = np.zeros((1 + k + 2 * c + n_hot + 1, k)), False
+        by_class, own_by_class, hot = sums[1 + k:1 + k + c], sums[1 + k + c:1 + k + 2 * c], sums[1 + k + 2 * c:-1]
 
         def rows(keys: np.ndarray, values: np.ndarray, rare: bool) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), rare)), pa.array(keys), *(pa.array(np.ascontiguousarray(v)) for v in values.T)],
+                [pa.array(np.full(len(keys), rare)), pa.array(keys), *(pa.array(v.astype(np.float32)) for v in values.T)],
                 ["rare", "h", *(f"e{i}" for i in range(k))])
 
-        for batch in batches:
-            local = _Local(m, batch, n_hot)
-            start, move, emit, total = expected_counts(local.model, local.seqs)
+        for row in _rows(batches):
+            local = _Local(m, row, n_hot)
+            training = [s for s, held in zip(local.seqs, local.held, strict=True) if not held]
+            if not training:
+                continue
+            start, move, emit, total = expected_counts(local.model, training)
             sums[0] += start
             sums[1:1 + k] += move
             sums[-1, 0] += total
             seen = True
-            by_class = sums[1 + k:1 + k + c]
             if local.cls is None:
                 by_class += emit
                 continue
@@ -353,67 +409,105 @@ def _trainer(model, n_hot: int):
             words = emit[SINGLES:]
             for i in range(k):
                 by_class[:, i] += np.bincount(local.cls, words[:, i], minlength=c)
-            sums[1 + k + c + local.hot] += words[:len(local.hot)]
-            if len(local.tail):
-                yield rows(local.tail, words[len(local.hot):], True)
+                own_by_class[:, i] += np.bincount(local.cls, words[:, i] * local.own, minlength=c)
+            hot[local.hot] += words[:len(local.hot)]
+            given = words[len(local.hot):]
+            at = np.flatnonzero(local.own[len(local.hot):] & given.any(axis=1))
+            if len(at):
+                yield rows(local.tail[at], given[at], True)
         if seen:
             at = np.flatnonzero(sums.any(axis=1))
             yield rows(at, sums[at], False)
     return run
 
 
-def with_rare(texts: DataFrame, rare: DataFrame | None) -> DataFrame:
-    """``texts`` with the expected counts of their words that are not hot."""
+def bucketed(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` bucketed by block to the shared folder: joins by block then move neither side."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, f"llm-{label}")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def known_words(blocks: DataFrame, counts: DataFrame) -> DataFrame:
+    """block and known: its words that are not hot and occur in training, with their counts."""
+    pairs = blocks.select("block", F.explode("tail").alias("h")).join(counts.select("h", "c"), "h")
+    return pairs.groupBy("block").agg(F.collect_list(F.struct("h", "c")).alias("known"))
+
+
+def with_rare(given: DataFrame, rare: DataFrame | None) -> DataFrame:
+    """Blocks with the expected counts of their words that are not hot (and own some)."""
     if rare is None:
-        return texts
-    found = (texts.select("row_id", F.explode("tail.h").alias("h")).join(rare, "h")
-             .groupBy("row_id").agg(F.collect_list(F.struct("h", "e")).alias("rare")))
-    none = F.array().cast("array<struct<h:bigint,e:array<float>>>")
-    return texts.join(found, "row_id", "left").withColumn("rare", F.coalesce("rare", none))
+        return given
+    pairs = given.select("block", F.explode(F.filter("known", lambda w: w["c"] >= OWN)).alias("w")).select("block", "w.h")
+    found = pairs.join(rare, "h").groupBy("block").agg(F.collect_list(F.struct("h", "e")).alias("rare"))
+    return given.join(found, "block", "left")
+
 
+def _short_texts(most: int):
+    """The training texts of blocks that may be taken for the start, with their hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            seqs = np.split(np.frombuffer(row["seq"].as_py(), np.uint16), np.cumsum(_flat(row["n"]))[:-1])
+            kept = [s.tobytes() for s, held in zip(seqs, _flat(row["held_out"]), strict=True) if not held and len(s) <= most]
+            keys = np.array([xxhash.xxh64_intdigest(s) for s in kept], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(kept, pa.binary())], ["k", "seq"])
+    return run
 
-def fit(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS,
+
+def fit(blocks: DataFrame, overall: np.ndarray, rounds: int = ROUNDS,
         voc: Vocabulary | None = None) -> tuple[Model, list[float], DataFrame | None]:
-    """Baum-Welch over the training rows of ``texts``; the log10 likelihood seen by each
+    """Baum-Welch over the training texts of ``blocks`` (with their known words); the log10 likelihood seen by each
     round; and the expected counts (h, e) of the words that are not hot. Without ``voc``
     classes are all there is."""
-    spark = texts.sparkSession
-    training = texts.filter(~F.col("held_out"))
-    short = training.filter(F.octet_length("seq") <= 2 * INIT_TOKENS)
-    sample = lowest(short, F.xxhash64("doc_id", "seq"), INIT_DOCS).select("doc_id", "seq").toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("seq", "ascending")])  # the start does not hang on task order
+    spark = blocks.sparkSession
+    short = blocks.select("seq", "n", "held_out").mapInArrow(_short_texts(INIT_TOKENS), "k long, seq binary")
+    sample = low_keys(short, "k", INIT_DOCS).toArrow().sort_by([("k", "ascending"), ("seq", "ascending")])
     model, seen = first_model([np.frombuffer(s.as_py(), np.uint16) for s in sample["seq"]], overall), []
     k, c, n_hot = STATES, len(overall), 0 if voc is None else len(voc.h)
-    names, rare = [f"e{i}" for i in range(k)], None
-    given = training.select("seq") if voc is None else training.select("row_id", "seq", "word", "tail")
+    names, rare, last = [f"e{i}" for i in range(k)], None, None
+    used = ["block", "held_out", "n", "seq"] + (["word", "tail", "known"] if voc is not None else [])
     for _ in range(rounds):
-        out = staged(spark, with_rare(given, rare)
-                     .mapInArrow(_trainer(spark.sparkContext.broadcast(model), n_hot),
-                                 "rare boolean, h long, " + ", ".join(f"{e} double" for e in names))
-                     .groupBy("rare", "h").agg(*[F.sum(e).alias(e) for e in names]), "hmm-round")
-        rows = out.filter(~F.col("rare")).toArrow()  # 2 + K + CLASSES + HOT rows at most
-        sums = np.zeros((1 + k + c + n_hot + 1, k))
+        path = scratch_dir(spark, "llm-hmm-round")
+        sent = spark.sparkContext.broadcast(model)
+        (with_rare(blocks.select(*used), rare)
+         .mapInArrow(_trainer(sent, n_hot), "rare boolean, h long, " + ", ".join(f"{e} float" for e in names))
+         .groupBy("rare", "h").agg(*[F.sum(e).alias(e) for e in names]).write.parquet(path))
+        sent.unpersist()
+        out = spark.read.parquet(path)
+        rows = out.filter(~F.col("rare")).toArrow()  # 2 + K + 2 * CLASSES + HOT rows at most
+        sums = np.zeros((1 + k + 2 * c + n_hot + 1, k))
         sums[rows["h"].to_numpy()] = np.column_stack([rows[e].to_numpy() for e in names])
         seen.append(float(sums[-1, 0]))
-        model = Model.from_counts(sums[0], sums[1:1 + k], sums[1 + k:1 + k + c], overall)
+        by_class, own_by_class = sums[1 + k:1 + k + c], sums[1 + k + c:1 + k + 2 * c]
+        model = Model.from_counts(sums[0], sums[1:1 + k], by_class, overall)
         if voc is not None:
-            model.words = Words(voc, sums[1 + k:1 + k + c], sums[1 + k + c:-1])
+            model.words = Words(voc, own_by_class, sums[1 + k + 2 * c:-1])
             rare = out.filter("rare").select("h", F.array(*[F.col(e).cast("float") for e in names]).alias("e"))
+        if last:
+            delete_path(spark, last)  # this round has replaced it
+        last = path
     return model, seen, rare
 
 
-def train(texts: DataFrame, overall: np.ndarray, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
+def train(blocks: DataFrame, overall: np.ndarray, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
     """Baum-Welch over classes alone."""
-    return fit(texts, overall, rounds)[:2]
+    return fit(blocks, overall, rounds)[:2]
 
 
-def _scorer(model, n_hot: int):
+def _scorer(model, n_hot: int, smoothed: float):
+    """A row for each text of the blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            local = _Local(model.value, batch, n_hot)
-            found = log_likelihoods(local.model, local.seqs) if batch.num_rows else np.empty(0)
-            kept = [c for c in batch.schema.names if c not in ("seq", "word", "tail", "rare")]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(found)], [*kept, "log_path"])
+        for row in _rows(batches):
+            local = _Local(model.value, row, n_hot)
+            n, (more, log_more) = _flat(row["n"]), local.counts()
+            log_counts = _flat(row["log_hot"]) + log_more
+            path = log_likelihoods(local.model, local.seqs)
+            yield pa.RecordBatch.from_arrays(
+                [row["doc_id"].values, row["held_out"].values, pa.array(n), pa.array(_flat(row["n_hot"]) + more),
+                 pa.array(log_counts - n * smoothed), pa.array(log_counts - _flat(row["log_class"]) + path)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
@@ -422,27 +516,16 @@ def score_report(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     counts = staged(spark, word_counts(docs), "hmm-counts")
     voc = Vocabulary(counts)
-    encoded = docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
-        _encoder(spark.sparkContext.broadcast(voc)),
-        f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_hot long, log_hot double, "
-        "log_class double, seq binary, word binary, tail array<struct<h:bigint,m:bigint>>")
-    texts = staged(spark, encoded.withColumn("row_id", F.monotonically_increasing_id()), "hmm-texts")
-
-    overall = voc.class_total / voc.class_total.sum()
-    model, _, words = fit(texts, overall, voc=voc)
-    kept = ["doc_id", "held_out", "n_tokens", "n_hot", "log_hot", "log_class", "row_id"]
-    paths = with_rare(texts, words).select(*kept, "seq", "word", "tail", "rare").mapInArrow(
-        _scorer(spark.sparkContext.broadcast(model), len(voc.h)),
-        f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_hot long, log_hot double, "
-        "log_class double, row_id long, log_path double")
-
-    rare = (texts.select("row_id", F.explode("tail").alias("t")).select("row_id", "t.h", "t.m")
-            .join(counts.select("h", "c"), "h")
-            .groupBy("row_id").agg(F.sum("m").alias("n_rare"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("log_rare")))
-    log_counts = F.col("log_hot") + F.coalesce("log_rare", F.lit(0.0))
+    kind = dict(docs.dtypes)["doc_id"]
+    texts = docs.select("doc_id", held_out().alias("held_out"), "text")
+    blocks = bucketed(texts.mapInArrow(_encoder(spark.sparkContext.broadcast(voc), BATCH_BYTES), BLOCK.format(id=kind)), "hmm-blocks")
+    known = bucketed(known_words(blocks, counts), "hmm-known")
+    blocks = blocks.join(known, "block", "left")
+
+    model, _, rare = fit(blocks, voc.class_total / voc.class_total.sum(), voc=voc)
     smoothed = float(np.log10(voc.tokens + voc.words + 1))
-    return paths.join(rare, "row_id", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(int(voc.tokens)).cast("long").alias("train_tokens"),
-        (log_counts - F.col("n_tokens") * smoothed).alias("base_score"),
-        (log_counts - F.col("log_class") + F.col("log_path")).alias("score"))
+    scored = with_rare(blocks, rare).mapInArrow(
+        _scorer(spark.sparkContext.broadcast(model), len(voc.h), smoothed),
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known",
+                         F.lit(int(voc.tokens)).cast("long").alias("train_tokens"), "base_score", "score")

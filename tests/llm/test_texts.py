@@ -9,7 +9,10 @@ from itertools import product
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from martforge.llm import chat, hmm, html_extract, kneser_ney, simhash, winnowing, wordhash
+from martforge.llm.common import low_keys
 from martforge.llm.components import connected_components
 from tests.llm import brute
 from tests.llm.frames import DOCS, docs, parquet
@@ -316,10 +319,11 @@ def test_expected_counts_are_exact():
 
 def test_start_leaves_out_long_texts(spark, monkeypatch):
     monkeypatch.setattr(hmm, "INIT_TOKENS", 2)
-    given = [(1, False, bytearray(np.array([1, 2], np.uint16).tobytes())), (2, False, bytearray(np.arange(9, dtype=np.uint16).tobytes()))]
+    given = [(1, [False], [2], bytearray(np.array([1, 2], np.uint16).tobytes())),
+             (2, [False, True], [9, 1], bytearray(np.arange(10, dtype=np.uint16).tobytes()))]
     used = []
     monkeypatch.setattr(hmm, "first_model", lambda seqs, overall, first=hmm.first_model: used.extend(seqs) or first(seqs, overall))
-    texts = spark.createDataFrame(given, "doc_id long, held_out boolean, seq binary")
+    texts = spark.createDataFrame(given, "block long, held_out array<boolean>, n array<long>, seq binary")
     hmm.train(texts, np.full(hmm.CLASSES, 1 / hmm.CLASSES), rounds=1)
     assert [s.tolist() for s in used] == [[1, 2]]
 
@@ -334,8 +338,8 @@ def test_training_raises_likelihood(spark):
         for _ in range(200):
             seq.append(rng.choice(hmm.CLASSES, p=truth.emit[:, state]))
             state = rng.choice(3, p=truth.move[state])
-        rows.append((i, False, bytearray(np.array(seq, np.uint16).tobytes())))
-    texts = spark.createDataFrame(rows, "doc_id long, held_out boolean, seq binary")
+        rows.append((i, [False], [len(seq)], bytearray(np.array(seq, np.uint16).tobytes())))
+    texts = spark.createDataFrame(rows, "block long, held_out array<boolean>, n array<long>, seq binary")
     _, seen = hmm.train(texts, overall, rounds=4)
     assert seen == sorted(seen)
 
@@ -368,6 +372,24 @@ def test_model_beats_unigrams_on_held_out_text(spark, sf_dir):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_joined_words_score_like_hot_ones(spark, sf_dir, monkeypatch):
+    """Few or all words in the table that goes to the tasks: the model is the same."""
+    monkeypatch.setattr(hmm, "BATCH_BYTES", 1 << 14)  # several blocks a task
+    found = []
+    for hot in (hmm.SINGLES, hmm.HOT):
+        monkeypatch.setattr(hmm.Vocabulary.__init__, "__defaults__", (hot,))
+        rows = hmm.score_report(spark.read.parquet(f"{sf_dir}/documents.parquet")).orderBy("doc_id").collect()
+        found.append(np.array([[r.n_known, r.base_score, r.score] for r in rows]))
+    assert np.allclose(found[0][:, :2], found[1][:, :2])
+    assert np.allclose(found[0][:, 2], found[1][:, 2], rtol=1e-4)
+
+
+def test_low_keys(spark):
+    df = spark.range(5000).select(F.xxhash64("id").alias("k"), "id")
+    assert [r.k for r in low_keys(df, "k", 30).collect()] == sorted(r.k for r in df.collect())[:30]
+    assert low_keys(df.limit(0), "k", 3).count() == 0 and low_keys(df.limit(2), "k", 9).count() == 2
+
+
 @pytest.mark.parametrize("hot", [20, hmm.HOT])  # the rare words take the join, or the table of hot words
 def test_words_of_one_class_are_told_apart_by_state(spark, monkeypatch, hot):
     monkeypatch.setattr(hmm.Vocabulary.__init__, "__defaults__", (hot,))
