@@ -58,6 +58,7 @@ INIT_STEPS = 15
 SMOOTHING = 200.0  # tokens of the overall class distribution added to each state
 END = np.uint64(0xE4D0F7EE57A6E4D1)  # stands for the end token
 BATCH_BYTES = 2 << 20
+PARTITIONS_PER_BUCKET = 4
 LATTICE = 1 << 19  # tokens whose state probabilities are held at once
 
 
@@ -421,19 +422,23 @@ def _trainer(model, n_hot: int):
     return run
 
 
+def buckets(df: DataFrame) -> int:
+    """Buckets of blocks, each a task: a few times fewer than other partitions, as every task sends sums of all hot words."""
+    return -(-int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_BUCKET)
+
+
 def bucketed(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` bucketed by block to the shared folder: joins by block then move neither side."""
-    spark, path = df.sparkSession, scratch_dir(df.sparkSession, f"llm-{label}")
+    path = scratch_dir(df.sparkSession, f"llm-{label}")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    df.write.format("parquet").bucketBy(buckets(df), "block").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def known_words(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     """block and known: its words that are not hot and occur in training, with their counts."""
     pairs = blocks.select("block", F.explode("tail").alias("h")).join(counts.select("h", "c"), "h")
-    return pairs.groupBy("block").agg(F.collect_list(F.struct("h", "c")).alias("known"))
+    return pairs.repartition(buckets(blocks), "block").groupBy("block").agg(F.collect_list(F.struct("h", "c")).alias("known"))
 
 
 def with_rare(given: DataFrame, rare: DataFrame | None) -> DataFrame:
@@ -441,7 +446,8 @@ def with_rare(given: DataFrame, rare: DataFrame | None) -> DataFrame:
     if rare is None:
         return given
     pairs = given.select("block", F.explode(F.filter("known", lambda w: w["c"] >= OWN)).alias("w")).select("block", "w.h")
-    found = pairs.join(rare, "h").groupBy("block").agg(F.collect_list(F.struct("h", "e")).alias("rare"))
+    found = (pairs.join(rare, "h").repartition(buckets(given), "block")
+             .groupBy("block").agg(F.collect_list(F.struct("h", "e")).alias("rare")))
     return given.join(found, "block", "left")
 
 
