@@ -58,7 +58,8 @@ INIT_STEPS = 15
 SMOOTHING = 200.0  # tokens of the overall class distribution added to each state
 END = np.uint64(0xE4D0F7EE57A6E4D1)  # stands for the end token
 BATCH_BYTES = 2 << 20
-PARTITIONS_PER_BUCKET = 4
+PARTITIONS_PER_BUCKET = 3
+LONG, STRETCH = 2048, 512  # texts of more tokens are scored in stretches, all of a block side by side
 LATTICE = 1 << 19  # tokens whose state probabilities are held at once
 
 
@@ -145,18 +146,14 @@ class Vocabulary:
         order = np.argsort(h)
         self.h, self.c, self.cls = h[order], c[order], cls[order].astype(np.uint16)
 
-    def encode(self, h: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class and count of each token; whether the count is known here."""
+    def encode(self, h: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Class and count of each token; whether it is hot; and where it then is in the table."""
         cls = (SINGLES + suffix).astype(np.uint16)
         if not len(self.h):
-            return cls, np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = self.place(h)
+            return cls, np.zeros(len(h), np.int64), np.zeros(len(h), bool), np.zeros(len(h), np.uint32)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
         hot = self.h[at] == h
-        return np.where(hot, self.cls[at], cls), np.where(hot, self.c[at], 0), hot
-
-    def place(self, h: np.ndarray) -> np.ndarray:
-        """Where each hot word is in the table."""
-        return np.minimum(np.searchsorted(self.h, h), max(0, len(self.h) - 1))
+        return np.where(hot, self.cls[at], cls), np.where(hot, self.c[at], 0), hot, at.astype(np.uint32)
 
 
 def _block(i: int) -> int:
@@ -186,9 +183,8 @@ def _encoder(vocabulary, most: int):
         for i, (rows, got) in enumerate(_pieces(batches, most)):
             sizes = np.array([len(h) for h, _ in got])
             flat = np.concatenate([h for h, _ in got])
-            cls, c, hot = voc.encode(flat, np.concatenate([s for _, s in got]))
+            cls, c, hot, place = voc.encode(flat, np.concatenate([s for _, s in got]))
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            place = voc.place(flat).astype(np.uint32)
             tail, which = np.unique(flat[~hot], return_inverse=True)
             place[~hot] = len(voc.h) + which
             yield _one_row(BLOCK_COLUMNS, [
@@ -295,25 +291,54 @@ def _stretch_counts(model: Model, parts: list[tuple[np.ndarray, bool]], start, m
 
 
 def log_likelihoods(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of each whole sequence, by the scaled forward recursion."""
-    order = sorted(range(len(seqs)), key=lambda j: -len(seqs[j]))
-    sizes = np.array([len(seqs[j]) for j in order])
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    flat = np.concatenate([seqs[j] for j in order])
-    total = np.zeros(len(seqs))
-    state = np.tile(model.start, (len(seqs), 1))
-    active = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")
-    for t in range(int(sizes[0])):
-        m = active[t]
-        now = (state[:m] if t == 0 else state[:m] @ model.move) * model.emit[flat[first[:m] + t]]
-        scale = now.sum(axis=1)
-        state[:m] = now / scale[:, None]
-        total[:m] += np.log10(scale)
+    """log10 probability of each whole sequence, by the scaled forward recursion. Long sequences go in
+    stretches side by side, each from every state at once, which are multiplied up at the end."""
     found = np.empty(len(seqs))
-    found[order] = total
+    order = sorted((j for j in range(len(seqs)) if len(seqs[j]) <= LONG), key=lambda j: -len(seqs[j]))
+    if order:
+        sizes = np.array([len(seqs[j]) for j in order])
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        flat = np.concatenate([seqs[j] for j in order])
+        total = np.zeros(len(order))
+        state = np.tile(model.start, (len(order), 1))
+        active = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")
+        for t in range(int(sizes[0])):
+            m = active[t]
+            now = (state[:m] if t == 0 else state[:m] @ model.move) * model.emit[flat[first[:m] + t]]
+            scale = now.sum(axis=1)
+            state[:m] = now / scale[:, None]
+            total[:m] += np.log10(scale)
+        found[order] = total
+    long = [j for j in range(len(seqs)) if len(seqs[j]) > LONG]
+    if long:
+        found[long] = _long_log_likelihoods(model, [seqs[j] for j in long])
     return found
 
 
+def _long_log_likelihoods(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
+    parts = [(j, a) for j, s in enumerate(seqs) for a in range(1, len(s), STRETCH)]
+    sizes = np.array([min(STRETCH, len(seqs[j]) - a) for j, a in parts])
+    order = np.argsort(-sizes, kind="stable")
+    flat, before = np.concatenate(seqs), np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
+    first = np.array([before[j] + a for j, a in parts])[order]
+    active = np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max()) + 1), side="right")
+    through = np.tile(np.eye(len(model.start)), (len(parts), 1, 1))  # from each state before a stretch to each at its end
+    scales = np.zeros(len(parts))
+    for t, m in enumerate(active):
+        now = (through[:m] @ model.move) * model.emit[flat[first[:m] + t], None]
+        scale = now.sum(axis=(1, 2))
+        through[:m] = now / scale[:, None, None]
+        scales[:m] += np.log10(scale)
+    place = np.argsort(order, kind="stable")
+    total = np.zeros(len(seqs))
+    state = [model.start * model.emit[s[0]] for s in seqs]
+    for i, (j, _) in zip(place, parts, strict=True):
+        now = state[j] @ through[i]
+        total[j] += scales[i] + np.log10(now.sum())
+        state[j] = now / now.sum()
+    return total
+
+
 class _Local:
     """The tokens of a block (a row) numbered anew, single words first and then every other word
     of the block, with a model over these."""
@@ -330,9 +355,11 @@ class _Local:
         word = np.frombuffer(row["word"].as_py(), np.uint32).astype(np.int64)
         self.tail = _flat(row["tail"])
         cold = word >= n_hot
-        self.hot, number = np.unique(word[~cold], return_inverse=True)
+        seen = np.zeros(n_hot, bool)
+        seen[word[~cold]] = True
+        self.hot = np.flatnonzero(seen)
         code = np.empty(len(word), np.int64)
-        code[~cold] = number
+        code[~cold] = (np.cumsum(seen) - 1)[word[~cold]]
         code[cold] = len(self.hot) + word[cold] - n_hot
         self.cls = np.zeros(len(self.hot) + len(self.tail), np.int64)
         self.cls[code] = flat[fine]

@@ -297,6 +297,15 @@ def test_forward_is_exact():
         assert 10 ** got == pytest.approx(total)
 
 
+def test_long_texts_score_alike(monkeypatch):
+    m, rng = toy(), np.random.default_rng(4)
+    seqs = [rng.integers(0, 5, n).astype(np.uint16) for n in (1, 7, 8, 9, 16, 17, 33, 100)]
+    want = hmm.log_likelihoods(m, seqs)
+    monkeypatch.setattr(hmm, "LONG", 8)
+    monkeypatch.setattr(hmm, "STRETCH", 5)
+    assert np.allclose(hmm.log_likelihoods(m, seqs), want, rtol=1e-12)
+
+
 def test_expected_counts_are_exact():
     m, rng = toy(), np.random.default_rng(2)
     seqs = [rng.integers(0, 5, n).astype(np.uint16) for n in (4, 1, 3)]
@@ -362,7 +371,7 @@ def test_word_given_class_sums_to_one(awkward):
     counts = staged(awkward.sparkSession, hmm.word_counts(awkward), "t")
     voc = hmm.Vocabulary(counts, hot=10)
     rows = counts.toPandas()
-    cls, _, _ = voc.encode(rows.h.to_numpy().view(np.uint64), rows.suffix.to_numpy())
+    cls, *_ = voc.encode(rows.h.to_numpy().view(np.uint64), rows.suffix.to_numpy())
     per = np.bincount(cls, rows.c + 1, minlength=hmm.CLASSES)
     assert np.allclose(per + 1, voc.class_total)  # the 1 is left to unknown words
 
