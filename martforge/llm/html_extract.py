@@ -11,10 +11,17 @@ class of its innermost block) and is the log odds of that block (never below
 id first; every page is scored.
 
 Inside the run, text of blocks that are not content (navigation, forms, adverts,
-comments and the like, by tag, role, or a listed word as a whole class name or id) is left
+comments and the like, by tag, role, or a class name or id that names such a part) is left
 out. The outermost ``article`` or ``main`` is content also in a part marked by class or id,
-unless it is so marked itself. A listed word within a longer class name ("has-sidebar")
-only names the block, whose weight is learned.
+unless it is so marked itself, or another one stands in no such part.
+
+Where the page itself names its content, that is the region, whole: nothing in it has a
+negative score, so the run reaches from its first word to its last, and what stands between two
+such regions scores nothing and is left out. Elsewhere link words have a weight of their own (menus are
+links), and elements that no labelled page shows have the weight of their prior.
+
+Tags are read as browsers read them: a quote counts after ``=`` only, and a tag that never ends
+takes the rest of the page. Reading is linear in the page, however broken.
 
 Defined cases: null or empty html has no text; a page cut off anywhere is read as far
 as it goes; unclosed and stray tags are tolerated; repeated rows and null ids are
@@ -40,12 +47,13 @@ MAX_LABELLED = 2000
 TAG_MOST, WORD_LEAST = -0.05, 0.001
 
 # Fixed lists: HTML elements by role, and class words of what is not content.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "select")
+RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "select")
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-          "strike strong sub sup time tt u var wbr").split())
+          "strike strong sub sup time tt u var wbr "
+                    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mspace").split())
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 CHROME_TAGS = ("nav header footer aside form button dialog menu fieldset "
-               "script style textarea title noscript template iframe svg math object select head").split()
+               "script style textarea title noscript template iframe svg object select head").split()
 CHROME_WORDS = ("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
                 "cookie cookies consent disclaimer disqus footer form header login masthead menu modal nav navbar "
                 "navigation newsletter notice notices notification pagination pager popup promo promoted promotion "
@@ -53,33 +61,60 @@ CHROME_WORDS = ("ad ads adv advert adverts advertisement advertising banner brea
                 "subscribe subscription toolbar warning widget").split()
 CHROME_ROLES = ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu")
 CONTENT_TAGS = ("article", "main")
-#: Pseudo-counts (inside, outside) added to what labelled pages show.
-PRIOR = {"p": (8, 1), "h1": (4, 1), "h2": (4, 1), "h3": (4, 1), "blockquote": (4, 1), "li": (2, 2), "ul": (2, 2),
-         "pre": (4, 1), "td": (2, 2), "br": (4, 1)}
-
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                   r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)", re.DOTALL)
+# Fixed lists: a class name of several words ("ad-slot") names a part that is not content by its last
+# word, or by its first if that is one of STRONG_WORDS; not after a word of NEGATED, nor before one of LAYOUT.
+STRONG_WORDS = ("ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies "
+                "disqus footer menu nav navbar navigation newsletter pagination promo reply replies sidebar sponsor sponsored "
+                "subscribe subscription").split()
+NEGATED = "has no not with without hide hidden show is".split()
+LAYOUT = "layout page".split()
+#: Pseudo-counts (inside, outside) added to what labelled pages show. ``a``: words in links.
+PRIOR = {"p": (8, 1), "a": (1, 3), "div": (2, 1), "section": (2, 1),
+         **dict.fromkeys("h1 h2 h3 h4 h5 h6 blockquote pre br figure figcaption details summary dl dt dd".split(), (4, 1)),
+         **dict.fromkeys("ul ol li table caption thead tbody tfoot tr td th hr address center".split(), (2, 1))}
+#: What elements score that neither labelled pages nor the priors know.
+UNKNOWN_TAG = -0.25
+
+# Every alternative that can start ends, by the end of the page at the latest, so nothing is scanned twice.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+                   r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)|([^<]++|<)", re.DOTALL)
 #: Every attribute in turn, so that nothing is found inside a name or a value.
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++)))?")
 CLASS_WORD = re.compile(r"[a-z]+")
+#: Character references by number: leading zeros, and digits beyond any character, are not read.
+LONG_NUMBER = re.compile(r"&#(?:(x)0*([0-9a-f]{1,8})[0-9a-f]*+|0*([0-9]{1,8})[0-9]*+)", re.IGNORECASE)
 CLOSED_BY = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"},
              "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
+BLOCK_ENDS_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
+                   "p pre section table ul".split())
 
 
 class Token:
     """A tag (name, closing or not) or a piece of text; ``block``: the block it stands in;
-    ``chrome``: inside what is not content; ``inside``: within the labelled content."""
+    ``chrome``: inside what is not content; ``inside``: within the labelled content;
+    ``wrapped``: which stands in a part marked by class."""
 
-    __slots__ = ("name", "closing", "text", "block", "chrome", "inside")
+    __slots__ = ("name", "closing", "text", "block", "chrome", "inside", "wrapped")
 
-    def __init__(self, name: str, closing: bool, text: str, block: str, chrome: bool, inside: bool):
-        self.name, self.closing, self.text, self.block, self.chrome, self.inside = name, closing, text, block, chrome, inside
+    def __init__(self, name: str, closing: bool, text: str, block: str, chrome: bool, inside: bool, wrapped: bool):
+        self.name, self.closing, self.text, self.block, self.chrome = name, closing, text, block, chrome
+        self.inside, self.wrapped = inside, wrapped
 
     @property
     def key(self) -> str:
         return ("/" if self.closing else "") + self.name
 
 
+def names_chrome(name: str) -> bool:
+    """Whether a class name or id (lower case) names a part that is not content."""
+    if name in CHROME_WORDS:
+        return True
+    parts = CLASS_WORD.findall(name)
+    if len(parts) < 2 or parts[0] in NEGATED or parts[-1] in LAYOUT:
+        return False
+    return parts[-1] in CHROME_WORDS or parts[0] in STRONG_WORDS
+
+
 def _describe(name: str, attributes: str) -> tuple[str, bool, bool]:
     """The block name (tag with class words), whether its tag or role is not content, and
     whether a class name or id says so."""
@@ -93,17 +128,19 @@ def _describe(name: str, attributes: str) -> tuple[str, bool, bool]:
                 words += CLASS_WORD.findall(value)
                 names += value.split()
     marked = [w for w in words if w in CHROME_WORDS]
-    return ".".join([name, *sorted(set(marked))]), chrome, any(n in CHROME_WORDS for n in names)
+    return ".".join([name, *sorted(set(marked))]), chrome, any(map(names_chrome, names))
 
 
 class _Open:
-    """An open element: its innermost block, and whether it lies in non-content (by tag or
-    role; by class) or labelled content."""
+    """An open element: its innermost block, whether it lies in non-content (by tag or
+    role; by class) or labelled content (``wrapped``: that in a part marked by class), and
+    whether it is a p or inline tags within one."""
 
-    __slots__ = ("name", "block", "by_tag", "by_class", "inside")
+    __slots__ = ("name", "block", "by_tag", "by_class", "inside", "wrapped", "in_p")
 
-    def __init__(self, name: str, block: str, by_tag: bool, by_class: bool, inside: bool):
-        self.name, self.block, self.by_tag, self.by_class, self.inside = name, block, by_tag, by_class, inside
+    def __init__(self, name: str, block: str, by_tag: bool, by_class: bool, inside: bool, wrapped: bool, in_p: bool):
+        self.name, self.block, self.by_tag, self.by_class = name, block, by_tag, by_class
+        self.inside, self.wrapped, self.in_p = inside, wrapped, in_p
 
     @property
     def chrome(self) -> bool:
@@ -112,18 +149,18 @@ class _Open:
 
 def tokens(page: str | None) -> Iterator[Token]:
     page = page or ""
-    stack, names, at = [_Open("", "", False, False, False)], Counter(), 0
+    stack, names, at = [_Open("", "", False, False, False, False, False)], Counter(), 0
 
     def close() -> None:
         names[stack.pop().name] -= 1
 
     while m := TOKEN.match(page, at):
         at = m.end()
-        text, top = m[7], stack[-1]
+        text, top = m[4], stack[-1]
         if text is not None:
-            yield Token("", False, text, top.block, top.chrome, top.inside)
+            yield Token("", False, text, top.block, top.chrome, top.inside, top.wrapped)
             continue
-        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        closing, name, attributes = m[1], m[2], m[3]
         if name is None:
             continue  # a comment or declaration
         name = name.lower()
@@ -131,11 +168,14 @@ def tokens(page: str | None) -> Iterator[Token]:
             if names[name] > 0:
                 while stack[-1].name != name:
                     close()
+                chrome = stack[-1].chrome
                 close()
+            else:
+                chrome = top.chrome
             top = stack[-1]
-            yield Token(name, True, "", top.block, top.chrome, top.inside)
+            yield Token(name, True, "", top.block, chrome, top.inside, top.wrapped)
             continue
-        while stack[-1].name in CLOSED_BY.get(name, ()) or _implied(name, stack):
+        while stack[-1].name in CLOSED_BY.get(name, ()) or stack[-1].in_p and name in BLOCK_ENDS_P:
             close()
         top = stack[-1]
         block, by_tag, marked = _describe(name, attributes)
@@ -145,7 +185,8 @@ def tokens(page: str | None) -> Iterator[Token]:
         else:
             by_class = top.by_class or marked and name not in ("body", "html")
         chrome = by_tag or by_class
-        yield Token(name, False, "", top.block, chrome, top.inside)
+        wrapped = top.wrapped if top.inside else name in CONTENT_TAGS and top.by_class
+        yield Token(name, False, "", top.block, chrome, top.inside, top.wrapped)
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
         if name in RAW:
@@ -153,24 +194,9 @@ def tokens(page: str | None) -> Iterator[Token]:
             at = end.end() if end else len(page)
             continue
         names[name] += 1
-        stack.append(_Open(name, top.block if name in INLINE and not chrome else block, by_tag, by_class,
-                           top.inside or name in CONTENT_TAGS))
-
-
-BLOCK_ENDS_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
-                   "p pre section table ul".split())
-
-
-def _implied(name: str, stack: list[_Open]) -> bool:
-    """Whether an open p (with inline tags left open in it) ends where this block starts."""
-    if name not in BLOCK_ENDS_P:
-        return False
-    for e in reversed(stack):
-        if e.name == "p":
-            return True
-        if e.name not in INLINE:
-            return False
-    return False
+        inline = name in INLINE
+        stack.append(_Open(name, top.block if inline and not chrome and name != "a" else block, by_tag, by_class,
+                           top.inside or name in CONTENT_TAGS, wrapped, name == "p" or inline and top.in_p))
 
 
 def count_features(page: str | None) -> Counter:
@@ -203,7 +229,7 @@ class Weights:
             return n * (WORD_LEAST if t.chrome else self.words.get(t.block, 0.5)) if n else 0.0
         if t.chrome or t.name in INLINE:
             return min(TAG_MOST, self.tags.get(t.key, TAG_MOST))
-        return self.tags.get(t.key, -1.0)
+        return self.tags.get(t.key, UNKNOWN_TAG)
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -218,13 +244,32 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def named_region(parts: list[Token]) -> list[bool] | None:
+    """Which tokens stand in the content that the page names itself; None if it names none with
+    words. Content in a part marked by class counts if there is no other."""
+    for also_wrapped in (False, True):
+        region = [t.inside and not t.chrome and (also_wrapped or not t.wrapped) for t in parts]
+        if any(r and t.text.strip() for r, t in zip(region, parts, strict=True)):
+            return region
+    return None
+
+
+def decode(text: str) -> str:
+    return html.unescape(LONG_NUMBER.sub(r"&#\1\2\3", text)) if "&" in text else text
+
+
 def main_text(page: str | None, weights: Weights) -> str:
     parts = list(tokens(page))
-    lo, hi = best_run([weights.score(t) for t in parts])
+    region = named_region(parts)
+    if region is None:
+        lo, hi = best_run([weights.score(t) for t in parts])
+    else:
+        lo, hi = best_run([weights.score(t) if r and not t.name else 0.0 for t, r in zip(parts, region, strict=True)])
     blocks, now = [], []
-    for t in parts[lo:hi]:
+    for i in range(lo, hi):
+        t = parts[i]
         if not t.name:
-            if not t.chrome:
+            if not t.chrome and (region is None or region[i]):
                 now.append(t.text)
         elif t.name == "br":
             now.append("\n")
@@ -232,7 +277,7 @@ def main_text(page: str | None, weights: Weights) -> str:
             blocks.append("".join(now))
             now = []
     blocks.append("".join(now))
-    return " ".join(clean for b in blocks if (clean := " ".join(html.unescape(b).split())))
+    return " ".join(clean for b in blocks if (clean := " ".join(decode(b).split())))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -229,6 +230,64 @@ def test_marked_parts_inside_an_article_stay_out():
         assert html_extract.main_text(outer, weights) == ""
 
 
+LEARNED = {"t:p": (900, 0), "t:/p": (900, 0), "w:p": (9000, 3), "t:div": (0, 40), "t:/div": (0, 40), "w:div": (1, 60)}
+
+
+@pytest.mark.parametrize("markup, text", [
+    ("<table>" + "".join(f"<tr><td>a{i}</td><td>b{i}</td></tr>" for i in range(20)) + "</table>",
+     " ".join(f"a{i} b{i}" for i in range(20))),
+    ("<ul>" + "".join(f"<li>x{i}" for i in range(20)) + "</ul>", " ".join(f"x{i}" for i in range(20))),
+    ("<details><summary>In short</summary>and at length</details>", "In short and at length"),
+    ("<figure><img src=x><figcaption>A caption</figcaption></figure>", "A caption"),
+    ("<section><div><div>one</div></div></section><section><div><div>two</div></div></section>", "one two"),
+    ("<x-card><x-row>own elements</x-row></x-card>", "own elements"),
+    ("<p>Energy <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> holds.</p>", "Energy E=mc holds."),
+    ("<p>&#" + "9" * 6000 + ";&#" + "0" * 6000 + "65;&#x41;&#65b;</p>", "\ufffdAAAb;")])
+def test_an_article_is_kept_whole(markup, text):
+    for weights in (html_extract.Weights({}), html_extract.Weights(dict(LEARNED))):
+        words = "<p>Some words of the page.</p>"
+        assert html_extract.main_text(f"<article>{words}{markup}</article>", weights) == f"Some words of the page. {text}"
+        assert html_extract.main_text(f"<div>out</div><article>{markup}{words}</article>", weights) == f"{text} Some words of the page."
+
+
+def test_lists_and_tables_stay_without_labelled_content():
+    weights = html_extract.Weights({})
+    for row in ("<li>item {}</li>", "<table><tr><td>cell {}</td></tr></table>", "<dl><dt>term {}</dt></dl>"):
+        rows = "".join(row.format(i) for i in range(9))
+        page = f"<nav><a href=/>Home</a></nav><section><p>Some words of the page.</p>{rows}</section><footer>foot</footer>"
+        name = row.split(" {")[0].split(">")[-1]
+        assert html_extract.main_text(page, weights) == " ".join(["Some words of the page.", *(f"{name} {i}" for i in range(9))])
+
+
+def test_what_is_no_article_stays_out():
+    weights = html_extract.Weights(dict(LEARNED))
+    page = "<article><p>Some words of the page.</p>{}</article>{}"
+    for name in ("ad-slot", "comment-list", "user-comments", "user-replies", "x sidebar_ad", "post-comments"):
+        part = f"<div class='{name}'><p>Buy or say this, with many more words than all of the page.</p></div>"
+        for inner, after in ((part, ""), ("", part)):
+            assert html_extract.main_text(page.format(inner, after), weights) == "Some words of the page."
+    two = "<article><p>One.</p></article><div><p>Filler between the two, long enough to win.</p></div><article>Two.</article>"
+    assert html_extract.main_text(two, weights) == "One. Two."
+    assert html_extract.main_text(two + "<div class=related><article>Another story.</article></div>", weights) == "One. Two."
+    assert html_extract.main_text("<article></article><p>Only words here.</p>", weights) == "Only words here."
+
+
+@pytest.mark.parametrize("broken", ["<p", "<p ", "<b>{}<div></div>", "<p><b>{}<div>x</div>", "<a b=\">\"", "<a b='>\">", "</p",
+                                    "<a href='x", "<li>{}<div></li>", "<!--", "&#", "<a b=", "< "])
+def test_broken_pages_take_linear_time(broken):
+    def taken(n: int) -> float:
+        page = "".join(part * n for part in broken.split("{}"))
+        times = []
+        for _ in range(3):
+            at = time.perf_counter()
+            html_extract.main_text(page, weights)
+            times.append(time.perf_counter() - at)
+        return min(times)
+
+    weights = html_extract.Weights({})
+    assert taken(32_000) < 20 * taken(4_000) + 0.05  # eight times the page; quadratic would be 64
+
+
 def test_best_run_is_the_maximum():
     rng = random.Random(0)
     for _ in range(300):
