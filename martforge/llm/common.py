@@ -34,10 +34,26 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
-    """A sample of ``n`` rows: those with the lowest ``key``. The bound is found from the
-    keys alone, so no task gathers more than the sample itself."""
-    low = df.select(key.alias("k")).orderBy("k").limit(n).agg(F.max("k")).first()[0]
-    return df.limit(0) if low is None else df.filter(key <= F.lit(low)).limit(n)
+    """A sample of ``n`` rows: those with the lowest ``key``, a long that is a hash. The bound is
+    found from the keys alone, and only keys below ``low_bits`` are sorted, so no task gathers
+    more than the sample and a 65,536th of the keys, whatever the number of tasks."""
+    keys = df.select(key.alias("k"))
+    bits = low_bits(keys, "k", n)
+    if bits is None:
+        return df.limit(0)
+    low = keys.filter(F.shiftright("k", 48) <= bits).orderBy("k").limit(n).agg(F.max("k")).first()[0]
+    return df.filter(key <= F.lit(low)).limit(n)
+
+
+def low_bits(df: DataFrame, key: str, n: int) -> int | None:
+    """The first 16 bits up to which ``n`` rows or more have their ``key``, or all rows if they are
+    fewer; None without rows. 65,536 counts at most reach the driver."""
+    total, bound = 0, None
+    for r in df.groupBy(F.shiftright(F.col(key), 48).alias("b")).count().orderBy("b").collect():
+        bound, total = r["b"], total + r["count"]
+        if total >= n:
+            break
+    return bound
 
 
 def low_keys(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -46,13 +62,8 @@ def low_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     The rows are counted by the first 16 bits of the key (65,536 counts at most), which bounds the
     keys that can be among the lowest; only rows below the bound are sorted, and these are the
     sample and a 65,536th of the rows."""
-    bits = F.shiftright(F.col(key), 48)
-    total, bound = 0, None
-    for r in df.groupBy(bits.alias("b")).count().orderBy("b").collect():
-        bound, total = r["b"], total + r["count"]
-        if total >= n:
-            break
-    return df.limit(0) if bound is None else df.filter(bits <= bound).orderBy(key).limit(n)
+    bound = low_bits(df, key, n)
+    return df.limit(0) if bound is None else df.filter(F.shiftright(F.col(key), 48) <= bound).orderBy(key).limit(n)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -16,8 +16,11 @@ the last bit whatever order tasks finish in.
 Rates become whole copies class by class: cumulative rounding in order of size
 keeps a source within one document of its target, then a greedy pass from large to
 small sizes moves single copies until what is missing is below the smallest size.
-Within a class the documents with the lowest ranks (by a hash of the id) take the
-odd copy; ranks count on over cells, so a hot class is never in one task.
+Within a class the first documents by a hash of id and text take the odd copy. Nothing is
+ranked for that but where the last of them stands: counts of hash cells name its cell, counts of
+hashes in that cell its hash. Documents of one id and text (null ids too) share a hash; if the cut falls among them, the
+odd copies go to any of them, ranked over cells. So neither a hot class nor a hot document is in one
+task, and reruns take the same texts.
 
 Defined cases: null text has size 0 and takes nothing; null source is a source of
 its own, last in order; sources without words have target 0; repeated rows are
@@ -149,8 +152,7 @@ def rounded_copies(classes: DataFrame, targets: DataFrame, multipliers: DataFram
 
 
 def mix(rows: DataFrame) -> DataFrame:
-    """``rows`` (written already; doc_id, source, size, any key columns) with
-    source_size, target, copies and taken."""
+    """``rows`` (written already; ``_row_columns``) with source_size, target, copies and taken."""
     spark = rows.sparkSession
     counted = staged(spark, rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-classes")
     targets = staged(spark, source_targets(counted), "mix-targets")
@@ -161,22 +163,65 @@ def mix(rows: DataFrame) -> DataFrame:
     copies = staged(spark, rounded_copies(classes, targets, solve_multipliers(classes, targets)), "mix-copies")
 
     total = copies.agg(F.sum("n")).first()[0] or 0
-    c = copies.select(F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null"),
-                      "size", "source_size", "target", F.col("n").alias("_class"), F.col("copies").alias("_copies"))
-    keyed = (rows.withColumn("_s", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull()))
-    ranked = with_salted_rank(keyed, ["_s", "_null", "size"], F.xxhash64("doc_id"),
-                              [F.xxhash64("doc_id"), F.col("doc_id")], rank_cells(total))
-    odd = (F.col("_rank") < F.col("_copies") % F.col("_class")).cast("long")
-    each = F.floor(F.col("_copies") / F.col("_class")).cast("long") + odd
-    return (ranked.join(c, ["_s", "_null", "size"]).withColumn("copies", each)
-            .withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("_s", "_null", "_class", "_copies", "_rank"))
+    cells = rank_cells(total)
+    whole = F.floor(F.col("copies") / F.col("n")).cast("long")
+    c = copies.select(*_class_key(), "source_size", "target", whole.alias("_each"),
+                      (F.col("copies") - whole * F.col("n")).alias("_odd"))
+    keyed = (rows.withColumns(dict(zip(CLASS, _class_key(), strict=True)))
+             .withColumn("_cell", F.pmod("_hash", F.lit(cells)).cast("int")))
+    cuts = staged(spark, _odd_cuts(keyed, c), "mix-cuts")
+    placed = keyed.join(cuts, CLASS)
+    at = F.struct("_cell", "_hash")
+    cut = F.struct("_cut_cell", "_cut_hash")
+    # Rows that agree in id and text with the one at the cut: any of them may take the odd copies.
+    tied = F.coalesce((at == cut) & (F.col("_left") > 0), F.lit(False))
+    odd = F.coalesce(at < cut, F.lit(False)).cast("long")
+    ranked = with_salted_rank(placed.filter(tied).drop("_cell"), CLASS, F.xxhash64("row_id"), [F.col("row_id")], cells)
+    of_tied = ranked.withColumn("copies", F.col("_each") + (F.col("_rank") < F.col("_left")).cast("long")).drop("_rank")
+    of_others = placed.filter(~tied).withColumn("copies", F.col("_each") + odd).drop("_cell")
+    return (of_others.unionByName(of_tied).withColumn("taken", F.col("copies") * F.col("size"))
+            .drop("_s", "_null", "_each", "_cut_cell", "_cut_hash", "_left", "_hash"))
+
+
+CLASS = ["_s", "_null", "size"]
+
+
+def _class_key() -> list[Column]:
+    return [F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null"), F.col("size")]
+
+
+def _odd_cuts(keyed: DataFrame, classes: DataFrame) -> DataFrame:
+    """``classes`` with the place (cell, hash) in the order of a class before which rows take the odd
+    copies, and how many the rows at that place take. Null if nobody does.
+
+    The cell is found from counts of cells, then the hash from counts of hashes within the cells found."""
+    cell = _cut(keyed, [], "_cell", classes.filter("_odd > 0").select(*CLASS, F.col("_odd").alias("_left")))
+    near = keyed.join(cell, CLASS).filter(F.col("_cell") == F.col("_cut_cell"))
+    place = _cut(near, ["_cut_cell"], "_hash", cell.select(*CLASS, "_left"))
+    return classes.drop("_odd").join(place, CLASS, "left")
+
+
+def _cut(rows: DataFrame, also: list[str], by: str, wanted: DataFrame) -> DataFrame:
+    """For each class the value of ``by`` at which its rows, counted in that order, exceed ``_left``,
+    and what of ``_left`` falls to that value."""
+    counts = rows.groupBy(*CLASS, *also, by).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*CLASS).orderBy(by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    before = F.col("_upto") - F.col("_n")
+    return (counts.withColumn("_upto", upto).join(wanted, CLASS)
+            .filter((before <= F.col("_left")) & (F.col("_left") < F.col("_upto")))
+            .select(*CLASS, *also, F.col(by).alias(f"_cut{by}"), (F.col("_left") - before).alias("_left")))
+
+
+def _row_columns() -> list[Column]:
+    """What ``mix`` needs of a document."""
+    return [F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
+            F.xxhash64("doc_id", F.xxhash64("text")).alias("_hash"), F.monotonically_increasing_id().alias("row_id")]
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for every document."""
-    rows = staged(docs.sparkSession, docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")), "mix-rows")
+    rows = staged(docs.sparkSession, docs.select(*_row_columns()), "mix-rows")
     return mix(rows).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
@@ -184,9 +229,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents, all columns, each as many times as the mix takes it."""
     cols = docs.columns
     numbered = staged(docs.sparkSession, docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("doc_id"), F.col("source"),
-        word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row_id")), "mix-docs")
-    taken = mix(numbered.select("row_id", "doc_id", "source", "size")).filter("copies > 0").select("row_id", "copies")
+        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), *_row_columns()), "mix-docs")
+    taken = mix(numbered.drop("row")).filter("copies > 0").select("row_id", "copies")
     return (numbered.select("row_id", "row").join(taken, "row_id")
             .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"))
             .select("row.*"))

@@ -13,8 +13,9 @@ over the remaining groups and shards (the largest shard is then that group, whic
 no partition into whole groups can undercut).
 
 What reaches the driver is bounded: one number per unit, and the oversized groups
-(fewer than the shards). Slots count on over cells of each shard, so neither a
-shard nor a group of copies is ever held in one task.
+(fewer than the shards). Slots count on over cells of each shard, to which rows are dealt
+by a number given to each when written, so neither a shard, a group of copies nor the rows of
+one id (or of none) are ever held in one task.
 
 Defined cases: null text has 16 bytes of size and crc32 0 like empty text, and is in
 one group with it; repeated rows each get a slot; null ids are kept; an empty table gives an empty result; other columns are not read.
@@ -124,18 +125,21 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         utf8_crc32(text).alias("text_crc32"),
-        group.alias("_group")), "shard-rows").withColumn("_unit", F.pmod("_group", F.lit(UNITS)).cast("int"))
+        group.alias("_group"), F.monotonically_increasing_id().alias("_row")), "shard-rows").withColumn("_unit", F.pmod("_group", F.lit(UNITS)).cast("int"))
 
     found = rows.groupBy("_unit").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
-    sizes, n_rows = {r["_unit"]: r["b"] for r in found}, sum(r["n"] for r in found)
+    sizes, n_of = {r["_unit"]: r["b"] for r in found}, {r["_unit"]: r["n"] for r in found}
     alone = _oversized(rows, sizes, shards)
-    for g, (u, b) in alone.items():
+    most = max((n for _, _, n in alone.values()), default=0)  # rows of the largest shard
+    for u, b, n in alone.values():
         sizes[u] -= b
+        n_of[u] -= n
     order = packing_order({u: b for u, b in sizes.items() if b}, shards - len(alone)) if sizes else []
     _, ends = minimax_cuts([sizes[u] for u in order], max(1, shards - len(alone)))
     shard_of, start = {}, 0
     for k, end in enumerate(ends):
         shard_of.update(dict.fromkeys(order[start:end], len(alone) + k))
+        most = max(most, sum(n_of[u] for u in order[start:end]))
         start = end
 
     schema = "_unit int, shard int"
@@ -145,25 +149,24 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     for k, g in enumerate(alone):
         shard = F.when(F.col("_group") == F.lit(g), F.lit(k)).otherwise(shard)
     placed = placed.withColumn("shard", shard.cast("int"))
-    ranked = with_salted_rank(placed, ["shard"], F.xxhash64("doc_id", "_group"),
-                              [F.col("doc_id"), F.col("_group")], rank_cells(n_rows // shards))
+    ranked = with_salted_rank(placed, ["shard"], F.xxhash64("_row"), [F.col("_row")], rank_cells(most))
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          F.col("_rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _oversized(rows: DataFrame, sizes: dict[int, int], shards: int) -> dict[int, tuple[int, int]]:
+def _oversized(rows: DataFrame, sizes: dict[int, int], shards: int) -> dict[int, tuple[int, int, int]]:
     """Groups above an even share of what the other groups leave, largest first:
-    group -> (unit, bytes). Fewer than ``shards``."""
+    group -> (unit, bytes, rows). Fewer than ``shards``."""
     total = sum(sizes.values())
     units = [u for u, b in sizes.items() if b * shards > total / 2]  # at most 2 * shards units
     if not units:
         return {}
-    groups = (rows.filter(F.col("_unit").isin(units)).groupBy("_unit", "_group").agg(F.sum("size").alias("b"))
+    groups = (rows.filter(F.col("_unit").isin(units)).groupBy("_unit", "_group").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
               .filter(F.col("b") * shards * 2 > total).collect())
     alone = {}
     for r in sorted(groups, key=lambda r: (-r["b"], r["_group"])):
         left = shards - len(alone)
         if left > 1 and r["b"] * left > total and total > r["b"]:
-            alone[r["_group"]] = (r["_unit"], r["b"])
+            alone[r["_group"]] = (r["_unit"], r["b"], r["n"])
             total -= r["b"]
     return alone

@@ -255,3 +255,44 @@ def test_mixed_documents_repeat_rows(awkward):
     for r in mixing.mix_report(awkward).collect():
         want[r.doc_id] += r.copies
     assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == +want
+
+
+HOT = [(None, "the same words for many rows", "en", "hot", 0)] * 900 + [(i, "w " * (i % 7 + 1) + f"t{i % 400}", "en", "abc"[i % 3], 0)
+                                                                       for i in range(1800)]
+
+
+@pytest.mark.parametrize("module, run", [(sharding, lambda d: sharding.assign_shards(d)), (mixing, lambda d: mixing.mix_report(d))])
+def test_rows_of_one_null_id_spread_over_cells(spark, monkeypatch, module, run):
+    largest, ranked = [], module.with_salted_rank
+
+    def seen(df, keys, salt, order, cells):
+        per = df.groupBy(*keys, F.pmod(salt, F.lit(cells)).alias("c")).count()
+        largest.append(per.agg(F.max("count")).first()[0] or 0)
+        return ranked(df, keys, salt, order, cells)
+
+    monkeypatch.setattr(module, "with_salted_rank", seen)
+    assert run(docs(spark, HOT)).count() == len(HOT)
+    assert len(largest) == 1 and largest[0] < 60  # 900 rows over 64 cells
+
+
+def test_odd_copies_fall_on_the_same_texts_in_every_order(spark):
+    rng = random.Random(3)
+    # Few sizes, ids and texts: many rows tie, some in all but the text, some in everything.
+    given = [(rng.choice([None, *range(40)]), " ".join(rng.choices("abcde", k=rng.choice((2, 5)))), "en",
+              rng.choice(["x", "y", None]), 0) for _ in range(1500)]
+    runs = []
+    for parts in (1, 6):
+        rng.shuffle(given)
+        df = docs(spark, given).repartition(parts)
+        runs.append(Counter((r.doc_id, r.text, r.source) for r in mixing.mixed_documents(df).collect()))
+        report = mixing.mix_report(df).collect()
+        taken = Counter()
+        for r in report:
+            taken[r.source_size, r.target] += r.taken
+        assert all(abs(n - target) <= 5 for (_, target), n in taken.items())
+        assert sum(r.copies for r in report) == sum(runs[-1].values())
+        by_class = defaultdict(list)
+        for r in report:
+            by_class[r.source_size, r["size"]].append(r.copies)
+        assert all(max(c) - min(c) <= 1 for c in by_class.values())
+    assert runs[0] == runs[1]

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martforge.llm import chat, hmm, html_extract, kneser_ney, simhash, winnowing, wordhash
-from martforge.llm.common import low_keys
+from martforge.llm.common import low_keys, lowest
 from martforge.llm.components import connected_components
 from tests.llm import brute
 from tests.llm.frames import DOCS, docs, parquet
@@ -475,3 +475,11 @@ def test_words_of_one_class_are_told_apart_by_state(spark, monkeypatch, hot):
     aa, ab, bb, ba = (rows[held[n]] for n in range(4))
     assert aa.base_score == pytest.approx(ab.base_score) and aa.n_known == ab.n_known == 63
     assert aa.score > ab.score + 0.5 and bb.score > ba.score + 0.5
+
+
+def test_lowest(spark):
+    df = spark.range(5000).withColumn("text", F.lit("row")).repartition(7)
+    key = F.xxhash64("id")
+    want = {r.id for r in df.orderBy(key).limit(30).collect()}
+    assert {r.id for r in lowest(df, key, 30).collect()} == want
+    assert lowest(df.limit(0), key, 3).count() == 0 and lowest(df.limit(2), key, 9).count() == 2
