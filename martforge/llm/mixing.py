@@ -194,23 +194,30 @@ def _odd_cuts(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     """``classes`` with the place (cell, hash) in the order of a class before which rows take the odd
     copies, and how many the rows at that place take. Null if nobody does.
 
-    The cell is found from counts of cells, then the hash from counts of hashes within the cells found."""
-    cell = _cut(keyed, [], "_cell", classes.filter("_odd > 0").select(*CLASS, F.col("_odd").alias("_left")))
-    near = keyed.join(cell, CLASS).filter(F.col("_cell") == F.col("_cut_cell"))
-    place = _cut(near, ["_cut_cell"], "_hash", cell.select(*CLASS, "_left"))
+    The cell is found from counts of cells, then the hash from counts of hashes within the cells found.
+    Rows are counted before they meet the classes, by class and cell, so neither a hot class nor equal rows meet in a task."""
+    wanted = classes.filter("_odd > 0").select(*CLASS, F.col("_odd").alias("_left"))
+    cell = _cut(_counts(keyed, "_cell"), "_cell", wanted)
+    hashes = _counts(keyed, "_cell", "_hash").join(cell.withColumnRenamed("_cut_cell", "_cell"), [*CLASS, "_cell"])
+    place = _cut(hashes.withColumnRenamed("_cell", "_cut_cell"), "_hash")
     return classes.drop("_odd").join(place, CLASS, "left")
 
 
-def _cut(rows: DataFrame, also: list[str], by: str, wanted: DataFrame) -> DataFrame:
-    """For each class the value of ``by`` at which its rows, counted in that order, exceed ``_left``,
-    and what of ``_left`` falls to that value."""
-    counts = rows.groupBy(*CLASS, *also, by).agg(F.count(F.lit(1)).alias("_n"))
+def _counts(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*CLASS, *by).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _cut(counts: DataFrame, by: str, wanted: DataFrame | None = None) -> DataFrame:
+    """For each class the value of ``by`` at which its rows, counted in that order, exceed ``_left``
+    (of ``wanted``, if not at hand), and what of ``_left`` falls to that value."""
     upto = F.sum("_n").over(Window.partitionBy(*CLASS).orderBy(by).rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
+    counts = counts.withColumn("_upto", upto)
+    if wanted is not None:
+        counts = counts.join(wanted, CLASS)
     before = F.col("_upto") - F.col("_n")
-    return (counts.withColumn("_upto", upto).join(wanted, CLASS)
-            .filter((before <= F.col("_left")) & (F.col("_left") < F.col("_upto")))
-            .select(*CLASS, *also, F.col(by).alias(f"_cut{by}"), (F.col("_left") - before).alias("_left")))
+    return (counts.filter((before <= F.col("_left")) & (F.col("_left") < F.col("_upto")))
+            .withColumn("_left", F.col("_left") - before).withColumnRenamed(by, f"_cut{by}").drop("_n", "_upto"))
 
 
 def _row_columns() -> list[Column]:
