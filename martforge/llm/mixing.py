@@ -176,7 +176,8 @@ def mix(rows: DataFrame) -> DataFrame:
     # Rows that agree in id and text with the one at the cut: any of them may take the odd copies.
     tied = F.coalesce((at == cut) & (F.col("_left") > 0), F.lit(False))
     odd = F.coalesce(at < cut, F.lit(False)).cast("long")
-    ranked = with_salted_rank(placed.filter(tied).drop("_cell"), CLASS, F.xxhash64("row_id"), [F.col("row_id")], cells)
+    # Dealt out by row first: the ranks would else be taken where the join has put the whole class.
+    ranked = with_salted_rank(placed.filter(tied).drop("_cell").repartition("row_id"), CLASS, F.xxhash64("row_id"), [F.col("row_id")], cells)
     of_tied = ranked.withColumn("copies", F.col("_each") + (F.col("_rank") < F.col("_left")).cast("long")).drop("_rank")
     of_others = placed.filter(~tied).withColumn("copies", F.col("_each") + odd).drop("_cell")
     return (of_others.unionByName(of_tied).withColumn("taken", F.col("copies") * F.col("size"))
