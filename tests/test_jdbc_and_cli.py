@@ -6,6 +6,8 @@ import os
 import subprocess
 import sys
 
+import duckdb
+
 from martforge.sources import jdbc as J
 
 
@@ -29,6 +31,10 @@ class _Reader:
         self.log.append(dict(self.opts))
         return _Frame(self.bounds)
 
+    def jdbc(self, url, table, predicates, properties):
+        self.log.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
+        return _Frame(self.bounds)
+
 
 class _Frame:
     def __init__(self, bounds):
@@ -37,6 +43,9 @@ class _Frame:
     def first(self):
         return {"lo": self.bounds[0], "hi": self.bounds[1]}
 
+    def collect(self):
+        return [{"lo": b} for b in self.bounds if b is not None]
+
 
 class _Spark:
     def __init__(self, bounds=(1, 1000)):
@@ -67,6 +76,32 @@ def test_partitioned_tables_are_read_in_slices():
     assert small and "partitionColumn" not in small[0]
 
 
+def test_quantile_slices_hold_equally_many_rows_of_gapped_keys():
+    db = duckdb.connect()
+    # Dense ids, a gap of 10^9, few ids far apart, one hot id, and null.
+    db.execute("CREATE TABLE t AS SELECT range AS id FROM range(4000) UNION ALL SELECT 1000000000 + range * 1000 FROM range(4000)"
+               " UNION ALL SELECT 77 FROM range(3000) UNION ALL SELECT NULL FROM range(5)")
+    lows = [r[0] for r in db.execute(J.quantile_query("id", "t", 8)).fetchall()]
+    cuts = J.quantile_predicates("id", lows)
+    sizes = [db.execute(f"SELECT count(*) FROM t WHERE {c}").fetchone()[0] for c in cuts]
+    assert sum(sizes) == 11_005  # each row in one slice
+    assert 6 <= len(cuts) <= 8 and max(sizes) <= 3000 + 2 * 11_000 // 8  # only the hot id is larger
+    assert J.quantile_predicates("id", []) == J.quantile_predicates("id", [5, 5]) == []
+
+
+def test_quantile_slices_are_read_by_predicates():
+    spark = _Spark(bounds=(40, 1, 900, 40))
+    J.jdbc_sources(spark, "jdbc:x", {"user": "u"}, num_partitions=4, by_quantiles=True)
+    read = {o["dbtable"]: o for o in spark.log if "predicates" in o}
+    assert len(read) == 6
+    o = read["vendas.nota_fiscal"]
+    assert o["predicates"] == ["id < 40 OR id IS NULL", "id >= 40 AND id < 900", "id >= 900"]
+    assert (o["user"], o["fetchsize"]) == ("u", "10000")
+    empty = _Spark(bounds=(None,))
+    J.read_jdbc(empty, "jdbc:x", dbtable="t", partition_column="id", by_quantiles=True)
+    assert empty.log[-1]["dbtable"] == "t" and "predicates" not in empty.log[-1]
+
+
 def test_empty_partitioned_table_falls_back_to_one_read():
     spark = _Spark(bounds=(None, None))
     J.read_jdbc(spark, "jdbc:x", dbtable="t", partition_column="id")

@@ -104,6 +104,21 @@ def test_empty_month_with_a_fallback_lake(spark, sf_dir, tmp_path):
     assert L.read_lake_month(spark, str(tmp_path / "never"), 2005, 1).columns == L.LAKE_ROW.names
 
 
+def test_a_failed_month_leaves_the_old_one(spark, run, tmp_path):
+    _, _, res = run
+    ano, mes = L.month_of(FIXTURE_CONFIG.ds)
+    rows = L.read_lake_month(spark, res.lake_root, ano, mes)
+    lake = str(tmp_path / "lake")
+    wrote = L.write_lake(rows, lake)
+    # The last of several tasks fails after the others have written their files.
+    broken = rows.repartition(4).withColumn(
+        "cidade", F.when(F.spark_partition_id() == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("cidade")))
+    with pytest.raises(Exception, match="lost"):
+        L.write_lake(broken, lake)
+    kept = L.read_lake_month(spark, lake, ano, mes)
+    assert kept.count() == wrote and kept.exceptAll(rows).count() == 0
+
+
 def test_an_emptied_month_counts_this_attempt_only(spark, run, tmp_path):
     _, _, res = run
     ano, mes = L.month_of(FIXTURE_CONFIG.ds)
