@@ -6,7 +6,7 @@ Layout of one run (all under ``root``, a shared-storage URI)::
     root/runs/<run_id>/warehouse/<table>    dims + fact
     root/runs/<run_id>/mart/<table>         the two marts
     root/keys/<dim>/                        surrogate keys given so far (shared by runs)
-    root/lake/ano=YYYY/mes=M/               month partitions (shared by runs)
+    root/lake/data/<id>/ano=YYYY/mes=M/     month partitions (shared by runs), named by lake/_commits
     root/_PUBLISHED/<run_id>/               one entry per published run
 
 A run's fact goes with its own dimensions, so a run is published as a whole:
@@ -200,8 +200,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     warnings += done["key_check"]
     warnings += [f"{k}: {n}" for k, n in sorted(metrics.items()) if n and k.endswith("_fora")]
 
-    # The shared lake changes only after the checks. A month without sales creates
-    # no ano=/mes= folder: dynamic overwrite only touches partitions that get rows.
+    # The shared lake changes only after the checks. A month without sales changes nothing.
     location = None
     if cfg.ds:
         ano, mes = L.month_of(cfg.ds)

@@ -119,6 +119,42 @@ def test_a_failed_month_leaves_the_old_one(spark, run, tmp_path):
     assert kept.count() == wrote and kept.exceptAll(rows).count() == 0
 
 
+def test_a_month_is_switched_by_its_commit(spark, run, tmp_path, monkeypatch):
+    """A writer dies after its last file and before its commit; a reader that holds the old month keeps it."""
+    _, _, res = run
+    ano, mes = L.month_of(FIXTURE_CONFIG.ds)
+    rows, lake = L.read_lake_month(spark, res.lake_root, ano, mes), str(tmp_path / "lake")
+    other = rows.withColumn("mes", F.lit(mes % 12 + 1))
+    assert L.write_lake(rows.unionByName(other), lake) == 2 * res.counts["lake_month"]
+    held = L.read_lake_month(spark, lake, ano, mes)
+    with monkeypatch.context() as m:
+        m.setattr(L.VersionedTable, "change", lambda *a: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(OSError, match="died"):
+            L.write_lake(rows.limit(3), lake)
+    assert L.read_lake_month(spark, lake, ano, mes).count() == res.counts["lake_month"]
+    assert L.write_lake(rows.limit(3), lake) == 3
+    assert L.read_lake_month(spark, lake, ano, mes).count() == 3
+    assert held.count() == res.counts["lake_month"]
+    assert L.lake_months(spark, lake) == {(ano, mes): 3, (ano, mes % 12 + 1): res.counts["lake_month"]}
+    # Two folders hold current months; the one of the dead writer goes.
+    assert len(L.VersionedTable(spark, lake).vacuum(keep=1, min_age_s=0)) == 1
+    assert L.read_lake_month(spark, lake, ano, mes % 12 + 1).exceptAll(other).count() == 0
+
+
+def test_plain_month_folders_are_taken_over(spark, run, tmp_path):
+    _, _, res = run
+    ano, mes = L.month_of(FIXTURE_CONFIG.ds)
+    rows, lake = L.read_lake_month(spark, res.lake_root, ano, mes), str(tmp_path / "lake")
+    old = rows.unionByName(rows.withColumn("mes", F.lit(mes % 12 + 1)))
+    old.write.partitionBy("ano", "mes").parquet(lake)
+    n = res.counts["lake_month"]
+    assert L.read_lake_month(spark, lake, ano, mes).exceptAll(rows).count() == 0
+    assert L.lake_months(spark, lake) == {(ano, mes): n, (ano, mes % 12 + 1): n}
+    assert L.write_lake(rows.limit(5), lake) == 5
+    assert L.lake_months(spark, lake) == {(ano, mes): 5, (ano, mes % 12 + 1): n}
+    assert [L.read_lake_month(spark, lake, ano, m).count() for m in (mes, mes % 12 + 1, 99)] == [5, n, 0]
+
+
 def test_an_emptied_month_counts_this_attempt_only(spark, run, tmp_path):
     _, _, res = run
     ano, mes = L.month_of(FIXTURE_CONFIG.ds)
