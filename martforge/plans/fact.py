@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
-from martforge.functions.measures import discount, discount_pct, pct_overflowed
-from martforge.schemas import FATO_VENDA, conform
+from martforge.functions.measures import discount, discount_pct, pct_overflowed, ratio_pct
+from martforge.schemas import FATO_VENDA, REJEITOS, conform
 from martforge.sources.tables import SourceTables
 
 
@@ -153,17 +153,37 @@ def _times(cond: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
 
 
-#: Counted while the fact is written: rows without a key, lines outside the
-#: calendar, and discounts that do not fit pct_desconto.
-def fact_metrics() -> dict:
+def _faults() -> dict[str, Column]:
+    """What may be wrong with a line of the fact: no key, a day outside the calendar, a
+    discount that does not fit pct_desconto."""
     return {
-        "nulos_sk_cliente": _times(F.col("sk_cliente").isNull()),
-        "nulos_sk_localidade": _times(F.col("sk_localidade").isNull()),
-        "sem_calendario": _times(F.col("sk_tempo").isNull()),
-        "pct_desconto_fora": _times(pct_overflowed(F.col("pct_desconto"), F.col("desconto"), F.col("valor_unitario"))),
+        "nulos_sk_cliente": F.col("sk_cliente").isNull(),
+        "nulos_sk_localidade": F.col("sk_localidade").isNull(),
+        "sem_calendario": F.col("sk_tempo").isNull(),
+        "pct_desconto_fora": pct_overflowed(F.col("pct_desconto"), F.col("desconto"), F.col("valor_unitario")),
     }
 
 
+def fact_metrics() -> dict[str, Column]:
+    """Counts of the faults, for observation while the fact is written."""
+    return {name: _times(fault) for name, fault in _faults().items()}
+
+
+def rejected_lines(fact: DataFrame) -> DataFrame:
+    """The lines of a written fact that have a fault, each once: ``motivos`` names its faults (in the
+    order of ``fact_metrics``, comma-joined) and ``pct_calculado`` has the percentage that was
+    computed, also where it did not fit (null where there is none: a price of zero or null).
+    The lines stay in the fact. The filter is on nulls alone, so it reaches the
+    scan and row groups without a null in these columns are not read."""
+    named = F.concat_ws(",", *[F.when(fault, F.lit(name)) for name, fault in _faults().items()])
+    maybe = (F.col("sk_cliente").isNull() | F.col("sk_localidade").isNull() | F.col("sk_tempo").isNull()
+             | F.col("pct_desconto").isNull())
+    pct = F.round(ratio_pct(F.col("desconto"), F.col("valor_unitario")), 2)
+    rows = fact.where(maybe).select("*", pct.try_cast(REJEITOS["pct_calculado"].dataType).alias("pct_calculado"),
+                                    named.alias("motivos"))
+    return conform(rows.where("motivos <> ''"), REJEITOS)
+
+
 def fact_null_keys(fact: DataFrame) -> DataFrame:
     """Null counts of the customer and location keys (one row)."""
     return fact.agg(

@@ -3,7 +3,7 @@
 Layout of one run (all under ``root``, a shared-storage URI)::
 
     root/runs/<run_id>/staging/<relation>   source snapshot (optional)
-    root/runs/<run_id>/warehouse/<table>    dims + fact
+    root/runs/<run_id>/warehouse/<table>    dims + fact + the fact's lines with a fault (rejeitos)
     root/runs/<run_id>/mart/<table>         the two marts
     root/keys/<dim>/                        surrogate keys given so far (shared by runs)
     root/lake/data/<id>/ano=YYYY/mes=M/     month partitions (shared by runs), named by lake/_commits
@@ -175,6 +175,11 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
         return [f"{r['tabela']}: {r['chaves_duplicadas']} duplicated natural keys"
                 for r in dup.where("chaves_duplicadas > 0").collect()]
 
+    def rejects() -> int:
+        # The counts of the fact's write tell whether it has to be read for them.
+        faulty = FT.rejected_lines(fact) if any(metrics[k] for k in FT.fact_metrics()) else spark.createDataFrame([], TABLES["rejeitos"])
+        return write_folder(faulty, f"{wh}/rejeitos", TABLES["rejeitos"])
+
     mart = f"{run_root}/mart"
     # One pre-aggregate of the fact feeds both marts; it is small (months x
     # locations) and kept for the two writes so the fact is scanned once.
@@ -182,6 +187,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
     try:
         done = parallel({
             "key_check": duplicated_keys,
+            "rejects": rejects,
             **({f"keys_{n}": lambda n=n: D.record_keys(n, dims[n], key_map(n)) for n in D.KEYED_DIMENSIONS}
                if stable_keys else {}),
             "vendas_ano_mes": lambda: _materialise(
@@ -194,6 +200,7 @@ def run_pipeline(spark: SparkSession, src: SourceTables, cfg: PipelineConfig, ro
         })
     finally:
         pre.unpersist()
+    metrics["rejeitos"] = done["rejects"]
     t = tick("marts", t)
 
     warnings = Q.assert_valid(Q.validation_report(Q.counts_frame(spark, counts)))

@@ -328,6 +328,22 @@ def q_lake_write_fallback(spark, sf):
     return rows.withColumn("destino", F.lit("fallback" if wrote.location == fallback and wrote.reason else "primary"))
 
 
+def q_rejected_lines(spark, sf):
+    """The faulty lines that a run with a short calendar wrote beside its fact."""
+    return _wh(spark, sf, **H10_CALENDAR).run.table(spark, "rejeitos")
+
+
+def q_rejected_prices(spark, sf):
+    """Faulty lines of the fact with every fourth invoice repriced at a thousandth."""
+    w = _wh(spark, sf)
+    unit = F.when(F.col("id_nota") % 4 == 0, (F.col("valor_unitario") / 1000).cast("decimal(18,2)")) \
+        .otherwise(F.col("valor_unitario"))
+    lines = w.fact.withColumns({"valor_unitario": unit, "_lista": F.col("valor_unitario") + F.col("desconto")})
+    lines = lines.withColumn("desconto", discount(F.col("_lista"), F.col("valor_unitario")))
+    lines = lines.withColumn("pct_desconto", discount_pct(F.col("desconto"), F.col("valor_unitario")))
+    return FT.rejected_lines(lines)
+
+
 def q_pct_overflow_counts(spark, sf):
     """What a run counts when percentages do not fit: every fourth invoice repriced
     at a thousandth, and the targets of the cities up to J at a five-thousandth."""
@@ -584,6 +600,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_misses": q_calendar_misses,
     "fact_null_keys": q_fact_null_keys,
     "pct_overflow_counts": q_pct_overflow_counts,
+    "rejected_lines": q_rejected_lines,
+    "rejected_prices": q_rejected_prices,
     "fact_star_inner": q_fact_star_inner,
     "vendas_ano_mes": q_vendas_ano_mes,
     "vendas_localidade": q_vendas_localidade,
@@ -662,6 +680,23 @@ def _ctes(cfg: PipelineConfig = FIXTURE_CONFIG) -> str:
     return "WITH " + ",\n".join(O.sources_sql() + O.dims_sql(cfg) + O.fact_sql() + O.marts_sql(cfg))
 
 
+def _rejected_sql(lines: str) -> str:
+    """Lines with a null key or with a percentage above 999.99."""
+    return f"""
+, ln AS ({lines})
+, pc AS (SELECT *, CAST(round(CAST(desconto AS DOUBLE) / CAST(NULLIF(valor_unitario, 0) AS DOUBLE) * 100, 2)
+                        AS DECIMAL(38,2)) AS pct_calculado FROM ln)
+, why AS (SELECT *, concat_ws(',', CASE WHEN sk_cliente IS NULL THEN 'nulos_sk_cliente' END,
+                 CASE WHEN sk_localidade IS NULL THEN 'nulos_sk_localidade' END,
+                 CASE WHEN sk_tempo IS NULL THEN 'sem_calendario' END,
+                 CASE WHEN abs(pct_calculado) > 999.99 THEN 'pct_desconto_fora' END) AS motivos FROM pc)
+SELECT sk_tempo, sk_produto, sk_cliente, sk_vendedor, sk_localidade, id_nota, quantidade, valor_unitario,
+       valor_venda_real, desconto,
+       CASE WHEN abs(pct_calculado) <= 999.99 THEN CAST(pct_calculado AS DECIMAL(5,2)) END AS pct_desconto,
+       pct_calculado, motivos
+FROM why WHERE motivos <> ''"""
+
+
 def _monthly_cols() -> str:
     pct = f"round({_ratio_sql('valor_total_real', 'valor_total_esperado')}, 1)"
     dev = "CAST(valor_total_real - valor_total_esperado AS DECIMAL(18,2))"
@@ -754,6 +789,13 @@ UNION ALL SELECT 'vendas_localidade', count(*) FROM vendas_localidade"""
                                 "id_cliente FROM nota_fiscal",
         "surrogate_key_text": "SELECT CAST(row_number() OVER (ORDER BY c_name) AS BIGINT) AS sk_nome, c_name, "
                               "c_custkey FROM customer",
+        "rejected_lines": _ctes(h10) + _rejected_sql("SELECT * FROM fato_venda"),
+        "rejected_prices": base + """
+, rp AS (SELECT *, CASE WHEN id_nota % 4 = 0
+                THEN CAST(CAST(valor_unitario AS DECIMAL(28,8)) / 1000 AS DECIMAL(18,2)) ELSE valor_unitario END AS u
+         FROM fato_venda)""" + _rejected_sql("""
+  SELECT * EXCLUDE (valor_unitario, desconto, u), u AS valor_unitario,
+         CAST(valor_unitario + desconto - u AS DECIMAL(18,2)) AS desconto FROM rp"""),
         "pct_overflow_counts": base + """
 , l AS (SELECT valor_unitario + desconto AS lista, CASE WHEN id_nota % 4 = 0
                THEN CAST(CAST(valor_unitario AS DECIMAL(28,8)) / 1000 AS DECIMAL(18,2)) ELSE valor_unitario END AS u

@@ -49,6 +49,8 @@ FATO_VENDA = _s(
     ("quantidade", T.IntegerType()), ("valor_unitario", MONEY), ("valor_venda_real", MONEY),
     ("desconto", MONEY), ("pct_desconto", PCT_DISCOUNT),
 )
+# Lines of the fact with a fault: what is wrong and the percentage as computed.
+REJEITOS = T.StructType([*FATO_VENDA.fields, *_s(("pct_calculado", T.DecimalType(38, 2)), ("motivos", T.StringType()))])
 # Lake rows; ano/mes are the directory partition columns, not file columns.
 LAKE_ROW = _s(
     ("data", T.DateType()), ("quantidade", T.IntegerType()), ("valor_unitario", MONEY),
@@ -74,6 +76,7 @@ TABLES = {
     "dim_vendedor": DIM_VENDEDOR,
     "dim_localidade": DIM_LOCALIDADE,
     "fato_venda": FATO_VENDA,
+    "rejeitos": REJEITOS,
     "vendas_ano_mes": VENDAS_ANO_MES,
     "vendas_localidade": VENDAS_LOCALIDADE,
 }

@@ -4,6 +4,7 @@ atomic publish."""
 import dataclasses
 import os
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from martforge.plans import fact as FT
 from martforge.plans import lake as L
 from martforge.plans.fact import sales_lines
 from martforge.plans.pipeline import current_run, read_published, run_pipeline
+from martforge.schemas import FATO_VENDA
 from martforge.sources.fixture import fixture_sources
 
 
@@ -196,12 +198,45 @@ def test_metrics_count_what_the_fact_holds(spark, run):
     assert res.metrics["pct_desconto_fora"] == fact.where("pct_desconto IS NULL AND valor_unitario <> 0").count()
 
 
+def test_rejected_lines_of_awkward_rows(spark):
+    """Nulls everywhere, a price of zero, a fault of each kind, several at once, a repeated line, none at all."""
+    cols = FATO_VENDA.names
+    line = dict(sk_tempo=1, sk_produto=1, sk_cliente=1, sk_vendedor=1, sk_localidade=1, id_nota=1, quantidade=1,
+                valor_unitario=Decimal("2.00"), valor_venda_real=Decimal("2.00"), desconto=Decimal("1.00"),
+                pct_desconto=Decimal("50.00"))
+    huge = dict(valor_unitario=Decimal("0.01"), desconto=Decimal("-5.00"), pct_desconto=None)
+    rows = [line, line | dict(valor_unitario=Decimal("0.00"), pct_desconto=None), line | dict(sk_vendedor=None),
+            line | dict(sk_tempo=None), line | huge, line | huge, line | huge | dict(sk_cliente=None, sk_localidade=None),
+            dict.fromkeys(cols)]
+    fact = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], FATO_VENDA)
+    got = sorted((r["motivos"], r["pct_calculado"]) for r in FT.rejected_lines(fact).collect() if r["id_nota"])
+    far = Decimal("-50000.00")
+    assert got == [("nulos_sk_cliente,nulos_sk_localidade,pct_desconto_fora", far), ("pct_desconto_fora", far),
+                   ("pct_desconto_fora", far), ("sem_calendario", Decimal("50.00"))]
+    empty = [r for r in FT.rejected_lines(fact).collect() if r["id_nota"] is None]
+    assert [r["motivos"] for r in empty] == ["nulos_sk_cliente,nulos_sk_localidade,sem_calendario"]
+    assert FT.rejected_lines(fact.limit(0)).count() == 0
+
+
+def test_rejects_filter_reaches_the_scan(spark, run):
+    _, _, res = run
+    plan = FT.rejected_lines(res.table(spark, "fato_venda"))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("]")[0]
+    assert "IsNull(sk_tempo)" in pushed and "IsNull(pct_desconto)" in pushed and "Exchange" not in plan
+
+
 def test_strict_percentages_fail_the_run(spark, sf_dir, tmp_path):
     src = fixture_sources(spark, sf_dir)
     cheap = dataclasses.replace(src, item_nota_fiscal=src.item_nota_fiscal.withColumn(
         "valor_unitario", F.lit("0.01").cast("decimal(18,2)")))
     lenient = run_pipeline(spark, cheap, FIXTURE_CONFIG, str(tmp_path / "a"), publish=False)
     assert lenient.metrics["pct_desconto_fora"] > 0
+    faulty = lenient.table(spark, "rejeitos")
+    assert faulty.count() == lenient.metrics["rejeitos"]
+    for name in FT.fact_metrics():
+        assert faulty.where(F.array_contains(F.split("motivos", ","), name)).count() == lenient.metrics[name], name
+    lost = faulty.where(F.array_contains(F.split("motivos", ","), "pct_desconto_fora"))
+    assert lost.where("pct_desconto IS NULL AND abs(pct_calculado) > 999.99").count() == lost.count()
     assert any(w.startswith("pct_desconto_fora") for w in lenient.warnings)
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_OVERFLOW"):
         run_pipeline(spark, cheap, FIXTURE_CONFIG.with_(strict_pct=True), str(tmp_path / "b"), publish=False)
