@@ -19,7 +19,8 @@ feature (both bounded by fixed vocabularies) reach the driver.
 Defined cases: null text is empty; empty texts have no spans; repeated rows and null
 ids are answered row by row; other columns are not read; with no candidates at all
 the classifier falls back to its prior. Patterns are written so that matching is
-linear in the text (possessive runs), however long a text or word is.
+linear in the text (possessive runs), however long a text or word is; contexts are cut from
+blocks of the text, and overlaps with many base spans are found by search in sorted places.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("email", "phone", "card", "ssn", "iban", "name", "secret")
 CONTEXT_CHARS = 32
 CHUNK = 256
+#: Code points of a block of text (contexts are cut from blocks, not from the whole text), and
+#: base spans from which overlaps are searched for in sorted places instead of one by one.
+BLOCK, MANY = 1024, 32
 LABELERS = ("regex", "gazetteer", "context")
 
 # Fixed patterns of the base spans. A run is entered only at its start (or where
@@ -193,10 +197,45 @@ def by_kind(kind: Column, per_kind: dict[str, Column], default: Column) -> Colum
     return c
 
 
-def described(text: Column, kind: Column, x: Column, base: bool) -> Column:
-    """A span with its votes (-1, 0, 1 by labeler) and its features for the classifier."""
+def blocks_of(text: Column) -> Column:
+    """The text in pieces of BLOCK code points."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def context(blocks: Column, s: Column) -> Column:
+    """The CONTEXT_CHARS code points before place ``s``, from its block and the one before."""
+    at, off = F.floor(s / BLOCK).cast("int"), s % BLOCK
+    here = F.coalesce(F.get(blocks, at), F.lit(""))
+    near = F.substring(here, F.greatest(off - CONTEXT_CHARS + 1, F.lit(1)), F.least(off, F.lit(CONTEXT_CHARS)))
+    cut = (off < CONTEXT_CHARS) & (at > 0)
+    return F.when(cut, F.concat(F.right(F.get(blocks, at - 1), F.lit(CONTEXT_CHARS) - off), near)).otherwise(near)
+
+
+def below(places: Column, value: Column) -> Column:
+    """How many of ascending ``places`` are less than ``value``, by halving steps."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda n, k: F.when(
+        (F.size(places) - n >= k) & (F.get(places, n + k - 1) < value), n + k).otherwise(n))
+
+
+def apart(spans: Column, base: Column) -> Column:
+    """The spans that overlap no base span. A base span that ends before x starts also starts before
+    x ends, so x is free if as many base spans end by its start as start before its end."""
+    def one_by_one() -> Column:
+        return F.filter(spans, lambda x: ~F.exists(base, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
+
+    def searched(places: Column) -> Column:
+        return F.filter(spans, lambda x: below(places["s"], x["e"]) == below(places["e"], x["s"] + 1))
+
+    places = F.struct(F.array_sort(F.transform(base, lambda y: y["s"])).alias("s"),
+                      F.array_sort(F.transform(base, lambda y: y["e"])).alias("e"))
+    return F.when(F.size(base) <= MANY, one_by_one()).otherwise(let(places, searched))
+
+
+def described(before: Column, kind: Column, x: Column, base: bool) -> Column:
+    """A span with its votes (-1, 0, 1 by labeler) and its features for the classifier; ``before``
+    is the text in front of it."""
     m = x["m"]
-    before = F.substring(text, F.greatest(x["s"] - CONTEXT_CHARS + 1, F.lit(1)), F.least(x["s"], F.lit(CONTEXT_CHARS)))
     n = F.length(digits(m))
     sign = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(-1))
     if base:
@@ -218,8 +257,17 @@ def described(text: Column, kind: Column, x: Column, base: bool) -> Column:
                     features.alias("features"))
 
 
-def _described_base(text: Column, kind: str) -> Column:
-    return F.transform(base_spans(text, kind), lambda x: described(text, F.lit(kind), x, True))
+def _described_all(text: Column, spans: Column, kind: str | None = None) -> Column:
+    """Spans (array of s, e, m) described, base ones of ``kind`` or added ones; blocks only where there are spans."""
+    def one(x: Column, blocks: Column) -> Column:
+        told = F.struct(context(blocks, x["s"]).alias("before"), (F.lit(kind) if kind else kind_of(x["m"])).alias("kind"))
+        return let(told, lambda t: described(t["before"], F.lit(kind) if kind else t["kind"], x, kind is not None))
+
+    def with_blocks(found: Column) -> Column:
+        blocks = F.when(F.size(found) > 0, blocks_of(text)).otherwise(F.array().cast("array<string>"))
+        return let(blocks, lambda b: F.transform(found, lambda x: one(x, b)))
+
+    return let(spans, with_blocks)
 
 
 def of_kind(spans: Column | str, kind: str) -> Column:
@@ -229,11 +277,10 @@ def of_kind(spans: Column | str, kind: str) -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, ``base`` and ``extra``: the described spans of each document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.concat(*[_described_base(text, k) for k in BASE_KINDS])
+    base = F.concat(*[_described_all(text, base_spans(text, k), k) for k in BASE_KINDS])
 
     def extra(b: Column) -> Column:
-        free = F.filter(located(text, ANY_EXTRA), lambda x: ~F.exists(b, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
-        return F.transform(free, lambda x: described(text, kind_of(x["m"]), x, False))
+        return let(located(text, ANY_EXTRA), lambda found: _described_all(text, apart(found, b)))
 
     none = F.transform(F.slice(F.col("base"), 1, 0), lambda x: x)
     return (docs.select("doc_id", F.col("text"), base.alias("base"))

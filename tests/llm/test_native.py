@@ -53,6 +53,43 @@ def test_places_survive_many_matches(spark):
     assert [(x.s, x.e) for x in df.first().m] == [(i, i + 2) for i in range(len(text)) if text[i:i + 2] == "@1"]
 
 
+def test_pii_contexts_and_overlaps_of_many_spans(spark):
+    """Contexts across blocks equal slices of the text; overlaps found by search equal those found one by one."""
+    import random
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("aé𝄞\n 7") for _ in range(n)) for n in (0, 1, 31, 1023, 1024, 1025, 5000)]
+    rows = [(t, p) for t in texts for p in sorted({0, len(t), *(p for p in (1, 31, 32, 33, 1023, 1024, 1030, 1056, 2048, 4999) if p <= len(t))})]
+    df = spark.createDataFrame(rows, "t string, p int")
+    for r in df.select("*", pii.context(pii.blocks_of(F.col("t")), F.col("p")).alias("c")).collect():
+        assert r.c == r.t[max(0, r.p - pii.CONTEXT_CHARS):r.p], (len(r.t), r.p)
+    spans = []
+    for n in (0, 3, pii.MANY, pii.MANY + 1, 400):
+        at = [rng.randrange(3000) for _ in range(n)]
+        base = [(s, s + rng.randrange(1, 30)) for s in at]
+        at = [rng.randrange(3000) for _ in range(300)]
+        spans.append(([(s, s + rng.randrange(1, 30)) for s in at], base))
+    df = spark.createDataFrame(spans, "x array<struct<s:int,e:int>>, b array<struct<s:int,e:int>>")
+    for r in df.select("*", pii.apart(F.col("x"), F.col("b")).alias("free")).collect():
+        assert r.free == [x for x in r.x if not any(y.s < x.e and x.s < y.e for y in r.b)]
+
+
+def test_pii_time_is_linear_in_the_spans(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"mail u{i}@site{i}.com or call 0{i % 800 + 100}-555-{i % 9000 + 1000}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        t = time.time()
+        r = pii.candidates(df).selectExpr("size(base) b", "size(extra) x").first()
+        assert (r.b, r.x) == (n, n)
+        return time.time() - t
+
+    seconds(50)
+    few, many = min(seconds(2000) for _ in range(2)), seconds(16000)
+    print("PII seconds", few, many)
+    assert many < 16 * few + 2  # eight times the spans; quadratic would take 64 times as long
+
+
 def test_pii_awkward_rows(awkward, empty):
     rows = pii.pii_report(awkward).collect()
     assert Counter(r.doc_id for r in rows) == Counter(d[0] for d in DOCS)
