@@ -1,5 +1,6 @@
 """Winnowing, SimHash, chat, HTML, Kneser-Ney and the hidden Markov model."""
 
+import math
 import random
 import re
 import time
@@ -314,6 +315,70 @@ def test_kneser_ney_is_a_distribution(spark):
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def brute_kneser_ney(texts):
+    """log10 probability of a text, from dictionaries over all ``texts``."""
+    def grams(text):
+        w = ["<s>", "<s>", *text.lower().split(), "</s>"]
+        return [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+
+    tri = Counter(g for t in texts for g in grams(t))
+    bi = Counter(g[1:] for g in tri)
+    uni = Counter(g[1:] for g in bi)
+
+    def cut(counts):
+        n1, n2, n3, n4 = (sum(c == k for c in counts.values()) + 0.5 for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        d = [min(max(x, 0.1), k - 0.05) for x, k in ((1 - 2 * y * n2 / n1, 1), (2 - 3 * y * n3 / n2, 2), (3 - 4 * y * n4 / n3, 3))]
+        return lambda c: d[min(c, 3) - 1]
+
+    levels = []
+    for counts in (bi, tri):
+        of, total, left = cut(counts), Counter(), Counter()
+        for g, c in counts.items():
+            total[g[:-1]] += c
+            left[g[:-1]] += of(c)
+        levels.append((counts, of, total, left))
+    of1, n = cut(uni), sum(uni.values())
+    unknown = sum(of1(c) for c in uni.values()) / n / (len(uni) + 1)
+
+    def log10(text):
+        found = 0.0
+        for g in grams(text):
+            p = unknown + ((uni[g[2:]] - of1(uni[g[2:]])) / n if g[2:] in uni else 0)
+            for (counts, of, total, left), key in zip(levels, (g[1:], g), strict=True):
+                if t := total[key[:-1]]:
+                    p = (counts[key] - of(counts[key]) if key in counts else 0) / t + left[key[:-1]] / t * p
+            found += math.log10(p)
+        return found
+    return log10
+
+
+def test_kneser_ney_trains_on_every_trusted_text(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "RANGE_ENTRIES", 1000)
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(60)], [1 / (j + 1) for j in range(60)], k=rng.randrange(0, 12))), "en")
+            for i in range(3600)] + [(3600, None, None), (3601, "never seen", "en"), (3602, "w0 " * 300_000 + "last words", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(3500), 3602]], "doc_id long, quality int, toxic int")
+    held = {r[0] for r in labels.filter("pmod(xxhash64(doc_id), 5) = 0").select("doc_id").collect()}
+    trusted = [t for i, t, _ in rows if (i < 3500 or i == 3602) and i not in held]
+    assert len(trusted) > 2000
+    log10 = brute_kneser_ney(trusted)
+    got = {r.doc_id: r for r in kneser_ney.quality_scores(df, labels).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows[::7] + rows[-3:]:
+        assert got[i].n_tokens == len((t or "").split()) + 1
+        assert got[i].log10_prob == pytest.approx(log10(t or ""), rel=1e-4, abs=1e-5)
+
+
+def test_training_takes_one_text_of_an_id(spark):
+    rows = [(1, "same"), (1, "same"), (2, "one"), (2, "other"), (3, None), (None, "null id"), (4, "untrusted")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang").repartition(3)
+    ids = spark.createDataFrame([(1,), (2,), (3,), (None,)], "doc_id long")
+    got = sorted(r.text for r in kneser_ney.training_texts(kneser_ney.blocks_of(df), ids).collect())
+    assert len(got) == 2 and got[-1] == "same" and got[0] in ("one", "other")
+
+
 def test_quality_scores(spark, awkward, empty):
     rng = random.Random(1)
     good = [(i, " ".join(rng.choice(["the cat sat", "a dog lay", "on the mat", "by the door"]) for _ in range(20)), "en", "s", 0)
