@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -67,38 +68,47 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a text, then the end; and their classes by suffix."""
-    norm = b" ".join((text or "").encode().lower().split())
-    starts, ends = word_bounds(norm)
-    data = np.frombuffer(norm, np.uint8)
+def tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of some texts, and the end as the last of them: their hashes, and their classes by
+    suffix. Then which of them each token is, the words of a text and its end after one another; and the tokens of each text."""
+    norm = pc.ascii_lower(pc.ascii_trim_whitespace(text.fill_null("")))
+    empty = pc.equal(norm, "").to_numpy(zero_copy_only=False)
+    lists = pc.ascii_split_whitespace(norm)
+    sizes = np.where(empty, 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64) + 1
+    flat = lists.flatten()
+    coded = (flat.filter(pc.not_equal(flat, "")) if empty.any() else flat).dictionary_encode()  # an empty text splits into an empty word
+    words = coded.dictionary.cast(pa.binary())
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py()
+    starts, ends = word_bounds(joined)
+    data = np.frombuffer(joined, np.uint8)
     suffix = np.zeros(len(starts) + 1, np.int64)
     for back in (1, 2, 3):
         at = ends - back
         inside = at >= starts
         suffix[:-1] = (suffix[:-1] * 131 + np.where(inside, data[np.maximum(at, 0)] if len(data) else 0, 0)) % 1_000_003
-    return np.append(word_hashes(norm), END), suffix % SUFFIXES
+    which = np.full(int(sizes.sum()), len(words), np.int32)
+    is_word = np.ones(len(which), bool)
+    is_word[np.cumsum(sizes) - 1] = False
+    which[is_word] = coded.indices.to_numpy(zero_copy_only=False)
+    return np.append(word_hashes(joined), END), suffix % SUFFIXES, which, sizes
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Rows in pieces of about ``most`` bytes of text, with their tokens."""
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows in pieces of about ``most`` bytes of text."""
     for batch in batches:
-        text, lo, size = batch.column("text"), 0, 0
-        got: list = []
-        for i in range(batch.num_rows):
-            got.append(tokens(t := text[i].as_py()))
-            size += len(t or "")
+        lo, size = 0, 0
+        for i, n in enumerate(pc.utf8_length(batch.column("text")).fill_null(0).to_pylist()):
+            size += n
             if size >= most or i + 1 == batch.num_rows:
-                yield batch.slice(lo, i + 1 - lo), got
-                lo, size, got = i + 1, 0, []
+                yield batch.slice(lo, i + 1 - lo)
+                lo, size = i + 1, 0
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, got in _pieces(batches):
-        h, at, n = np.unique(np.concatenate([h for h, _ in got]), return_index=True, return_counts=True)
-        suffix = np.concatenate([s for _, s in got])[at]
+    for rows in _pieces(batches):
+        h, suffix, which, _ = tokens(rows.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h.view(np.int64)), pa.array(suffix.astype(np.int32)), pa.array(n)], ["h", "suffix", "n"])
+            [pa.array(h.view(np.int64)), pa.array(suffix.astype(np.int32)), pa.array(np.bincount(which))], ["h", "suffix", "n"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -147,7 +157,7 @@ class Vocabulary:
         self.h, self.c, self.cls = h[order], c[order], cls[order].astype(np.uint16)
 
     def encode(self, h: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Class and count of each token; whether it is hot; and where it then is in the table."""
+        """Class and count of each word; whether it is hot; and where it then is in the table."""
         cls = (SINGLES + suffix).astype(np.uint16)
         if not len(self.h):
             return cls, np.zeros(len(h), np.int64), np.zeros(len(h), bool), np.zeros(len(h), np.uint32)
@@ -180,17 +190,17 @@ def _encoder(vocabulary, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary.value
         log_total = np.log10(voc.class_total)
-        for i, (rows, got) in enumerate(_pieces(batches, most)):
-            sizes = np.array([len(h) for h, _ in got])
-            flat = np.concatenate([h for h, _ in got])
-            cls, c, hot, place = voc.encode(flat, np.concatenate([s for _, s in got]))
+        for i, rows in enumerate(_pieces(batches, most)):
+            h, suffix, which, sizes = tokens(rows.column("text"))
+            cls, c, hot, place = voc.encode(h, suffix)  # of the different words
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            tail, which = np.unique(flat[~hot], return_inverse=True)
-            place[~hot] = len(voc.h) + which
+            tail, at = np.unique(h[~hot], return_inverse=True)
+            place[~hot] = len(voc.h) + at
+            seq = cls[which]
             yield _one_row(BLOCK_COLUMNS, [
                 _block(i), rows.column("doc_id"), rows.column("held_out"), sizes,
-                np.add.reduceat(hot & (c > 0), first, dtype=np.int64), np.add.reduceat(np.log10(c + 1.0), first),
-                np.add.reduceat(log_total[cls], first), cls.tobytes(), place[cls >= SINGLES].tobytes(), tail.view(np.int64)])
+                np.add.reduceat((hot & (c > 0))[which], first, dtype=np.int64), np.add.reduceat(np.log10(c + 1.0)[which], first),
+                np.add.reduceat(log_total[cls][which], first), seq.tobytes(), place[which][seq >= SINGLES].tobytes(), tail.view(np.int64)])
     return run
 
 

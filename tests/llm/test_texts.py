@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -517,6 +518,31 @@ def test_joined_words_score_like_hot_ones(spark, sf_dir, monkeypatch):
     assert np.allclose(found[0][:, 2], found[1][:, 2], rtol=1e-4)
 
 
+def test_words_of_a_piece_are_hashed_once(monkeypatch):
+    hashed = []
+    monkeypatch.setattr(hmm, "word_hashes", lambda norm, whole=hmm.word_hashes: hashed.append(len(norm.split())) or whole(norm))
+    batch = pa.RecordBatch.from_pydict({"text": ["the cat and the dog " * 500, None, "The end"]})
+    (rows,) = hmm._count(iter([batch]))
+    assert sum(hashed) == 5 and sum(rows["n"].to_pylist()) == 2502 + 3
+
+
+@pytest.mark.parametrize("given", [[d[1] for d in DOCS], [None, "", " \t\n\x0b\x0c\r "], ["a\x1cb\x85c\u00a0d\x00 e", "\x0b É \x0cÉ  A"]])
+def test_tokens_of_texts_are_those_of_each(given):
+    h, suffix, which, sizes = hmm.tokens(pa.array(given, pa.string()))
+    words = [(t or "").encode().lower().split() for t in given]
+    assert sizes.tolist() == [len(w) + 1 for w in words]
+    want = [x for w in words for x in [*(int(wordhash.word_hashes(x)[0]) for x in w), int(hmm.END)]]
+    assert h[which].tolist() == want and len(set(h.tolist())) == len(h) == len(set(want))
+
+    def of(word):
+        n = 0
+        for back in (1, 2, 3):
+            n = (n * 131 + (word[-back] if back <= len(word) else 0)) % 1_000_003
+        return n % hmm.SUFFIXES
+    kinds = {x: of(x) for w in words for x in w}
+    assert suffix[which].tolist() == [n for w in words for n in [*(kinds[x] for x in w), 0]]
+
+
 def test_low_keys(spark):
     df = spark.range(5000).select(F.xxhash64("id").alias("k"), "id")
     assert [r.k for r in low_keys(df, "k", 30).collect()] == sorted(r.k for r in df.collect())[:30]
