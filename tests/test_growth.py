@@ -1,10 +1,16 @@
 """Steps that must not grow faster than the tables: what is read, run and kept in memory."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from martforge import queries as Q
+from martforge.config import FIXTURE_CONFIG
 from martforge.operators.keys import first_per_key
+from martforge.operators.versions import VersionedTable
 from martforge.plans import dims as D
+from martforge.plans import incremental as I
+from martforge.sources.fixture import fixture_sources
 from tests.test_hazards import _src as sources
 
 
@@ -42,3 +48,50 @@ def test_tables_are_broadcast_by_their_rows(spark, tmp_path):
     other = spark.read.parquet(path).select((F.col("id") + 1).alias("id"))
     plan = spark.read.parquet(path).join(other, "id")._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_days_of_ranges(spark):
+    cfg = FIXTURE_CONFIG.with_(calendar_start=date(1996, 1, 10), calendar_end=date(1997, 2, 20))
+    days = spark.range(-1, 500).select(F.when(F.col("id") >= 0, F.date_add(F.lit("1995-12-20").cast("date"), F.col("id").cast("int"))).alias("d"))
+    for ranges in ({"1996-01"}, {"1996-01", "1996-02", "1996-12", "1997-02"}, {I.NONE}, {"1996-12", "1997-01", I.NONE}):
+        want = days.filter(I.range_of(F.col("d"), cfg).isin(sorted(ranges)))
+        assert sorted(map(str, days.filter(I.in_ranges(F.col("d"), ranges, cfg)).collect())) == sorted(map(str, want.collect()))
+
+
+def test_items_of_a_changed_month_are_filtered_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    from martforge import session
+
+    monkeypatch.setattr(session, "KEY_FILTER_BYTES", 1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold")}
+    rows = spark.range(2000)
+    rows.selectExpr("id", "timestamp'1996-01-01' + make_interval(0, 0, 0, id % 700) AS data_venda", "id AS id_cliente",
+                    "id AS id_vendedor").write.parquet(f"{tmp_path}/nf")
+    rows.selectExpr("id AS id_nota_fiscal", "id AS id_produto", "1 AS quantidade").write.parquet(f"{tmp_path}/items")
+    src = sources(spark, nota_fiscal=spark.read.parquet(f"{tmp_path}/nf"), item_nota_fiscal=spark.read.parquet(f"{tmp_path}/items"))
+    cfg = FIXTURE_CONFIG.with_(calendar_start=date(1996, 1, 1), calendar_end=date(1997, 12, 31))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = I.restricted(src, {"1996-03"}, cfg).item_nota_fiscal
+        with session.key_filters(spark):
+            plan = items._jdf.queryExecution().optimizedPlan().toString()
+            assert {r.id_nota_fiscal % 700 for r in items.collect()} == set(range(60, 91))
+        assert "might_contain" in plan
+        assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold") == before[
+            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before["spark.sql.autoBroadcastJoinThreshold"])
+
+
+def test_discounts_are_computed_after_the_fact_is_shuffled(spark, sf_dir, tmp_path, monkeypatch):
+    plans, write = [], VersionedTable.write_ranges
+
+    def kept(table, df, column, **k):
+        if "desconto" in df.columns:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(table, df, column, **k)
+
+    monkeypatch.setattr(VersionedTable, "write_ranges", kept)
+    I.update(spark, fixture_sources(spark, sf_dir), FIXTURE_CONFIG, str(tmp_path))
+    (plan,) = plans
+    above, below = plan.split("RebalancePartitions", 1)
+    assert "AS desconto" in above and "AS pct_desconto" in above and "desconto" not in below
