@@ -380,6 +380,24 @@ def test_training_takes_one_text_of_an_id(spark):
     assert len(got) == 2 and got[-1] == "same" and got[0] in ("one", "other")
 
 
+def test_quality_scores_write_less_than_the_texts(spark, monkeypatch, tmp_path):
+    """All that a run of several passes writes to the shared folder, and its result."""
+    monkeypatch.setattr(kneser_ney, "PASS_TOKENS", 1 << 16)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(20_000)]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    rows = [(i, " ".join(rng.choices(words, weights, k=300)), "en") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr("martforge.session.shared_dir", lambda _, label: f"file://{tmp_path}/{label}")
+    got = {r.doc_id: r for r in kneser_ney.quality_scores(df, labels).collect()}
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 0.8 * sum(len(t) for _, t, _ in rows)
+    held = {r[0] for r in labels.filter("pmod(xxhash64(doc_id), 5) = 0").select("doc_id").collect()}
+    log10 = brute_kneser_ney([t for i, t, _ in rows if i not in held])
+    for i, t, _ in rows[::40]:
+        assert got[i].log10_prob == pytest.approx(log10(t), rel=1e-5)
+
+
 def test_quality_scores(spark, awkward, empty):
     rng = random.Random(1)
     good = [(i, " ".join(rng.choice(["the cat sat", "a dog lay", "on the mat", "by the door"]) for _ in range(20)), "en", "s", 0)
