@@ -98,6 +98,31 @@ def test_keys_stay_when_customers_come(spark, src, tmp_path):
     check_like_a_rebuild(spark, store, src, tmp_path / "r")
 
 
+def test_rows_that_share_an_id_keep_a_key_each(spark, src, tmp_path):
+    """A seller and a customer of one id, and a product that comes twice: the second update sees no change in them."""
+    people, root = src.pessoa_fisica, f"{tmp_path}/s"
+    double = people.filter("id % 2 = 0").withColumn("nome", F.concat(F.lit("Outro "), "nome"))
+    both = dataclasses.replace(src, pessoa_fisica=people.unionByName(double), produto=src.produto.unionByName(src.produto.filter("id % 3 = 0")))
+    late = (F.date_format("data_venda", "yyyy-MM") == MONTH) & (F.col("id") % 3 == 0)
+    held = src.nota_fiscal.filter(late).select(F.col("id").alias("_h"))
+    some = src.item_nota_fiscal.join(F.broadcast(held), F.col("_h") == F.col("id_nota_fiscal"), "left_anti")
+    I.update(spark, dataclasses.replace(both, item_nota_fiscal=some), FIXTURE_CONFIG, root)
+    store, dims = I.Store(spark, root), ("dim_cliente", "dim_vendedor", "dim_produto", "dim_localidade")
+    was = {n: content(store.read(n)) for n in dims}
+    second = I.update(spark, both, FIXTURE_CONFIG, root)
+    assert second.ranges == {MONTH}
+    assert {n: content(store.read(n)) for n in dims} == was
+    for n, rows in was.items():  # numbered as by row_number over the whole dimension
+        assert sorted(r[0] for r in rows.elements()) == list(range(1, rows.total() + 1)), n
+    assert any("Outro" in r[2] for r in was["dim_cliente"]) and any("Outro" in r[2] for r in was["dim_vendedor"])
+    check_like_a_rebuild(spark, store, both, tmp_path / "r")
+
+    third = dataclasses.replace(both, pessoa_fisica=both.pessoa_fisica.unionByName(double.withColumn("nome", F.lit("Zz"))))
+    I.update(spark, third, FIXTURE_CONFIG, root)
+    now = content(store.read("dim_cliente"))
+    assert now & was["dim_cliente"] == was["dim_cliente"] and min(r[0] for r in now - was["dim_cliente"]) > was["dim_cliente"].total()
+
+
 def test_update_that_dies_or_meets_another(spark, src, tmp_path, monkeypatch):
     root = f"{tmp_path}/s"
     one = I.update(spark, src, FIXTURE_CONFIG, root)

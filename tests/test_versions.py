@@ -10,7 +10,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from martforge.operators.keymap import extend_key_map, with_stable_key
+from martforge.operators.keymap import OCCURRENCE, extend_key_map, occurrences, with_stable_key
 from martforge.operators.sinks import append_table, full_refresh, replace_table
 from martforge.operators.versions import ConcurrentCommit, VersionedTable, read_table
 
@@ -132,6 +132,19 @@ def test_keys_stay(spark, tmp_uri):
     assert v3.rows == 0 and v3.number == 1
 
 
+def test_a_key_for_each_row_of_a_map_written_without(spark, tmp_uri):
+    t = VersionedTable(spark, f"{tmp_uri}/keys")
+    df = spark.createDataFrame([(2, "x"), (1, "b"), (None, "n"), (1, "a"), (None, "m")], "n long, v string")
+    old = extend_key_map(t, df, ["n"], "sk")
+    rows, own = occurrences(df, ["n"], ["v"]), [OCCURRENCE, "n"]
+    version = extend_key_map(t, rows, own, "sk")
+    assert (old.rows, version.rows) == (3, 5)
+    for _ in range(2):
+        assert rows_of(with_stable_key(t, version, rows, own, "sk").drop(OCCURRENCE)) == [
+            (1, None, "m"), (2, 1, "a"), (3, 2, "x"), (4, None, "n"), (5, 1, "b")]
+        assert extend_key_map(t, rows, own, "sk") == version
+
+
 def test_key_map_needs_the_newest_version(spark, tmp_uri, monkeypatch):
     t = VersionedTable(spark, f"{tmp_uri}/keys")
     df = spark.createDataFrame([(1,), (2,)], "n long")
