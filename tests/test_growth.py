@@ -1,10 +1,12 @@
 """Steps that must not grow faster than the tables: what is read, run and kept in memory."""
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from martforge import queries as Q
+from martforge import session
 from martforge.config import FIXTURE_CONFIG
 from martforge.operators.keys import first_per_key
 from martforge.operators.versions import VersionedTable
@@ -95,3 +97,38 @@ def test_discounts_are_computed_after_the_fact_is_shuffled(spark, sf_dir, tmp_pa
     (plan,) = plans
     above, below = plan.split("RebalancePartitions", 1)
     assert "AS desconto" in above and "AS pct_desconto" in above and "desconto" not in below
+
+
+def test_fact_of_many_months_is_computed_in_groups(spark, sf_dir, tmp_path, monkeypatch):
+    """Each group's items alone are shuffled, and neither they nor shuffle files stay; rows are those of the whole."""
+    src, root = fixture_sources(spark, sf_dir), f"{tmp_path}/s"
+    twice = src.nota_fiscal.filter("id % 50 = 0").withColumn("data_venda", F.col("data_venda") + F.expr("INTERVAL 700 DAYS"))
+    bare = src.nota_fiscal.filter("id % 70 = 0").withColumn("data_venda", F.lit(None).cast(src.nota_fiscal.schema["data_venda"].dataType))
+    src = replace(src, nota_fiscal=src.nota_fiscal.unionByName(twice).unionByName(bare))
+    cfg = FIXTURE_CONFIG.with_(calendar_start=date(1995, 6, 1), calendar_end=date(2000, 12, 31))
+    I.update(spark, src, cfg, f"{tmp_path}/whole")
+    writes, folders, write, new_folder = [], [], VersionedTable.write_ranges, I.scratch_dir
+
+    def kept(table, df, column, **k):
+        if "desconto" in df.columns:
+            (folder,) = folders
+            assert spark.conf.get(session.CLEANUP) == "true"
+            writes.append({e.name for e in session.folder_entries(spark, folder) if "=" in e.name})
+        return write(table, df, column, **k)
+
+    def scratch(spark, label):
+        path = new_folder(spark, label)
+        folders.extend([path] if label == "update-items" else [])
+        return path
+
+    monkeypatch.setattr(I, "GROUP_ITEMS", 1000)
+    monkeypatch.setattr(I, "scratch_dir", scratch)
+    monkeypatch.setattr(VersionedTable, "write_ranges", kept)
+    before = spark.conf.get(session.CLEANUP)
+    made = I.update(spark, src, cfg, root)
+    assert len(writes) == 6 and I.NONE in made.ranges and "2000-12" in made.ranges
+    assert any(int(n.split("=")[1]).bit_count() == 2 for n in writes[0]) and all(a > b for a, b in zip(writes, writes[1:], strict=False))
+    assert not session.path_exists(spark, folders[0]) and spark.conf.get(session.CLEANUP) == before
+    for name in ("fato_venda", "day_sums", "vendas_ano_mes", "vendas_localidade"):
+        was, now = (sorted(map(str, I.Store(spark, r).read(name).collect())) for r in (f"{tmp_path}/whole", root))
+        assert was and was == now, name
